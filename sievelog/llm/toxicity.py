@@ -16,7 +16,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-WINDOW, SHARP = 24, 4.0
+#: Words of a window; sharpness of the soft maximum; gain between a window's mean and the layer (a mean of 12 words moves
+#: little with any one of them); start of Adagrad's sums.
+WINDOW, SHARP, GAIN, EPS = 12, 2.0, 12.0, 1e-6
 MARKS = ".,;:!?\"'()[]{}<>«»¿¡…*-_"
 
 
@@ -63,22 +65,31 @@ def soft_maximum(z: np.ndarray) -> float:
 class Model:
     """Embeddings (rows, size), layer (2, size) and the two classes' offsets."""
 
-    def __init__(self, rows: int = 1 << 16, size: int = 8, seed: int = 3):
+    def __init__(self, rows: int = 1 << 18, size: int = 8, seed: int = 3):
         draw = np.random.default_rng(seed)
         self.rows = rows
-        self.table = draw.normal(0, 0.1, (rows, size))
+        self.table = draw.normal(0, 0.01, (rows, size))
         self.layer = draw.normal(0, 0.5, (2, size))
         self.offset = np.zeros(2)
 
-    def fit(self, texts: list[str], labels: list[int], steps: int = 900, batch: int = 32, rate: float = 0.15, seed: int = 5) -> Model:
-        """Adagrad over embeddings and layer together, for about ``steps`` batches and at least four rounds."""
+    def fit(self, texts: list[str], labels: list[int], steps: int = 700, batch: int = 32, rate: float = 0.1, seed: int = 5) -> Model:
+        """Adagrad over embeddings and layer together, for about ``steps`` batches and at least four rounds. Rows that fewer than one in
+        200 documents have stay at zero: what is that rare in the sample can only be learned by heart."""
         rounds = max(4, steps * batch // max(1, len(texts)))
         number: dict[str, int] = {}
         docs = [np.array([number.setdefault(w, len(number)) for w in words_of(t)], np.int64) for t in texts]
         found, first = features(list(number), self.rows)
         count = np.diff(np.append(first, len(found)))
+        held = np.zeros(self.rows, np.int64)
+        for d in docs:
+            own = np.unique(d)
+            if len(own):
+                spot = np.repeat(first[own] - (np.cumsum(count[own]) - count[own]), count[own]) + np.arange(count[own].sum())
+                held[np.unique(found[spot])] += 1
+        rare = held < max(2, len(docs) // 200)
+        self.table[rare] = 0
         y = np.array(labels, float)
-        seen = [np.full(self.table.shape, 1e-4), np.full(self.layer.shape, 1e-4), np.full(2, 1e-4)]
+        seen = [np.full(self.table.shape, EPS), np.full(self.layer.shape, EPS), np.full(2, EPS)]
         draw = np.random.default_rng(seed)
         for _ in range(rounds):
             order = draw.permutation(len(docs))
@@ -97,7 +108,7 @@ class Model:
                 doc = np.concatenate([np.full(len(_windows(s)), k) for k, s in enumerate(sizes) if s])
                 width = np.diff(np.append(begin, len(tokens)))
                 mean = np.add.reduceat(vectors[place], begin, axis=0) / width[:, None]
-                z = mean @ (self.layer[1] - self.layer[0]) + self.offset[1] - self.offset[0]
+                z = GAIN * (mean @ (self.layer[1] - self.layer[0])) + self.offset[1] - self.offset[0]
                 top = np.full(len(part), -1e300)
                 np.maximum.at(top, doc, z)
                 e = np.exp(SHARP * (z - top[doc]))
@@ -106,8 +117,8 @@ class Model:
                 odds = np.where(live, top + np.log(np.where(live, total, 1)) / SHARP, 0)
                 wrong = np.where(live, 1 / (1 + np.exp(-np.clip(odds, -50, 50))) - y[part], 0) / len(part)
                 g = wrong[doc] * e / total[doc]
-                up = g @ mean
-                to_mean = g[:, None] * (self.layer[1] - self.layer[0])
+                up = GAIN * (g @ mean)
+                to_mean = GAIN * g[:, None] * (self.layer[1] - self.layer[0])
                 to_token = np.repeat(to_mean / width[:, None], width, axis=0)
                 to_word = np.stack([np.bincount(place, to_token[:, k], len(own)) for k in range(to_token.shape[1])], axis=1)
                 to_row = np.repeat(to_word / n[:, None], n, axis=0)
@@ -118,11 +129,12 @@ class Model:
                 for name, grad, past in (("layer", np.stack([-up, up]), seen[1]), ("offset", np.array([-g.sum(), g.sum()]), seen[2])):
                     past += grad**2
                     setattr(self, name, getattr(self, name) - rate * grad / np.sqrt(past))
+        self.table[rare] = 0
         return self
 
     def scalars(self) -> tuple[np.ndarray, float]:
         """The log odds that each embedding row adds to the mean, and the offset."""
-        return self.table @ (self.layer[1] - self.layer[0]), float(self.offset[1] - self.offset[0])
+        return GAIN * (self.table @ (self.layer[1] - self.layer[0])), float(self.offset[1] - self.offset[0])
 
 
 class Scorer:
