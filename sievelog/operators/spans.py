@@ -89,9 +89,10 @@ def contains_join(df: DataFrame, text: str, words: DataFrame, word: str, key: st
     equi-join, and the rest is compared there. Words shorter than a gram aren't looked for.
     """
     dictionary = words.select(F.lower(F.col(word)).alias("word")).filter(F.length("word") >= gram).distinct().withColumn("head", F.substring("word", 1, gram))
+    longest = dictionary.agg(F.max(F.length("word"))).first()[0] or 0
     heads = dictionary.select("head").distinct()
     low = df.select(F.col(key).alias("record_id"), F.lower(F.col(text)).alias("low")).filter(F.length("low") >= gram)
     grams = low.select("record_id", "low", F.posexplode(F.transform(F.sequence(F.lit(1), F.length("low") - gram + 1), lambda i: F.substring(F.col("low"), i, F.lit(gram)))).alias("pos", "head"))
-    met = grams.join(heads, "head", "left_semi").withColumn("tail", F.substring(F.col("low"), F.col("pos") + 1, F.lit(64))).drop("low")
+    met = grams.join(heads, "head", "left_semi").withColumn("tail", F.substring(F.col("low"), F.col("pos") + 1, F.lit(longest))).drop("low")
     hits = met.join(dictionary, "head").filter(F.expr("substring(tail, 1, length(word)) = word"))
     return hits.select("record_id", (F.col("pos") + 1).alias("start"), "word")
