@@ -22,6 +22,10 @@ def message_format(message: Column, stream: Column, message_type: Column, pipeli
     )
 
 
+def _as_values(hits: Column, category: str, priority: int) -> Column:
+    return F.transform(hits, lambda v: F.struct(F.lit(category).alias("category"), v.alias("value"), F.lit(priority).alias("priority")))
+
+
 def spans(df: DataFrame, text: str, detectors=GENERAL, key: str = "record_id", public_domains: tuple[str, ...] = ()) -> DataFrame:
     """(record_id, start, len, category, value, priority) of all matches; start counts from 1.
 
@@ -31,7 +35,7 @@ def spans(df: DataFrame, text: str, detectors=GENERAL, key: str = "record_id", p
     found = F.array().cast("array<struct<category:string,value:string,priority:int>>")
     for category, pattern, group, priority in detectors:
         hits = F.array_distinct(F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(group)))
-        found = F.concat(found, F.transform(hits, lambda v, c=category, p=priority: F.struct(F.lit(c).alias("category"), v.alias("value"), F.lit(p).alias("priority"))))
+        found = F.concat(found, _as_values(hits, category, priority))
     values = df.select(F.col(key).alias("record_id"), F.col(text).alias("text"), F.explode(found).alias("x")).select("record_id", "text", "x.*").filter("value <> ''")
     value = F.col("value")
     category = F.when(F.col("category") == "ipv4", F.when(D.is_private_ip(value), "ipv4_priv").otherwise("ipv4_pub")).otherwise(F.col("category"))
@@ -40,7 +44,7 @@ def spans(df: DataFrame, text: str, detectors=GENERAL, key: str = "record_id", p
         values = values.filter(~((F.col("category") == "fqdn") & D.public_domain(value, list(public_domains))))
     pieces = F.split(F.col("text"), F.concat(F.lit(r"\Q"), value, F.lit(r"\E")), -1)
     # the k-th place begins after the first k pieces and the k values between them
-    before = F.aggregate(pieces, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")), lambda a, p: F.struct((a["at"] + F.length(p) + F.length(value)).alias("at"), F.append(a["out"], a["at"] + F.length(p) + 1).alias("out") if hasattr(F, "append") else F.concat(a["out"], F.array(a["at"] + F.length(p) + 1)).alias("out")))["out"]
+    before = F.aggregate(pieces, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")), lambda a, p: F.struct((a["at"] + F.length(p) + F.length(value)).alias("at"), F.concat(a["out"], F.array(a["at"] + F.length(p) + 1)).alias("out")))["out"]
     places = F.slice(before, 1, F.size(before) - 1)
     placed = values.withColumn("start", F.explode(places)).withColumn("len", F.length("value"))
     whole = r"[A-Za-z0-9_]"
