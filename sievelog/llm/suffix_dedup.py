@@ -92,8 +92,21 @@ def runs(text: bytes, length: int, gram: int, longest: int = 4096) -> tuple[np.n
     return low[start], start, size, np.add.reduceat(met, first, dtype=np.int64) > 1
 
 
-def classes(data: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+def _grouped(order: np.ndarray, *columns: np.ndarray) -> np.ndarray:
+    """Numbers of the groups of rows with equal columns, given an order that brings them together."""
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for c in columns:
+        c = c[order]
+        new[1:] |= c[1:] != c[:-1]
+    group = np.empty(len(order), np.int64)
+    group[order] = np.cumsum(new) - 1
+    return group
+
+
+def classes(data: np.ndarray, at: np.ndarray, length: int, bucket: np.ndarray | None = None) -> np.ndarray:
     """A number for each position in ``at``, equal for two positions just if their next ``length`` bytes are equal.
+    ``bucket``: a number that positions with equal bytes share.
 
     ``data`` must go on for at least ``length`` + PERIOD bytes after each position (what lies past a suffix's
     ``length`` bytes isn't looked at).
@@ -101,13 +114,17 @@ def classes(data: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
     head = min(HEAD, length)
     if length <= head + PERIOD:
         return np.unique(np.lib.stride_tricks.sliding_window_view(data, length)[at], axis=0, return_inverse=True)[1].reshape(-1)
-    view = np.lib.stride_tricks.sliding_window_view(data, head)
-    words = np.ascontiguousarray(view[at]).view(">u8")
-    order = np.lexsort((words[:, 1], words[:, 0])) if head == 16 else np.lexsort(words.T[::-1])
-    sorted_words = words[order]
-    new = np.append(True, (sorted_words[1:] != sorted_words[:-1]).any(axis=1))
-    group = np.empty(len(at), np.int64)
-    group[order] = np.cumsum(new) - 1
+    view = np.lib.stride_tricks.sliding_window_view(data, 8)
+    word = lambda p: np.ascontiguousarray(view[p]).view(">u8").reshape(-1).astype(np.uint64)
+    bucket = np.zeros(len(at), np.int64) if bucket is None else bucket
+    first, second = word(at), word(at + 8)
+    group = _grouped(np.lexsort((second, first, bucket)), bucket, first, second)
+    # The last bytes tell most of what the first don't: without them a group of common leading bytes has many classes.
+    tied = np.flatnonzero(np.bincount(group)[group] > 1)
+    if len(tied):
+        first, second, g = word(at[tied] + length - 16), word(at[tied] + length - 8), group[tied]
+        group[tied] = len(at) + _grouped(np.lexsort((second, first, g)), g, first, second)
+        group = np.unique(group, return_inverse=True)[1].reshape(-1)
     tied = np.bincount(group)[group] > 1
     if not tied.any():
         return group
@@ -149,7 +166,7 @@ def classes(data: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
     return out
 
 
-def repeats(segments: list[bytes], order: np.ndarray, length: int) -> list[np.ndarray]:
+def repeats(segments: list[bytes], order: np.ndarray, length: int, keys: np.ndarray) -> list[np.ndarray]:
     """For each of different segments, the offsets whose string of ``length`` bytes an earlier one has too.
 
     ``order`` ranks the segments' first bytes; positions of one segment follow each other, and segments of one document
@@ -162,7 +179,7 @@ def repeats(segments: list[bytes], order: np.ndarray, length: int) -> list[np.nd
     owner = np.repeat(np.arange(len(segments)), count)
     offset = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
     at = base[owner] + offset
-    number = classes(data, at, length)
+    number = classes(data, at, length, keys[owner])
     sort = np.lexsort((offset, order[owner], number))
     n = number[sort]
     later = np.zeros(len(at), bool)
@@ -343,7 +360,7 @@ def remove_repeats(docs: DataFrame, length: int = 100, gram: int = 32, key: str
         values, inverse, counts = np.unique(keys[left], return_inverse=True, return_counts=True)
         mixed = left[(counts > 1)[inverse] | (meta[5][left] > 0)]
         if len(mixed):
-            for p, offsets in zip(mixed.tolist(), repeats([contents[p] for p in mixed.tolist()], rank[mixed], length), strict=True):
+            for p, offsets in zip(mixed.tolist(), repeats([contents[p] for p in mixed.tolist()], rank[mixed], length, keys[mixed]), strict=True):
                 if len(offsets):
                     a, n = _spans(offsets)
                     rows.append(np.stack([np.full(len(a), source[p]), np.full(len(a), int(meta[2][p])), start[p] + a, n]))
