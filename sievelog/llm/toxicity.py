@@ -72,14 +72,23 @@ class Model:
         self.layer = draw.normal(0, 0.5, (2, size))
         self.offset = np.zeros(2)
 
+    def _features(self, words: list[str], part: int = 20_000) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of each word and their number, found for a part of the words at a time to bound memory."""
+        found, count = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+        for lo in range(0, len(words), part):
+            rows, first = features(words[lo : lo + part], self.rows)
+            count.append(np.diff(np.append(first, len(rows))))
+            found.append(rows.astype(np.int32))
+        return np.concatenate(found), np.concatenate(count)
+
     def fit(self, texts: list[str], labels: list[int], steps: int = 700, batch: int = 32, rate: float = 0.1, seed: int = 5) -> Model:
         """Adagrad over embeddings and layer together, for about ``steps`` batches and at least four rounds. Rows that fewer than one in
         200 documents have stay at zero: what is that rare in the sample can only be learned by heart."""
         rounds = max(4, steps * batch // max(1, len(texts)))
         number: dict[str, int] = {}
-        docs = [np.array([number.setdefault(w, len(number)) for w in words_of(t)], np.int64) for t in texts]
-        found, first = features(list(number), self.rows)
-        count = np.diff(np.append(first, len(found)))
+        docs = [np.array([number.setdefault(w, len(number)) for w in words_of(t)], np.int32) for t in texts]
+        found, count = self._features(list(number))
+        first = np.cumsum(count) - count
         held = np.zeros(self.rows, np.int64)
         for d in docs:
             own = np.unique(d)
