@@ -155,7 +155,7 @@ class Encoder:
     split into pre-tokens one by one unless a cut touches other white space; such a text is split as a whole.
     """
 
-    def __init__(self, vocabulary: Vocabulary, cache: int = 400_000):
+    def __init__(self, vocabulary: Vocabulary, cache: int = 250_000):
         self.vocabulary, self.cache = vocabulary, cache
         self.clear()
 
@@ -218,9 +218,9 @@ def read_vocabulary(spark: SparkSession, path: str) -> str:
     return "".join(r.value for r in spark.read.text(path if "://" in path else f"file://{path}", wholetext=True).collect())
 
 
-def bpe_encode(docs: DataFrame, vocabulary: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",), block_chars: int = 16_000_000, with_ids: bool = True) -> DataFrame:
+def bpe_encode(docs: DataFrame, vocabulary: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",), block_chars: int = 4_000_000, with_ids: bool = True, with_decoded: bool = False) -> DataFrame:
     """Ids of every text, and of those ids the decoded text: keep, n_tokens long, ids_sha256, decoded_sha256, and
-    token_ids array<int> and decoded string if ``with_ids``.
+    token_ids array<int> if ``with_ids``, decoded string if ``with_decoded``.
 
     ``vocabulary`` is a byte-level BPE file's path. A text is encoded whole, with strings of added tokens as those
     tokens. A null or empty text has no tokens. Repeated rows are encoded each; further columns are ignored. A task holds
@@ -231,7 +231,7 @@ def bpe_encode(docs: DataFrame, vocabulary: str, text: str = "text", keep: tuple
     kept = [f"keep_{i}" for i in range(len(keep))]
     source = docs.select(*[F.col(c).alias(k) for c, k in zip(keep, kept, strict=True)], F.col(text).cast("string").alias("body"))
     types = ", ".join(f"{k} {source.schema[k].dataType.simpleString()}" for k in kept)
-    schema = f"{types}, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", token_ids array<int>, decoded string" if with_ids else "")
+    schema = f"{types}, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", token_ids array<int>" if with_ids else "") + (", decoded string" if with_decoded else "")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = Encoder(Vocabulary(spec.value))
@@ -250,6 +250,7 @@ def bpe_encode(docs: DataFrame, vocabulary: str, text: str = "text", keep: tuple
                 out["decoded_sha256"] = [hashlib.sha256(x.encode("utf-8")).hexdigest() for x in decoded]
                 if with_ids:
                     out["token_ids"] = [np.frombuffer(x, "<u4").astype(np.int32) for x in ids]
+                if with_decoded:
                     out["decoded"] = decoded
                 yield out
 
