@@ -197,8 +197,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: tuple[int, int]
     return model.fit([r.body for r in rows], [r.toxic for r in rows])
 
 
-def toxicity_scores(docs: DataFrame, model: Model, keep: tuple[str, ...], text: str = "text") -> DataFrame:
-    """``keep`` and score double in 0..1 for every row, from its whole text. A null or empty text has the score of a text
+def toxicity_scores(docs: DataFrame, model: Model, keep: tuple[str, ...], text: str = "text", name: str = "score") -> DataFrame:
+    """``keep`` and ``name`` (double in 0..1) for every row, from its whole text. A null or empty text has the score of a text
     without words; repeated rows are scored each; further columns are ignored; an empty table gives an empty table."""
     weights = docs.sparkSession.sparkContext.broadcast(model.scalars())
 
@@ -208,9 +208,9 @@ def toxicity_scores(docs: DataFrame, model: Model, keep: tuple[str, ...], text:
             yield pd.Series([s for lo in range(0, len(texts), 500) for s in scorer.score(texts.iloc[lo : lo + 500].tolist())], dtype=float)
 
     run.__annotations__ = {"parts": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    return docs.select(*keep, F.pandas_udf(run, "double")(F.col(text)).alias("score"))
+    return docs.select(*keep, F.pandas_udf(run, "double")(F.col(text)).alias(name))
 
 
 def reject_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The documents that score below the threshold."""
-    return toxicity_scores(docs, fit_toxicity(docs, labels), tuple(docs.columns)).filter(F.col("score") < threshold).select(docs.columns)
+    return toxicity_scores(docs, fit_toxicity(docs, labels), tuple(docs.columns), name="__toxicity").filter(F.col("__toxicity") < threshold).select(docs.columns)
