@@ -96,10 +96,14 @@ def simhash_components(docs: DataFrame, radius: int = 2, ngram: int = 3, bucket:
 
 
 def keep_one(docs: DataFrame, radius: int = 2, ngram: int = 5, bucket: int = 64) -> DataFrame:
-    """``documents`` with one document of each component: that with the smallest doc_id. Rows that repeat a kept doc_id
-    become one row (the first by text); rows with a null doc_id stay if their component has no other doc_id."""
+    """``documents`` with one document of each component: that with the smallest doc_id (see ``keep_first``)."""
+    return keep_first(docs, simhash_components(docs, radius, ngram, bucket))
+
+
+def keep_first(docs: DataFrame, marked: DataFrame) -> DataFrame:
+    """``documents`` whose doc_id is kept in ``marked`` (doc_id, kept). Rows that repeat a kept doc_id become one row (the
+    first by text); rows with a null doc_id stay if their component has no other doc_id."""
     scratch = Scratch(docs.sparkSession, "simhash-kept")
-    marked = simhash_components(docs, radius, ngram, bucket)
     gone = scratch.save(marked.groupBy("doc_id").agg(F.bool_or("kept").alias("kept")).filter("NOT kept").select("doc_id"), "gone")
     left = docs.join(gone, docs["doc_id"].eqNullSafe(gone["doc_id"]), "left_anti")
     known, unknown = left.filter("doc_id IS NOT NULL"), left.filter("doc_id IS NULL")
