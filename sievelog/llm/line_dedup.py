@@ -1,21 +1,18 @@
-"""Line dedup by pairwise alignment.
+"""Line dedup by repeated runs of lines.
 
-Each line that repeats across documents has a first holder: the smallest document with it. A document overlaps the
-first holders of its lines, so each occurrence of a line makes at most one pair row, however frequent the line is;
-a line held by a third of all documents links them to one document and not to each other. Pairs begin at rare lines
-(held by at most ``rare`` documents) where a document has any in common with the holder, and at all common lines
-otherwise, so a passage that many documents share is aligned too.
+Documents are aligned line by line; a block of equal lines in both of at least ``min_words`` words goes from the later
+one. A pair of documents need not be formed for that: such a block is the union of its shortest runs, which end or begin
+at each of its lines and hold ``min_words`` words. A run depends on nothing but its own lines, so every document that
+holds the block has the same runs, and the first holder of each run (the smallest document with it) tells whether an
+earlier document has it, however many hold it and whatever else its lines stand in. Each line makes three rows at most.
 
-Within a pair the common lines that occur once in either document are put in order by patience diff (longest increasing
-run of their positions); aligned lines next to each other are blocks, which grow over equal neighbours that occur more
-often. A block of ``min_words`` words or more is deleted from the later document.
+``aligned_blocks`` does the same for one pair of documents by patience diff; the tests hold the runs against all pairs.
 """
 
 from __future__ import annotations
 
 import hashlib
 from bisect import bisect_left
-from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -70,68 +67,81 @@ def aligned_blocks(matches: list[tuple[int, int, bool, int]], min_words: int) ->
     return out
 
 
-def line_blocks(docs: DataFrame, min_words: int = 20, rare: int = 64, key: str = "doc_id", text: str = "text") -> DataFrame:
+def line_runs(lines: list[bytes], min_words: int) -> set[tuple[int, int]]:
+    """Shortest runs (first line, end) of ``min_words`` words or more that begin or end at a line. Blank lines end a run."""
+    runs: set[tuple[int, int]] = set()
+    at = [i for i, line in enumerate(lines) if line]
+    words = [len(lines[i].split()) for i in at]
+    part = [0] * len(at)
+    for n in range(1, len(at)):
+        part[n] = part[n - 1] + (at[n] != at[n - 1] + 1)
+    for forward in (True, False):
+        total = other = 0
+        order = range(len(at)) if forward else range(len(at) - 1, -1, -1)
+        ends = list(order)
+        for k, n in enumerate(ends):
+            if k and part[n] != part[ends[k - 1]]:
+                total, other = 0, k
+            total += words[n]
+            while total - words[ends[other]] >= min_words:
+                total -= words[ends[other]]
+                other += 1
+            if total >= min_words:
+                a, b = sorted((at[n], at[ends[other]]))
+                runs.add((a, b + 1))
+    return runs
+
+
+def line_blocks(docs: DataFrame, min_words: int = 20, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Blocks to delete: (doc, version, blocks array<struct<first, end>>) of each document that has any.
 
     A document is its key with a hash of its text (version); rows that repeat both are one document. Lines are what is
-    between newlines, without white space at either end; blank lines belong to a block only between other lines.
+    between newlines, without white space at either end; blank lines end a block.
     """
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "lines")
+    scratch = Scratch(docs.sparkSession, "lines")
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         digest = xxhash.xxh3_64_intdigest
         for batch in batches:
             rows: list[tuple] = []
             for doc, version, body in zip(batch["doc"], batch["version"], batch["body"], strict=True):
-                met: Counter = Counter()
                 lines = [x.strip().encode("utf-8", "surrogatepass") for x in (body or "").split("\n")]
-                often = Counter(lines)
-                for pos, line in enumerate(lines):
-                    if line:
-                        rows.append((doc, version, pos, digest(line) - (1 << 63), met[line], often[line], len(line.split())))
-                        met[line] += 1
+                rows += [(doc, version, digest(b"\n".join(filter(None, lines[a:b]))) - (1 << 63), a, b) for a, b in line_runs(lines, min_words)]
             if rows:
-                yield pd.DataFrame(rows, columns=["doc", "version", "pos", "line", "nth", "often", "words"]).astype({"doc": "Int64"})
+                yield pd.DataFrame(rows, columns=["doc", "version", "run", "first", "end"]).astype({"doc": "Int64"})
 
     source = docs.select(F.col(key).cast("long").alias("doc"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("version"), F.col(text).alias("body"))
-    lines = scratch.save(source.mapInPandas(split, "doc long, version long, pos int, line long, nth int, often int, words int"), "lines")
+    runs = scratch.save(source.mapInPandas(split, "doc long, version long, run long, first int, end int"), "runs")
     who = F.struct(F.col("doc").isNull().alias("last"), "doc", "version")
-    held = lines.groupBy("line", "nth").agg(F.min(F.struct(who.alias("who"), "pos", "often")).alias("first"), F.min(who).alias("low"), F.max(who).alias("high"), F.count("*").alias("holders"))
-    first = scratch.save(held.filter("low <> high").select("line", "nth", F.col("first.who").alias("holder"), F.col("first.pos").alias("holder_pos"), F.col("first.often").alias("holder_often"), "holders"), "first")
-    met = lines.join(first, ["line", "nth"]).filter(F.col("holder") != who)
-    match = F.struct("pos", "holder_pos", ((F.col("often") == 1) & (F.col("holder_often") == 1)).alias("once"), "words", "holder", (F.col("holders") <= rare).alias("rare"))
-    gathered = met.groupBy("doc", "version").agg(F.collect_set(match).alias("matches"))
+    held = runs.groupBy("run").agg(F.min(who).alias("low"), F.max(who).alias("high"))
+    first = scratch.save(held.filter("low <> high").select("run", F.col("low").alias("holder")), "first")
+    met = runs.join(first, "run").filter(F.col("holder") != who)
+    gathered = met.groupBy("doc", "version").agg(F.array_sort(F.collect_set(F.struct("first", "end"))).alias("blocks"))
 
-    def align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def unite(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out: dict[str, list] = {"doc": [], "version": [], "blocks": []}
-            for doc, version, matches in zip(batch["doc"], batch["version"], batch["matches"], strict=True):
-                pairs: dict[tuple, list] = {}
-                for m in matches:
-                    h = m["holder"]
-                    pairs.setdefault((h["last"], -1 if h["doc"] is None else int(h["doc"]), h["version"]), []).append(m)
-                blocks: list[tuple[int, int]] = []
-                for holder in sorted(pairs, key=lambda h: (not any(m["rare"] for m in pairs[h]), h)):
-                    blocks += aligned_blocks([(m["pos"], m["holder_pos"], m["once"], m["words"]) for m in pairs[holder]], min_words)
-                if blocks:
-                    out["doc"].append(doc)
-                    out["version"].append(version)
-                    out["blocks"].append([{"first": a, "end": b} for a, b in sorted(set(blocks))])
-            if out["doc"]:
-                yield pd.DataFrame(out).astype({"doc": "Int64"})
-
-    return scratch.save(gathered.mapInPandas(align, "doc long, version long, blocks array<struct<first: int, end: int>>"), "blocks")
-
-
-def line_dedup(docs: DataFrame, min_words: int = 20, rare: int = 64, key: str = "doc_id", text: str = "text") -> DataFrame:
+            out = []
+            for blocks in batch["blocks"]:
+                whole: list[dict] = []
+                for b in blocks:
+                    if whole and b["first"] <= whole[-1]["end"]:
+                        whole[-1]["end"] = max(whole[-1]["end"], b["end"])
+                    else:
+                        whole.append({"first": b["first"], "end": b["end"]})
+                out.append(whole)
+            yield pd.DataFrame({"doc": batch["doc"].astype("Int64"), "version": batch["version"], "blocks": out})
+
+    return scratch.save(gathered.mapInPandas(unite, "doc long, version long, blocks array<struct<first: int, end: int>>"), "blocks")
+
+
+def line_dedup(docs: DataFrame, min_words: int = 20, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with n_lines, n_removed (lines) and ``text`` without the blocks that an earlier document holds.
 
     Documents are ordered by key, null keys last, then by a hash of the text. A null text stays null, an empty one empty;
     rows that repeat key and text share one result, whatever their other columns hold. Equal texts under different keys
     are copies: all but the first lose every block. An empty table gives an empty table.
     """
-    blocks = line_blocks(docs, min_words, rare, key, text)
+    blocks = line_blocks(docs, min_words, key, text)
     version = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
     named = docs.withColumns({"__doc": F.col(key).cast("long"), "__version": version})
     hit = blocks.withColumnsRenamed({"doc": "__hit_doc", "version": "__hit_version", "blocks": "__blocks"})

@@ -56,3 +56,45 @@ def test_emptied_documents_go(spark):
 
 def test_empty_table(spark):
     assert line_dedup(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_block_shared_through_other_first_holders(spark):
+    """Each line of the passage stands alone in another document before the two that share the passage."""
+    draw = random.Random(8)
+    passage = [words(draw, 10) for _ in range(6)]
+    rows = [(i, "\n".join([words(draw, 12), passage[i % 6], words(draw, 12)])) for i in range(6)]
+    rows += [(i, "\n".join([words(draw, 12), *passage, words(draw, 12)])) for i in (6, 9)]
+    out = {r.doc_id: r.n_removed for r in line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out == {i: 6 if i == 9 else 0 for i in (*range(7), 9)}
+
+
+def brute_kept(rows, min_words=20):
+    """Texts without the longest runs of equal lines that any earlier document holds, over all pairs of lines."""
+    out = {}
+    for n, (doc, text) in enumerate(rows):
+        lines, gone = text.split("\n"), set()
+        for _, other in rows[:n]:
+            theirs = other.split("\n")
+            for i in range(len(lines)):
+                for j in range(len(theirs)):
+                    k = 0
+                    while i + k < len(lines) and j + k < len(theirs) and lines[i + k] == theirs[j + k] != "":
+                        k += 1
+                    if sum(len(x.split()) for x in lines[i : i + k]) >= min_words:
+                        gone |= set(range(i, i + k))
+        out[doc] = "\n".join(x for i, x in enumerate(lines) if i not in gone)
+    return out
+
+
+def test_against_all_pairs(spark):
+    draw = random.Random(9)
+    stock = [words(draw, n) for n in (3, 5, 8, 8, 10, 10, 15, 25)]
+    rows = []
+    for i in range(80):
+        lines = [words(draw, 4) for _ in range(3)] + draw.sample(stock, 3)
+        draw.shuffle(lines)
+        at = draw.randrange(5)
+        rows.append((i, "\n".join(lines[:3] + stock[at : at + draw.randrange(4)] + lines[3:])))
+    got = {r.doc_id: r.text for r in line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute_kept(rows)
+    assert sum(got[i] != text for i, text in rows) > 40
