@@ -2,7 +2,7 @@
 
 Documents are aligned line by line; a block of equal lines in both of at least ``min_words`` words goes from the later
 one. A pair of documents need not be formed for that: such a block is the union of its shortest runs, which end or begin
-at each of its lines and hold ``min_words`` words. A run depends on nothing but its own lines, so every document that
+at each of its lines, or hold two neighbours, and have ``min_words`` words. A run depends on nothing but its own lines, so every document that
 holds the block has the same runs, and the first holder of each run (the smallest document with it) tells whether an
 earlier document has it, however many hold it and whatever else its lines stand in. Each line makes three rows at most.
 
@@ -68,26 +68,20 @@ def aligned_blocks(matches: list[tuple[int, int, bool, int]], min_words: int) ->
 
 
 def line_runs(lines: list[bytes], min_words: int) -> set[tuple[int, int]]:
-    """Shortest runs (first line, end) of ``min_words`` words or more that begin or end at a line. Blank lines end a run."""
-    runs: set[tuple[int, int]] = set()
+    """Shortest runs (first line, end) of ``min_words`` words or more that begin or end at a line, or hold a line and the
+    next. Blank lines count for nothing: a run goes on behind them."""
     at = [i for i, line in enumerate(lines) if line]
     words = [len(lines[i].split()) for i in at]
-    part = [0] * len(at)
-    for n in range(1, len(at)):
-        part[n] = part[n - 1] + (at[n] != at[n - 1] + 1)
-    for forward in (True, False):
+    runs = {(at[n - 1], at[n] + 1) for n in range(1, len(at)) if max(words[n - 1], words[n]) >= min_words}
+    for order in (range(len(at)), range(len(at) - 1, -1, -1)):
         total = other = 0
-        order = range(len(at)) if forward else range(len(at) - 1, -1, -1)
-        ends = list(order)
-        for k, n in enumerate(ends):
-            if k and part[n] != part[ends[k - 1]]:
-                total, other = 0, k
+        for n in order:
             total += words[n]
-            while total - words[ends[other]] >= min_words:
-                total -= words[ends[other]]
+            while total - words[order[other]] >= min_words:
+                total -= words[order[other]]
                 other += 1
             if total >= min_words:
-                a, b = sorted((at[n], at[ends[other]]))
+                a, b = sorted((at[n], at[order[other]]))
                 runs.add((a, b + 1))
     return runs
 
@@ -96,7 +90,7 @@ def line_blocks(docs: DataFrame, min_words: int = 20, key: str = "doc_id", text:
     """Blocks to delete: (doc, version, blocks array<struct<first, end>>) of each document that has any.
 
     A document is its key with a hash of its text (version); rows that repeat both are one document. Lines are what is
-    between newlines, without white space at either end; blank lines end a block.
+    between newlines, without white space at either end; blank lines inside a block go with it.
     """
     scratch = Scratch(docs.sparkSession, "lines")
 
@@ -124,7 +118,7 @@ def line_blocks(docs: DataFrame, min_words: int = 20, key: str = "doc_id", text:
             for blocks in batch["blocks"]:
                 whole: list[dict] = []
                 for b in blocks:
-                    if whole and b["first"] <= whole[-1]["end"]:
+                    if whole and b["first"] < whole[-1]["end"]:
                         whole[-1]["end"] = max(whole[-1]["end"], b["end"])
                     else:
                         whole.append({"first": b["first"], "end": b["end"]})

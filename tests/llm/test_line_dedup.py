@@ -98,3 +98,13 @@ def test_against_all_pairs(spark):
     got = {r.doc_id: r.text for r in line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == brute_kept(rows)
     assert sum(got[i] != text for i, text in rows) > 40
+
+
+def test_blank_lines_and_earlier_repeats_do_not_cut_a_block(spark):
+    draw = random.Random(10)
+    short, long = [words(draw, 10) for _ in range(6)], [words(draw, 30) for _ in range(3)]
+    rows = [(0, "\n\n".join(short)), (1, "\n".join(long)), (2, words(draw, 12) + "\n" + "\n\n".join(short)), (3, "\n \n".join(short) + "\n\n" + words(draw, 5))]
+    rows += [(4, short[2] + "\n" + words(draw, 12) + "\n" + "\n".join(short)), (5, "\n\n".join(long)), (6, long[0] + "\n\n" + long[2])]
+    out = {r.doc_id: r for r in line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [out[i].n_removed for i in range(7)] == [0, 0, 11, 11, 6, 5, 2]
+    assert out[2].text == rows[2][1].split("\n")[0] and out[4].text == "\n".join(rows[4][1].split("\n")[:2]) and out[6].text == ""
