@@ -2,11 +2,8 @@
 
 A coarse k-means gives inverted lists; what a vector differs from its list's centre by is coded per subspace. For each
 query a table of distances from its subvectors to all code words gives the distance to every coded vector by lookups.
-A list is probed if a near vector may lie past the plane between the list's centre and the query's nearest centre. Across
-that plane a pair at the threshold's radius in d dimensions differs by about radius / sqrt(d); lists up to ``sigmas``
-times that far are probed (4: fewer than one such pair in ten thousand is missed for pairs in random directions; measured
-recall against all cosines is 1.0 on the check tables), and from ``sigmas`` >= sqrt(d) on none can be missed. A vector is
-a candidate if its looked-up distance, less its own coding error, is within the radius. Candidates are compared
+A list is probed if a vector within the threshold's radius may lie past the plane between the list's centre and the
+query's nearest centre, so no pair is missed, whatever its direction. A vector is a candidate if its looked-up distance, less its own coding error, is within the radius. Candidates are compared
 by exact cosine in double precision.
 
 Equal vectors are collapsed before and counted after. Lists are dealt in blocks of bounded size, so a list that holds a
@@ -121,7 +118,7 @@ def _block(index: Index, threshold: float, list_id: int, members: pd.DataFrame,
     return counts, links
 
 
-def near_vectors(vectors: DataFrame, threshold: float = 0.95, sample: int = 20_000, per_list: int = 256, most_lists: int = 2048, sigmas: float = 4.0, key: str = "vec_id", column: str = "embedding") -> DataFrame:
+def near_vectors(vectors: DataFrame, threshold: float = 0.95, sample: int = 20_000, per_list: int = 256, most_lists: int = 2048, key: str = "vec_id", column: str = "embedding") -> DataFrame:
     """One row per input row: key, n_links (other vectors with a cosine of at least ``threshold``), component_id (smallest
     key reachable), kept (key = component_id).
 
@@ -152,7 +149,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.95, sample: int = 20_0
     for i, v in enumerate(drawn):
         padded[i, : len(v)] = v
     index = spark.sparkContext.broadcast(Index(padded if len(drawn) else np.zeros((1, dims)), int(max(1, min(most_lists, n // per_list)))))
-    reach = float(np.sqrt(2 - 2 * threshold) * min(1.0, sigmas / np.sqrt(dims)))
+    radius = float(np.sqrt(2 - 2 * threshold))
 
     def code(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -165,7 +162,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.95, sample: int = 20_0
                 near = index.value.nearest(x)
                 codes, error = index.value.code(x, near)
                 base = {"rep": part["rep"], "dims": part["dims"], "copies": part["copies"], "vec": [v.tobytes() for v in x]}
-                yield pd.DataFrame(base | {"list": near, "codes": [c.tobytes() for c in codes], "error": error, "probes": [p.tolist() for p in index.value.probes(x, reach)]})
+                yield pd.DataFrame(base | {"list": near, "codes": [c.tobytes() for c in codes], "error": error, "probes": [p.tolist() for p in index.value.probes(x, radius)]})
 
     held = scratch.save(reps.select("rep", "dims", "copies", "vec").mapInPandas(code, "rep long, dims int, copies long, vec binary, list long, codes binary, error double, probes array<long>"), "coded")
     one = held.select("rep", "dims", "copies", "vec", "list", F.lit(True).alias("member"), "codes", "error")

@@ -46,3 +46,13 @@ def test_against_all_pairs(spark, seed):
 
 def test_empty_table(spark):
     assert near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+def test_differences_along_centres(spark):
+    """Vectors of few directions in 64 dimensions, beside one longer vector: near pairs differ along the lines between centres."""
+    draw = np.random.default_rng(4)
+    frame = np.linalg.qr(draw.normal(size=(64, 3)))[0]
+    rows = [(i, [float(x) for x in frame @ draw.normal(size=3)]) for i in range(500)] + [(1000, [1.0] * 100)]
+    want = brute(rows)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), per_list=20).collect()}
+    assert all(want[k][0] == g for k, g in got.items())
