@@ -180,8 +180,8 @@ def z13_sanitize_documents(spark, sf_dir):
     return out.select("doc_id", F.size(F.regexp_extract_all("text", F.lit(r"user-\d{4,}@example\.net"), F.lit(0))).cast("long").alias("n_email"), (F.col("n_replaced") == 0).alias("same"))
 
 
-def _words(spark, sf_dir):
-    return table(spark, sf_dir, "benchmark").select(F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("word")).filter(F.length("word") >= 12).distinct()
+def _words(spark, sf_dir, least=12):
+    return table(spark, sf_dir, "benchmark").select(F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("word")).filter(F.length("word") >= least).distinct()
 
 
 @query("""SELECT d.doc_id, count(*) AS n_words FROM documents d JOIN (SELECT DISTINCT w FROM (SELECT unnest(regexp_split_to_array(lower(text), '[^a-z]+')) AS w FROM benchmark) WHERE length(w) >= 12) x ON contains(lower(d.text), w) GROUP BY 1""")
@@ -194,7 +194,7 @@ def j12_contains_join(spark, sf_dir):
 @query()
 def z14_dictionary_sweep(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("record_id"), "text")
-    hits = spans.contains_join(docs, "text", _words(spark, sf_dir), "word", gram=8).withColumn("len", F.length("word"))
+    hits = spans.contains_join(docs, "text", _words(spark, sf_dir, least=4), "word", gram=4).withColumn("len", F.length("word"))
     item = F.struct("start", (-F.col("len")).alias("short"), "len", "word")
     best = hits.groupBy("record_id").agg(F.array_sort(F.collect_set(item)).alias("items")).withColumn("x", F.explode(spans.leftmost_longest(F.col("items"))))
     numbered = best.select("record_id", "x.start", "x.len", F.lit(1).alias("priority"), F.concat(F.lit("HOST-"), F.hex(F.crc32("x.word"))).alias("token"))
