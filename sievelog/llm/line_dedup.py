@@ -1,12 +1,13 @@
-"""Line dedup by repeated runs of lines.
+"""Line dedup by pairwise alignment.
 
-Documents are aligned line by line; a block of equal lines in both of at least ``min_words`` words goes from the later
-one. A pair of documents need not be formed for that: such a block is the union of its shortest runs, which end or begin
-at each of its lines, or hold two neighbours, and have ``min_words`` words. A run depends on nothing but its own lines, so every document that
-holds the block has the same runs, and the first holder of each run (the smallest document with it) tells whether an
-earlier document has it, however many hold it and whatever else its lines stand in. Each line makes three rows at most.
+Documents that overlap are found through lines that at most ``rare`` documents hold: each such line pairs its holders.
+A passage of which every line is held by more documents has no such line; there, runs of those frequent lines with
+``min_words`` words pair a document with the run's first holder, which is exact, however many hold it: a block of
+frequent lines is the union of its shortest runs. Each pair is aligned by patience diff, and the aligned blocks of at
+least ``min_words`` words go from the later document.
 
-``aligned_blocks`` does the same for one pair of documents by patience diff; the tests hold the runs against all pairs.
+A line or run that a large part of all documents holds is met by broadcasting it (there are at most ``HOT`` such), so no
+key's rows go to one task, and the lines of a document with many partners are dealt to several.
 """
 
 from __future__ import annotations
@@ -17,11 +18,14 @@ from collections.abc import Iterator
 
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch
 
+#: A key is hot if it has more than one in HOT of all rows, so there are never more hot keys than that.
+HOT = 10_000
+
 
 def longest_increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Of pairs sorted by their first number, a longest run with both numbers increasing (patience sorting)."""
@@ -43,74 +47,162 @@ def longest_increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
-def aligned_blocks(matches: list[tuple[int, int, bool, int]], min_words: int) -> list[tuple[int, int]]:
-    """Blocks (first line, end) to delete from the later document. ``matches``: (its line, the earlier one's line, once in
-    either document, words of the line), for the lines both have."""
-    links = {(d, e): w for d, e, _, w in matches}
-    anchors = sorted((d, e) for d, e, once, _ in matches if once) or sorted((d, e) for d, e, _, _ in matches)
-    taken: dict[int, int] = {}
-    for d, e in longest_increasing(anchors):
-        for step in (1, -1):
-            x, y = d, e
-            while (x, y) in links and (x == d or x not in taken):
-                taken[x] = y
-                x, y = x + step, y + step
-    # Blocks that stand in another order in the later document lie on diagonals of their own.
-    moved = sorted((d - e, d, e) for d, e in links if d not in taken)
-    out, run = [], []
-    for d, e in [*sorted(taken.items()), *((d, e) for _, d, e in moved), (-2, -2)]:
-        if run and (d, e) != (run[-1][0] + 1, run[-1][1] + 1):
-            if sum(links[x] for x in run) >= min_words:
-                out.append((run[0][0], run[-1][0] + 1))
-            run = []
-        run.append((d, e))
+def anchors(late: list[int], early: list[int]) -> set[tuple[int, int]]:
+    """Places (late, early) of the same line, or of the same two lines in a row: the n-th in one with the n-th in the
+    other; further ones of the later document with the last of the earlier."""
+    out = set()
+    for x, y in ((late, early), (list(zip(late, late[1:])), list(zip(early, early[1:])))):
+        there: dict = {}
+        for j, line in enumerate(y):
+            there.setdefault(line, []).append(j)
+        met: dict = {}
+        for i, line in enumerate(x):
+            if line in there:
+                n = met[line] = met.get(line, -1) + 1
+                out.add((i, there[line][min(n, len(there[line]) - 1)]))
+    return out
+
+
+def aligned_blocks(late: list[int], early: list[int], words: list[int], min_words: int) -> list[tuple[int, int]]:
+    """Blocks (first line, end) of the later document that the earlier one holds, by patience diff.
+
+    Anchors grow over equal neighbours to blocks; those of fewer than ``min_words`` words are noise. The most blocks that
+    stand in one order in both are aligned (patience sorting), then the most of those that are left over because they
+    stand elsewhere, until all are.
+    """
+    known = set(early)
+    if sum(w for line, w in zip(late, words, strict=True) if line in known) < min_words:
+        return []
+    found, last = [], (None, 0)
+    for shift, i in sorted((i - j, i) for i, j in anchors(late, early)):
+        if last[0] == shift and i < last[1]:
+            continue
+        lo, hi = i, i + 1
+        while lo and lo - shift and late[lo - 1] == early[lo - shift - 1]:
+            lo -= 1
+        while hi < len(late) and hi - shift < len(early) and late[hi] == early[hi - shift]:
+            hi += 1
+        last = (shift, hi)
+        if sum(words[lo:hi]) >= min_words:
+            found.append((lo, lo - shift, hi))
+    out, left = [], sorted(found)
+    while left:
+        aligned = set(longest_increasing([(lo, at) for lo, at, _ in left]))
+        out += [(lo, hi) for lo, at, hi in left if (lo, at) in aligned]
+        left = [x for x in left if x[:2] not in aligned]
     return out
 
 
-def line_runs(lines: list[bytes], min_words: int) -> set[tuple[int, int]]:
-    """Shortest runs (first line, end) of ``min_words`` words or more that begin or end at a line, or hold a line and the
-    next. Blank lines count for nothing: a run goes on behind them."""
-    at = [i for i, line in enumerate(lines) if line]
-    words = [len(lines[i].split()) for i in at]
-    runs = {(at[n - 1], at[n] + 1) for n in range(1, len(at)) if max(words[n - 1], words[n]) >= min_words}
-    for order in (range(len(at)), range(len(at) - 1, -1, -1)):
-        total = other = 0
-        for n in order:
-            total += words[n]
-            while total - words[order[other]] >= min_words:
-                total -= words[order[other]]
-                other += 1
+def line_runs(words: list[int], often: list[bool], min_words: int) -> set[tuple[int, int]]:
+    """Of lines that are all frequent, the shortest runs (first line, end) of ``min_words`` words or more that begin or end
+    at a line, or hold a line and the next."""
+    runs: set[tuple[int, int]] = set()
+    n = len(words)
+    runs |= {(i - 1, i + 1) for i in range(1, n) if often[i - 1] and often[i] and max(words[i - 1], words[i]) >= min_words}
+    for order in (range(n), range(n - 1, -1, -1)):
+        total, back = 0, []
+        for i in order:
+            if not often[i]:
+                total, back = 0, []
+                continue
+            back.append(i)
+            total += words[i]
+            first = 0
+            while total - words[back[first]] >= min_words:
+                total -= words[back[first]]
+                first += 1
+            back = back[first:] if first else back
             if total >= min_words:
-                a, b = sorted((at[n], at[order[other]]))
+                a, b = sorted((i, back[0]))
                 runs.add((a, b + 1))
     return runs
 
 
-def line_blocks(docs: DataFrame, min_words: int = 20, key: str = "doc_id", text: str = "text") -> DataFrame:
+def met(rows: DataFrame, table: DataFrame, key: str, total: int) -> DataFrame:
+    """``rows`` joined with ``table`` (key, n: its number of rows, ...) on the key. Hot keys' few rows are broadcast."""
+    hot = table.filter(F.col("n") > max(1000, total // HOT))
+    cold = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(table.filter(F.col("n") <= max(1000, total // HOT)), key)
+    return rows.join(F.broadcast(hot), key).unionByName(cold)
+
+
+def line_blocks(docs: DataFrame, min_words: int = 20, key: str = "doc_id", text: str = "text", rare: int = 5) -> DataFrame:
     """Blocks to delete: (doc, version, blocks array<struct<first, end>>) of each document that has any.
 
     A document is its key with a hash of its text (version); rows that repeat both are one document. Lines are what is
-    between newlines, without white space at either end; blank lines inside a block go with it.
+    between newlines, without white space at either end; blank lines count for nothing, a block goes on behind them.
     """
     scratch = Scratch(docs.sparkSession, "lines")
+    who = F.struct(F.col("doc").isNull().alias("last"), "doc", "version")
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         digest = xxhash.xxh3_64_intdigest
         for batch in batches:
             rows: list[tuple] = []
             for doc, version, body in zip(batch["doc"], batch["version"], batch["body"], strict=True):
-                lines = [x.strip().encode("utf-8", "surrogatepass") for x in (body or "").split("\n")]
-                rows += [(doc, version, digest(b"\n".join(filter(None, lines[a:b]))) - (1 << 63), a, b) for a, b in line_runs(lines, min_words)]
+                lines = [(i, x) for i, x in enumerate(map(str.strip, body.split("\n"))) if x]
+                if lines:
+                    rows.append((doc, version, [digest(x.encode("utf-8", "surrogatepass")) - (1 << 63) for _, x in lines], [i for i, _ in lines], [len(x.split()) for _, x in lines]))
             if rows:
-                yield pd.DataFrame(rows, columns=["doc", "version", "run", "first", "end"]).astype({"doc": "Int64"})
+                yield pd.DataFrame(rows, columns=["doc", "version", "lines", "at", "words"]).astype({"doc": "Int64"})
 
     source = docs.select(F.col(key).cast("long").alias("doc"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("version"), F.col(text).alias("body"))
-    runs = scratch.save(source.mapInPandas(split, "doc long, version long, run long, first int, end int"), "runs")
-    who = F.struct(F.col("doc").isNull().alias("last"), "doc", "version")
-    held = runs.groupBy("run").agg(F.min(who).alias("low"), F.max(who).alias("high"))
-    first = scratch.save(held.filter("low <> high").select("run", F.col("low").alias("holder")), "first")
-    met = runs.join(first, "run").filter(F.col("holder") != who)
-    gathered = met.groupBy("doc", "version").agg(F.array_sort(F.collect_set(F.struct("first", "end"))).alias("blocks"))
+    one = source.filter("body IS NOT NULL").mapInPandas(split, "doc long, version long, lines array<long>, at array<int>, words array<int>")
+    packed = scratch.save(one.groupBy("doc", "version").agg(*[F.any_value(c).alias(c) for c in ("lines", "at", "words")]), "packed")
+
+    # Lines of more than one document, with the number of their holders.
+    every = packed.select("doc", "version", F.posexplode("lines").alias("pos", "line"))
+    counts = packed.select(F.explode(F.array_distinct("lines")).alias("line")).groupBy("line").agg(F.count("*").alias("n")).filter("n > 1")
+    counts = scratch.save(counts, "counts")
+    total = packed.agg(F.sum(F.size("lines"))).first()[0] or 0
+    shared = scratch.save(met(every, counts, "line", total), "shared")
+
+    # Pairs by rare lines: a line's holders are at most ``rare``.
+    holders = shared.filter(F.col("n") <= rare).groupBy("line").agg(F.array_sort(F.collect_set(who)).alias("held"))
+    couples = F.flatten(F.transform("held", lambda x, i: F.transform(F.slice("held", 1, i), lambda y: F.struct(x.alias("late"), y.alias("early")))))
+    by_lines = holders.select(F.explode(couples).alias("x")).select("x.late", "x.early").filter("late <> early")
+
+    # Pairs by runs of frequent lines: with the run's first holder.
+    def run_hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for doc, version, lines, words, places in zip(batch["doc"], batch["version"], batch["lines"], batch["words"], batch["often"], strict=True):
+                often = [False] * len(lines)
+                for i in places:
+                    often[i] = True
+                rows += [(doc, version, xxhash.xxh3_64_intdigest(lines[a:b].tobytes()) - (1 << 63)) for a, b in line_runs(words.tolist(), often, min_words)]
+            if rows:
+                yield pd.DataFrame(rows, columns=["doc", "version", "run"]).astype({"doc": "Int64"})
+
+    often = shared.filter(F.col("n") > rare).groupBy(F.col("doc").alias("d"), F.col("version").alias("v")).agg(F.collect_list("pos").alias("often"))
+    of_often = packed.join(often, F.col("doc").eqNullSafe(F.col("d")) & (F.col("version") == F.col("v"))).select("doc", "version", "lines", "words", "often")
+    runs = scratch.save(of_often.mapInPandas(run_hashes, "doc long, version long, run long"), "runs")
+    firsts = scratch.save(runs.groupBy("run").agg(F.count("*").alias("n"), F.min(who).alias("early"), F.max(who).alias("high")).filter("early <> high").drop("high"), "firsts")
+    by_runs = met(runs.select("run", who.alias("late")), firsts, "run", runs.count()).select("late", "early").filter("late <> early")
+    pairs = scratch.save(by_lines.unionByName(by_runs).distinct(), "pairs")
+
+    # Both documents' lines beside each pair; those of an earlier document with many partners are dealt to several tasks.
+    partners = pairs.groupBy("early").agg(F.count("*").alias("n"))
+    most = max(1000, pairs.count() // HOT)
+    dealt = scratch.save(partners.filter(F.col("n") > most).select("early", F.ceil(F.col("n") / most).cast("int").alias("parts")), "dealt")
+
+    def side(name: str) -> DataFrame:
+        return packed.select(who.alias(name), *[F.col(c).alias(f"{name}_{c}") for c in ("lines", "at", "words")])
+
+    parts: Column = F.coalesce("parts", F.lit(1))
+    salted = pairs.join(F.broadcast(dealt), "early", "left").select("late", "early", F.pmod(F.xxhash64("late"), parts).cast("int").alias("part"))
+    copied = side("early").join(F.broadcast(dealt), "early", "left").select("early", "early_lines", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
+    ready = salted.join(copied, ["early", "part"]).join(side("late"), "late")
+
+    def align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for doc, version, early, lines, at, words in zip(*(batch[c] for c in ("doc", "version", "early_lines", "late_lines", "late_at", "late_words")), strict=True):
+                rows += [(doc, version, int(at[a]), int(at[b - 1]) + 1) for a, b in aligned_blocks(lines.tolist(), early.tolist(), words.tolist(), min_words)]
+            if rows:
+                yield pd.DataFrame(rows, columns=["doc", "version", "first", "end"]).astype({"doc": "Int64"})
+
+    aligned = ready.select("late.doc", "late.version", "early_lines", "late_lines", "late_at", "late_words").mapInPandas(align, "doc long, version long, first int, end int")
+    gathered = aligned.groupBy("doc", "version").agg(F.array_sort(F.collect_set(F.struct("first", "end"))).alias("blocks"))
 
     def unite(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

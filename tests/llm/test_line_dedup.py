@@ -2,7 +2,9 @@
 
 import random
 
-from sievelog.llm.line_dedup import aligned_blocks, drop_repeated_blocks, line_dedup, longest_increasing
+import pytest
+
+from sievelog.llm.line_dedup import aligned_blocks, drop_repeated_blocks, line_blocks, line_dedup, longest_increasing
 
 
 def test_longest_increasing_against_brute_force():
@@ -16,9 +18,15 @@ def test_longest_increasing_against_brute_force():
 
 
 def test_blocks_grow_over_repeated_neighbours():
-    matches = [(3, 7, True, 10), (4, 8, False, 8), (5, 9, False, 8), (9, 1, True, 3)]
-    assert aligned_blocks(matches, 20) == [(3, 6)]
-    assert aligned_blocks(matches, 27) == []
+    late, early = [9, 8, 7, 1, 2, 2, 5], [3, 1, 2, 2, 6, 5]
+    words = [3, 3, 3, 10, 8, 8, 3]
+    assert aligned_blocks(late, early, words, 20) == [(3, 6)]
+    assert aligned_blocks(late, early, words, 27) == []
+
+
+def test_blocks_in_another_order():
+    late, early = [1, 2, 50, 3, 4], [3, 4, 60, 1, 2]
+    assert sorted(aligned_blocks(late, early, [10] * 5, 20)) == [(0, 2), (3, 5)]
 
 
 def words(draw, n):
@@ -100,6 +108,28 @@ def test_against_all_pairs(spark):
     assert sum(got[i] != text for i, text in rows) > 40
 
 
+def test_a_common_line_inside_a_passage(spark):
+    draw = random.Random(12)
+    passage = [words(draw, 9) for _ in range(3)]
+    rows = [(0, passage[1])] + [(i, "\n".join([words(draw, 12), *passage, words(draw, 12)])) for i in (5, 7)]
+    out = {r.doc_id: r.n_removed for r in line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out == {0: 0, 5: 0, 7: 3}
+
+
+@pytest.mark.parametrize("rare", [1, 2, 5, 100])
+def test_rare_lines_and_runs_find_the_same(spark, rare):
+    draw = random.Random(14)
+    stock = [words(draw, n) for n in (3, 5, 8, 8, 10, 10, 15, 25)]
+    rows = [(i, "\n".join(words(draw, 4) if draw.random() < 0.3 else stock[draw.randrange(8)] for _ in range(draw.randrange(14)))) for i in range(60)]
+    rows += [(None, rows[3][1]), (70, rows[3][1]), (70, rows[3][1]), (70, rows[9][1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    blocks = line_blocks(df, rare=rare)
+    got = {(r.doc, tuple(tuple(b) for b in r.blocks)) for r in blocks.collect()}
+    want = {(r.doc, tuple(tuple(b) for b in r.blocks)) for r in line_blocks(df, rare=3).collect()}
+    lines = lambda x: {(d, i) for d, blocks in x for a, b in blocks for i in range(a, b)}
+    assert len(lines(got) ^ lines(want)) <= 0.01 * len(lines(want)) and got
+
+
 def test_blank_lines_and_earlier_repeats_do_not_cut_a_block(spark):
     draw = random.Random(10)
     short, long = [words(draw, 10) for _ in range(6)], [words(draw, 30) for _ in range(3)]
