@@ -7,8 +7,8 @@ are read pixel by pixel. Transforms are inverted with array operations, row by r
 
 from __future__ import annotations
 
-import heapq
 import struct
+from functools import cache
 
 import numpy as np
 
@@ -25,6 +25,8 @@ NEIGHBOURS = (
 CACHE_FACTOR = 0x1E35A7BD
 BLACK = 0xFF000000
 LIMIT = 16384
+PHASES = np.arange(8)
+ORDER = np.array(LENGTH_ORDER)
 
 
 class Bits:
@@ -33,6 +35,10 @@ class Bits:
     def __init__(self, data: bytes):
         self.data, self.at = data + bytes(16), 0
 
+    def look(self) -> int:
+        """At least the next 57 bits."""
+        return int.from_bytes(self.data[self.at >> 3 : (self.at >> 3) + 8], "little") >> (self.at & 7)
+
     def read(self, n: int) -> int:
         lo = self.at >> 3
         value = int.from_bytes(self.data[lo : lo + 8], "little") >> (self.at & 7)
@@ -42,70 +48,105 @@ class Bits:
         return value & ((1 << n) - 1)
 
 
+@cache
+def turned(n: int) -> np.ndarray:
+    """The numbers of n bits with their bits turned round."""
+    out = np.zeros(1, np.int64)
+    for _ in range(n):
+        out = np.concatenate([2 * out, 2 * out + 1])
+    return out
+
+
+def canonical(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, int, np.ndarray]:
+    """The used symbols in order of their codes, their lengths, the longest one, and how many numbers of that many bits
+    begin with each code."""
+    used = lengths.nonzero()[0]
+    used = used[np.argsort(lengths[used], kind="stable")]
+    n = lengths[used]
+    top = int(n[-1])
+    return used, n, top, 1 << (top - n)
+
+
 def codes_of(lengths: np.ndarray) -> np.ndarray:
     """Canonical codes of the lengths, their bits turned round (first bit lowest)."""
-    codes, code, last = np.zeros(len(lengths), np.int64), 0, 0
-    for s in sorted(np.flatnonzero(lengths), key=lambda s: (lengths[s], s)):
-        n = int(lengths[s])
-        code <<= n - last
-        codes[s] = int(f"{code:0{n}b}"[::-1], 2)
-        code, last = code + 1, n
+    codes = np.zeros(len(lengths), np.int64)
+    if np.any(lengths):
+        used, _, top, share = canonical(lengths)
+        codes[used] = turned(top)[np.minimum(np.cumsum(share) - share, (1 << top) - 1)]
     return codes
 
 
 class Code:
-    """A prefix code as tables over the next 15 bits: symbol and length (0 where there's only one symbol)."""
+    """A prefix code as tables over as many bits as its longest code has: symbol and length (0 where there's only one
+    symbol)."""
 
     def __init__(self, lengths: np.ndarray):
-        used = np.flatnonzero(lengths)
-        self.symbol, self.length = np.zeros(1 << 15, np.int32), np.zeros(1 << 15, np.int32)
-        if len(used) == 1:
-            self.symbol[:] = used[0]
-        elif len(used):
-            codes, filled = codes_of(lengths), 0
-            for s in used:
-                n = int(lengths[s])
-                self.symbol[codes[s] :: 1 << n], self.length[codes[s] :: 1 << n] = s, n
-                filled += 1 << (15 - n)
-            if filled != 1 << 15:
-                raise ValueError("a prefix code isn't complete")
-        self.constant = len(used) <= 1
+        used = lengths.nonzero()[0]
+        self.constant, self.last = len(used) <= 1, int(used[-1]) if len(used) else 0
+        if self.constant:
+            self.symbol, self.length, self.mask, self.longest = np.array([self.last]), np.zeros(1, np.int64), 0, 0
+            return
+        used, n, top, share = canonical(lengths)
+        if share.sum() != 1 << top or top > 15:
+            raise ValueError("a prefix code isn't complete")
+        order, self.mask, self.longest = turned(top), (1 << top) - 1, top
+        self.symbol, self.length = np.repeat(used, share)[order], np.repeat(n, share)[order]
 
     def read(self, bits: Bits) -> int:
         at = bits.at
-        w = int.from_bytes(bits.data[at >> 3 : (at >> 3) + 4], "little") >> (at & 7) & 0x7FFF
+        w = int.from_bytes(bits.data[at >> 3 : (at >> 3) + 4], "little") >> (at & 7) & self.mask
         bits.at += int(self.length[w])
         return int(self.symbol[w])
 
 
+@cache
+def simple_code(*symbols: int) -> Code:
+    lengths = np.zeros(max(symbols) + 1, np.int64)
+    lengths[list(symbols)] = 1
+    return Code(lengths)
+
+
 def read_code(bits: Bits, alphabet: int) -> Code:
-    lengths = np.zeros(alphabet, np.int64)
-    if bits.read(1):
-        two, wide = bits.read(1), bits.read(1)
-        lengths[bits.read(8 if wide else 1)] = 1
-        if two:
-            lengths[bits.read(8)] = 1
-        return Code(lengths)
+    w = bits.look()
+    if w & 1:
+        two, wide = w >> 1 & 1, w >> 2 & 1
+        n = 8 if wide else 1
+        bits.read(3 + n + 8 * two)
+        first = w >> 3 & ((1 << n) - 1)
+        return simple_code(first, w >> (3 + n) & 255) if two else simple_code(first)
+    n = 4 + (w >> 1 & 15)
+    bits.at += 5
+    packed = bits.read(3 * n)
     own = np.zeros(19, np.int64)
-    for i in range(4 + bits.read(4)):
-        own[LENGTH_ORDER[i]] = bits.read(3)
+    own[ORDER[:n]] = [packed >> 3 * i & 7 for i in range(n)]
     code = Code(own)
+    symbol, length, mask = code.symbol.tolist(), code.length.tolist(), code.mask
     left = 2 + bits.read(2 + 2 * bits.read(3)) if bits.read(1) else alphabet
-    s, last = 0, 8
-    while s < alphabet and left:
+    lo, used = bits.at >> 3, bits.at & 7
+    ahead = int.from_bytes(bits.data[lo : lo + 2 * alphabet + 8], "little")  # a length takes at most 7 + 7 bits
+    lengths, last = [], 8
+    while left and len(lengths) < alphabet:
         left -= 1
-        n = code.read(bits)
+        w = ahead >> used & mask
+        n = symbol[w]
+        used += length[w]
         if n < 16:
-            lengths[s] = n
+            lengths.append(n)
             last = n or last
-            s += 1
-            continue
-        value, times = (last, 3 + bits.read(2)) if n == 16 else (0, 3 + bits.read(3)) if n == 17 else (0, 11 + bits.read(7))
-        if s + times > alphabet:
-            raise ValueError("too many code lengths")
-        lengths[s : s + times] = value
-        s += times
-    return Code(lengths)
+        elif n == 16:
+            lengths += [last] * (3 + (ahead >> used & 3))
+            used += 2
+        elif n == 17:
+            lengths += [0] * (3 + (ahead >> used & 7))
+            used += 3
+        else:
+            lengths += [0] * (11 + (ahead >> used & 127))
+            used += 7
+    if len(lengths) > alphabet:
+        raise ValueError("too many code lengths")
+    bits.at = 8 * lo + used
+    bits.read(0)
+    return Code(np.array(lengths, np.int64))
 
 
 def extra_bits(prefix: int) -> tuple[int, int]:
@@ -119,11 +160,14 @@ def extra_bits(prefix: int) -> tuple[int, int]:
 EXTRA, LEAST = (np.array(x) for x in zip(*map(extra_bits, range(40))))
 
 
+@cache
+def near_distances(width: int) -> np.ndarray:
+    """Distances of the codes from 1 to 120, after a zero."""
+    return np.array([0] + [max(1, x + y * width) for x, y in NEIGHBOURS])
+
+
 def distance_of(code: int, width: int) -> int:
-    if code > len(NEIGHBOURS):
-        return code - len(NEIGHBOURS)
-    x, y = NEIGHBOURS[code - 1]
-    return max(1, x + y * width)
+    return code - len(NEIGHBOURS) if code > len(NEIGHBOURS) else int(near_distances(width)[code])
 
 
 def read_image(bits: Bits, width: int, height: int, top: bool = False) -> np.ndarray:
@@ -166,83 +210,122 @@ def read_image(bits: Bits, width: int, height: int, top: bool = False) -> np.nda
     return np.array(out, np.uint32)
 
 
-def _read_all(bits: Bits, group: list[Code], width: int, n: int, span: int = 1 << 20) -> np.ndarray:
+def _read_few(bits: Bits, group: list[Code], n: int) -> np.ndarray:
+    """A few pixels without copies, one after the other."""
+    lo, used, fixed, codes = bits.at >> 3, bits.at & 7, 0, []
+    ahead = int.from_bytes(bits.data[lo : lo + 8 * n + 8], "little")
+    for code, up in zip(group, (8, 16, 0, 24)):
+        if code.constant:
+            fixed |= code.last << up
+        else:
+            codes.append((code.symbol.tolist(), code.length.tolist(), code.mask, up))
+    out = [fixed] * n
+    for i in range(n):
+        for symbol, length, mask, up in codes:
+            w = ahead >> used & mask
+            out[i] |= symbol[w] << up
+            used += length[w]
+    bits.at = 8 * lo + used
+    bits.read(0)
+    return np.array(out, np.uint32)
+
+
+def _read_all(bits: Bits, group: list[Code], width: int, n: int, span: int = 1 << 15) -> np.ndarray:
     """Pixels under one code group, by looking up the codes at every bit position of a stretch."""
     green, red, blue, alpha, far = group
     out, done = np.zeros(n, np.uint32), 0
     raw = np.frombuffer(bits.data, np.uint8)
     only = red.constant and blue.constant and alpha.constant
+    fixed = np.uint32(int(alpha.symbol[0]) << 24 | int(red.symbol[0]) << 16 | int(blue.symbol[0]))
     if only and green.constant and green.symbol[0] < 256:
-        out[:] = int(alpha.symbol[0]) << 24 | int(red.symbol[0]) << 16 | int(green.symbol[0]) << 8 | int(blue.symbol[0])
+        out[:] = fixed | np.uint32(int(green.symbol[0]) << 8)
         return out
-    ahead = 192  # a step takes at most 15 + 14 + 15 + 18 bits, or four codes
+    ahead = 256  # four steps take at most 4 * (15 + 14 + 15 + 18) bits
+    copying = green.last >= 256
+    if n <= 256 and not copying:
+        return _read_few(bits, group, n)
+    most = 64 if copying else sum(code.longest for code in group[:4])  # bits of a step
     while done < n:
         lo = bits.at >> 3
-        part = np.zeros(min(len(raw) - lo, span // 8 + ahead // 8) + 8, np.uint32)
-        part[: len(part) - 8] = raw[lo : lo + len(part) - 8]
-        four = part[:-3] | part[1:-2] << 8 | part[2:-1] << 16 | part[3:] << 24
-        four = four[: len(part) - 8]
-        place = np.arange(8 * len(four))
-        window = np.repeat(four, 8) >> (place & 7).astype(np.uint32)
-        window &= np.uint32(0x7FFF)
-        symbol = green.symbol[window]
-        step = green.length[window].astype(np.int64)
+        size = min(len(raw) - lo, (min(span, (n - done) * most) + ahead) // 8)
+        part = np.zeros(size + 48, np.int64)
+        part[:size] = raw[lo : lo + size]
+        window = ((part[:-3] | part[1:-2] << 8 | part[2:-1] << 16 | part[3:] << 24)[:, None] >> PHASES).ravel()
+        at = window & green.mask
+        step = green.length[at]
+        place = np.arange(len(window))
         end = len(place) - 1
         if not only:
             for code in (red, blue, alpha):
-                step += code.length[window[np.minimum(place + step, end)]]
-        long = np.flatnonzero(symbol >= 256)
-        if len(long):
-            a = long + green.length[window[long]]
-            b = a + EXTRA[symbol[long] - 256]
-            w = window[np.minimum(b, end)]
+                step = step + code.length[window[np.minimum(place + step, end)] & code.mask]
+        if copying:
+            long = (green.symbol >= 256)[at].nonzero()[0]
+            b = long + step[long] if only else long + green.length[at[long]]
+            b += EXTRA[green.symbol[at[long]] - 256]
+            w = window[np.minimum(b, end)] & far.mask
             step[long] = b - long + far.length[w] + EXTRA[far.symbol[w]]
-        steps, chain, p = (place + step).tolist(), [], bits.at & 7
-        stop, left = max(1, min(len(place), span)), n - done
-        last = stop if lo + len(four) < len(raw) else len(place)
-        while p < last and left > 0:
-            chain.append(p)
-            q = steps[p]
-            if q == p:
-                raise ValueError("the image's data can't be read")
-            p, left = q, left - 1
-        chain = np.array(chain, np.int64)
-        found = symbol[chain]
-        cut = used = 0
-        for k in [*np.flatnonzero(found >= 256).tolist(), len(chain)]:
-            k2 = min(k, cut + n - done)
-            c = chain[cut:k2]
-            value = found[cut:k2].astype(np.uint32) << 8
-            if only:
-                value |= np.uint32(int(alpha.symbol[0]) << 24 | int(red.symbol[0]) << 16 | int(blue.symbol[0]))
-            else:
-                at = c + green.length[window[c]]
-                for code, up in ((red, 16), (blue, 0), (alpha, 24)):
-                    w = window[at]
-                    value |= code.symbol[w].astype(np.uint32) << np.uint32(up)
-                    at = at + code.length[w]
-            out[done : done + len(c)] = value
-            done += len(c)
-            used, cut = k2, k + 1
-            if k == len(chain) or done >= n:
+        left, last = n - done, min(8 * size, span) if size < len(raw) - lo else 8 * size
+        if not step.min():
+            raise ValueError("the image's data can't be read")
+        # The chain of positions, four steps at a time.
+        two = step[:-64] + step[(place + step)[:-64]]
+        hop = memoryview((two[:-128] + two[(place[:-64] + two)[:-128]]).astype(np.uint16))
+        chain, p, last = [], bits.at & 7, min(last, len(hop))
+        for _ in range((left + 3) // 4):
+            if p >= last:
                 break
-            sub = Bits(b"")
-            sub.data, sub.at = bits.data, 8 * lo + int(chain[k]) + int(green.length[window[chain[k]]])
-            s = int(found[k]) - 256
-            m = int(LEAST[s]) + sub.read(int(EXTRA[s]))
-            d = far.read(sub)
-            d = distance_of(int(LEAST[d]) + sub.read(int(EXTRA[d])), width)
-            if d > done or done + m > n:
-                raise ValueError("a back-reference leaves the image")
-            while m:
-                k3 = min(d, m)
-                out[done : done + k3] = out[done - d : done - d + k3]
-                done, m = done + k3, m - k3
-            used = cut
-        # A copy counts as one step of the chain, so the image may end before the chain does.
-        bits.at = 8 * lo + (int(chain[used]) if used < len(chain) else p)
-        if not len(chain):
+            chain.append(p)
+            p += hop[p]
+        if not chain:
             raise ValueError("the image's data ends early")
+        chain = np.array(chain)
+        second = chain + two[chain]
+        steps = np.empty((len(chain), 4), np.int64)
+        steps[:, 0], steps[:, 1], steps[:, 2], steps[:, 3] = chain, chain + step[chain], second, second + step[second]
+        chain = steps.ravel()
+        found = green.symbol[at[chain]]
+        value = found.astype(np.uint32) << 8
+        if only:
+            value |= fixed
+        else:
+            follow = chain + green.length[at[chain]]
+            for code, up in ((red, 16), (blue, 0), (alpha, 24)):
+                w = window[np.minimum(follow, end)] & code.mask
+                value |= code.symbol[w].astype(np.uint32) << np.uint32(up)
+                follow = follow + code.length[w]
+        copies = (found >= 256).nonzero()[0] if copying else ()
+        if not len(copies):
+            used = min(left, len(chain))
+            out[done : done + used] = value[:used]
+            done += used
+        else:
+            c, s = chain[copies], found[copies] - 256
+            x = c + green.length[at[c]]
+            length = LEAST[s] + (window[x] & ((1 << EXTRA[s]) - 1))
+            x += EXTRA[s]
+            w = window[x] & far.mask
+            d = far.symbol[w]
+            distance = LEAST[d] + (window[x + far.length[w]] & ((1 << EXTRA[d]) - 1))
+            distance = np.where(distance > len(NEIGHBOURS), distance - len(NEIGHBOURS), near_distances(width)[np.minimum(distance, len(NEIGHBOURS))])
+            pixels = np.ones(len(chain), np.int64)
+            pixels[copies] = length
+            first = done + np.cumsum(pixels) - pixels
+            used = int(np.searchsorted(first, n))  # a copy is one step, so the image may end before the chain
+            plain = found[:used] < 256
+            out[first[:used][plain]] = value[:used][plain]
+            for i, m, d in zip(first[copies].tolist(), length.tolist(), distance.tolist(), strict=True):
+                if i >= n:
+                    break
+                if d > i or i + m > n:
+                    raise ValueError("a back-reference leaves the image")
+                while m:
+                    k = min(d, m)
+                    out[i : i + k] = out[i - d : i - d + k]
+                    i, m = i + k, m - k
+            done = int(first[used - 1] + pixels[used - 1])
+        bits.at = 8 * lo + int(chain[used - 1] + step[chain[used - 1]])
+    if bits.at > 8 * len(bits.data):
+        raise ValueError("the image's data ends early")
     return out
 
 
@@ -300,6 +383,13 @@ def cross_colour(image: np.ndarray, elements: np.ndarray, shift: int, inverse: b
     return _pixels(c)
 
 
+def green_from_others(image: np.ndarray, inverse: bool) -> np.ndarray:
+    """Green added to red and blue (inverse), or taken from them; both lie in one number, with room for a borrow."""
+    others, green = image & np.uint32(0x00FF00FF), (image >> 8 & 255) * np.uint32(0x00010001)
+    others = others + green if inverse else others + np.uint32(0x01000100) - green
+    return image & np.uint32(0xFF00FF00) | others & np.uint32(0x00FF00FF)
+
+
 def bundle_bits(colours: int) -> int:
     return 3 if colours <= 2 else 2 if colours <= 4 else 1 if colours <= 16 else 0
 
@@ -337,9 +427,7 @@ def decode_one(data: bytes) -> tuple[np.ndarray, int]:
         elif kind == 1:
             image = cross_colour(image, extra, shift, True)
         elif kind == 2:
-            c = _channels(image)
-            c[..., [0, 2]] += c[..., [1]]
-            image = _pixels(c)
+            image = green_from_others(image, True)
         else:
             index = image >> 8 & 255
             if shift:
@@ -365,60 +453,131 @@ class Writer:
     def __init__(self):
         self.values: list[np.ndarray] = []
         self.sizes: list[np.ndarray] = []
+        self.few: tuple[list[int], list[int]] = ([], [])
 
     def put(self, value: int, n: int) -> None:
-        self.many(np.array([value]), np.array([n]))
+        self.few[0].append(value)
+        self.few[1].append(n)
 
     def many(self, values: np.ndarray, sizes: np.ndarray) -> None:
-        self.values.append(np.asarray(values, np.int64))
-        self.sizes.append(np.asarray(sizes, np.int64))
+        if self.few[0]:
+            few, self.few = self.few, ([], [])
+            self.many(*few)
+        self.values.append(np.asarray(values, np.int32))
+        self.sizes.append(np.asarray(sizes, np.int32))
 
     def bytes(self) -> bytes:
+        self.many([], [])
         values, sizes = np.concatenate(self.values), np.concatenate(self.sizes)
         out = []
         for lo in range(0, len(values), 1 << 20):
             v, s = values[lo : lo + (1 << 20)], sizes[lo : lo + (1 << 20)]
-            nth = np.arange(s.sum()) - np.repeat(np.cumsum(s) - s, s)
+            ends = np.cumsum(s, dtype=np.int32)
+            nth = np.arange(int(ends[-1]), dtype=np.int32) - np.repeat(ends - s, s)
             out.append((np.repeat(v, s) >> nth & 1).astype(np.uint8))
         return np.packbits(np.concatenate(out), bitorder="little").tobytes()
 
 
 def code_lengths(counts: np.ndarray, limit: int = 15) -> np.ndarray:
     """Huffman lengths of the symbols that occur, none over ``limit``."""
-    counts = counts.astype(np.int64)
+    used = counts.nonzero()[0]
+    lengths = np.zeros(len(counts), np.int64)
+    if len(used) < 2:
+        lengths[used] = 1
+        return lengths
+    weights, n = counts[used].astype(np.int64), len(used)
     while True:
-        heap = [(int(c), i, (i,)) for i, c in enumerate(counts) if c]
-        lengths = np.zeros(len(counts), np.int64)
-        if len(heap) == 1:
-            lengths[heap[0][1]] = 1
-        heapq.heapify(heap)
-        while len(heap) > 1:
-            a, b = heapq.heappop(heap), heapq.heappop(heap)
-            lengths[list(a[2] + b[2])] += 1
-            heapq.heappush(heap, (a[0] + b[0], min(a[1], b[1]), a[2] + b[2]))
-        if lengths.max(initial=0) <= limit:
+        order = np.argsort(weights, kind="stable")
+        # Leaves in order of weight, then inner nodes in the order of their making, which is of weight, too.
+        weight, above = weights[order].tolist(), [0] * (2 * n - 1)
+        leaf, inner = 0, n
+        for made in range(n, 2 * n - 1):
+            total = 0
+            for _ in range(2):
+                if leaf < n and (inner >= made or weight[leaf] <= weight[inner]):
+                    node, leaf = leaf, leaf + 1
+                else:
+                    node, inner = inner, inner + 1
+                total += weight[node]
+                above[node] = made
+            weight.append(total)
+        depth = [0] * (2 * n - 1)
+        for node in range(2 * n - 3, -1, -1):
+            depth[node] = depth[above[node]] + 1
+        if max(depth) <= limit:
+            lengths[used[order]] = depth[:n]
             return lengths
-        counts = np.where(counts > 0, (counts >> 1) + 1, 0)
+        weights = (weights >> 1) + 1
+
+
+def length_tokens(lengths: list[int]) -> list[tuple[int, int, int]]:
+    """(token, extra value, extra bits) for code lengths: runs of zeros and repeats are one token each."""
+    out, at = [], 0
+    while at < len(lengths):
+        value, end = lengths[at], at + 1
+        while end < len(lengths) and lengths[end] == value:
+            end += 1
+        n = end - at
+        if value:
+            out.append((value, 0, 0))
+            n -= 1
+        while n:
+            most = 138 if not value else 6
+            take = min(n, most)
+            if take < 3:
+                out += [(value, 0, 0)] * take
+            elif value:
+                out.append((16, take - 3, 2))
+            else:
+                out.append((17, take - 3, 3) if take <= 10 else (18, take - 11, 7))
+            n -= take
+        at = end
+    return out
+
+
+def write_only(out: Writer, symbol: int) -> None:
+    """Write the code of one symbol below 256, which takes no bits."""
+    n = 8 if symbol > 1 else 1
+    out.put(1 | (n == 8) << 2 | symbol << 3, 3 + n)
 
 
 def write_code(out: Writer, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Write the prefix code of the counts; returns its codes and lengths (zero for an only symbol)."""
-    used = np.flatnonzero(counts)
-    if len(used) <= 1 and used.max(initial=0) < 256:
-        s = int(used[0]) if len(used) else 0
-        out.many([1, 0, int(s > 1), s], [1, 1, 1, 8 if s > 1 else 1])
-        return np.zeros(len(counts), np.int64), np.zeros(len(counts), np.int64)
+    used = counts.nonzero()[0]
+    if len(used) <= 2 and (not len(used) or used[-1] < 256):
+        a = int(used[0]) if len(used) else 0
+        out.put(1, 1)
+        out.put(int(len(used) == 2), 1)
+        out.put(int(a > 1), 1)
+        out.put(a, 8 if a > 1 else 1)
+        codes, lengths = np.zeros(len(counts), np.int64), np.zeros(len(counts), np.int64)
+        if len(used) == 2:
+            out.put(int(used[1]), 8)
+            codes[used[1]], lengths[used] = 1, 1
+        return codes, lengths
     if len(used) == 1:
         counts = counts.copy()
         counts[0] += 1
     lengths = code_lengths(counts)
-    own = code_lengths(np.bincount(lengths, minlength=19), 7)
+    tokens = length_tokens(lengths[: lengths.nonzero()[0][-1] + 1].tolist())
+    if len(tokens) < 2:
+        tokens.append((0, 0, 0))
+    own = code_lengths(np.bincount([t[0] for t in tokens], minlength=19), 7)
     if np.count_nonzero(own) == 1:
-        own[[0, 1] if not own[0] else [0, int(np.flatnonzero(own)[0]) or 1]] = 1
-    out.many([0, 15], [1, 4])
-    out.many(own[list(LENGTH_ORDER)], [3] * 19)
+        own[[0, 1] if not own[0] else [0, int(own.nonzero()[0][0]) or 1]] = 1
+    shown = own[ORDER]
+    n = max(4, int(shown.nonzero()[0][-1]) + 1)
     out.put(0, 1)
-    out.many(codes_of(own)[lengths], own[lengths])
+    out.put(n - 4, 4)
+    out.few[0].extend(shown[:n].tolist())
+    out.few[1].extend([3] * n)
+    out.put(1, 1)
+    wide = max(0, (len(tokens) - 2).bit_length() - 1) // 2
+    out.put(wide, 3)
+    out.put(len(tokens) - 2, 2 + 2 * wide)
+    code, length = codes_of(own).tolist(), own.tolist()
+    out.few[0].extend([code[k] | extra << length[k] for k, extra, _ in tokens])
+    out.few[1].extend([length[k] + size for k, _, size in tokens])
     return codes_of(lengths), lengths
 
 
@@ -435,7 +594,7 @@ def find_copies(samples: np.ndarray, gram: int = 32) -> list[tuple[int, int, int
     if len(samples) < 2 * gram:
         return []
     h = gram_hashes(samples.astype(np.uint8), gram)
-    spots = np.flatnonzero(h & np.uint64(15) == 0)
+    spots = (h & np.uint64(15) == 0).nonzero()[0]
     if len(spots) < 2:
         return []
     order = spots[np.argsort(h[spots], kind="stable")]
@@ -449,7 +608,7 @@ def find_copies(samples: np.ndarray, gram: int = 32) -> list[tuple[int, int, int
         while at - lo > done and source - lo > 0 and samples[at - lo - 1] == samples[source - lo - 1]:
             lo += 1
         room = min(len(samples) - at, 4096 - lo)
-        differ = np.flatnonzero(samples[at : at + room] != samples[source : source + room])
+        differ = (samples[at : at + room] != samples[source : source + room]).nonzero()[0]
         n = lo + (int(differ[0]) if len(differ) else room)
         if n >= gram:
             out.append((at - lo, n, at - source))
@@ -464,13 +623,28 @@ def write_image(out: Writer, pixels: np.ndarray, top: bool = False, copies: list
         out.put(cache_bits, 4)
     if top:
         out.put(0, 1)
-    keep = np.ones(len(pixels), bool)
+    same = bool((pixels & 0xFFFF00FF == pixels[0] & 0xFFFF00FF).all())  # one symbol in each channel but green
+    if not cache_bits and not len(copies) and (same or len(pixels) <= 256):
+        codes = []
+        for up in (8, 16, 0, 24):
+            part = pixels >> up & 255
+            if same and up != 8:
+                write_only(out, int(part[0]))
+            else:
+                c, n = write_code(out, np.bincount(part, minlength=280 if up == 8 else 256))
+                if n.any():
+                    codes.append((c[part], n[part]))
+        write_only(out, 0)
+        if codes:
+            out.many(*(codes[0] if len(codes) == 1 else (np.stack(x, axis=1).ravel() for x in zip(*codes))))
+        return
+    keep, copied = np.ones(len(pixels), bool), np.zeros(len(pixels), bool)
     for at, n, _ in copies:
-        keep[at : at + n] = False
+        keep[at + 1 : at + n] = False  # one token each
     starts = np.array([c[0] for c in copies], np.int64)
-    keep[starts] = True  # one token each
-    at = np.flatnonzero(keep)
-    copied = np.isin(at, starts)
+    copied[starts] = True
+    at = keep.nonzero()[0]
+    copied = copied[at]
     green = (pixels[at] >> 8 & 255).astype(np.int64)
     cached = np.zeros(len(at), bool)
     if cache_bits:
@@ -487,18 +661,30 @@ def write_image(out: Writer, pixels: np.ndarray, top: bool = False, copies: list
     green[copied] = 256 + lp
     plain = ~copied & ~cached
     size = 280 + ((1 << cache_bits) if cache_bits else 0)
-    parts = [(pixels[at] >> s & 255).astype(np.int64) for s in (16, 0, 24)]
     gc, gl = write_code(out, np.bincount(green, minlength=size))
-    codes = [write_code(out, np.bincount(p[plain], minlength=256)) for p in parts]
+    if same:
+        for up in (16, 0, 24):
+            write_only(out, int(pixels[0]) >> up & 255)
+    else:
+        parts = [(pixels[at] >> up & 255).astype(np.int64) for up in (16, 0, 24)]
+        codes = [write_code(out, np.bincount(p[plain], minlength=256)) for p in parts]
     dc, dl = write_code(out, np.bincount(dp, minlength=40))
-    values, sizes = np.zeros((len(at), 4), np.int64), np.zeros((len(at), 4), np.int64)
-    values[:, 0], sizes[:, 0] = gc[green], gl[green]
-    for i, (p, (c, n)) in enumerate(zip(parts, codes, strict=True), 1):
-        values[plain, i], sizes[plain, i] = c[p[plain]], n[p[plain]]
-    values[copied, 1], sizes[copied, 1] = lx, le
-    values[copied, 2], sizes[copied, 2] = dc[dp], dl[dp]
-    values[copied, 3], sizes[copied, 3] = dx, de
-    out.many(values.ravel(), sizes.ravel())
+    if not same:
+        values, sizes = np.zeros((len(at), 4), np.int64), np.zeros((len(at), 4), np.int64)
+        values[:, 0], sizes[:, 0] = gc[green], gl[green]
+        for i, (p, (c, n)) in enumerate(zip(parts, codes, strict=True), 1):
+            values[plain, i], sizes[plain, i] = c[p[plain]], n[p[plain]]
+        values[copied, 1], sizes[copied, 1] = lx, le
+        values[copied, 2], sizes[copied, 2] = dc[dp], dl[dp]
+        values[copied, 3], sizes[copied, 3] = dx, de
+        out.many(values.ravel(), sizes.ravel())
+        return
+    values, sizes = gc[green], gl[green]
+    if len(starts):
+        behind = np.repeat(copied.nonzero()[0] + 1, 3)
+        values = np.insert(values, behind, np.stack([lx, dc[dp], dx], axis=1).ravel())
+        sizes = np.insert(sizes, behind, np.stack([le, dl[dp], de], axis=1).ravel())
+    out.many(values, sizes)
 
 
 def encode(image: np.ndarray, palette: bool = False, back: bool = False, cache_bits: int = 0, subtract_green: bool = False, modes: np.ndarray | None = None, elements: np.ndarray | None = None, shift: int = 2) -> bytes:
@@ -518,11 +704,15 @@ def encode(image: np.ndarray, palette: bool = False, back: bool = False, cache_b
         image = cross_colour(image, elements, shift, False)
     if subtract_green:
         out.many([1, 2], [1, 2])
-        c = _channels(image)
-        c[..., [0, 2]] -= c[..., [1]]
-        image = _pixels(c)
+        image = green_from_others(image, False)
     if palette:
-        colours, index = np.unique(image, return_inverse=True)
+        green = image >> 8 & 255
+        if (image & 0xFFFF00FF == image[0, 0] & 0xFFFF00FF).all():
+            present = np.bincount(green.ravel(), minlength=256) > 0
+            index = (np.cumsum(present) - 1)[green]
+            colours = present.nonzero()[0].astype(np.uint32) << 8 | image[0, 0] & np.uint32(0xFFFF00FF)
+        else:
+            colours, index = np.unique(image, return_inverse=True)
         if len(colours) > 256:
             raise ValueError("a palette holds 256 colours")
         out.many([1, 3, len(colours) - 1], [1, 2, 8])
