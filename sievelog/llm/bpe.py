@@ -22,6 +22,8 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import carried
+
 #: The pre-token pattern of the vocabulary file's ByteLevel step (a fixed value of the format). White space is spelled
 #: out, as the regex module counts U+001C to U+001F as white space and the ByteLevel step doesn't.
 _S = r"\t-\r\x20\x85\xa0  -     　"
@@ -230,6 +232,8 @@ def bpe_encode(docs: DataFrame, vocabulary: str, text: str = "text", keep: tuple
     spec = spark.sparkContext.broadcast(read_vocabulary(spark, vocabulary))
     kept = [f"keep_{i}" for i in range(len(keep))]
     source = docs.select(*[F.col(c).alias(k) for c, k in zip(keep, kept, strict=True)], F.col(text).cast("string").alias("body"))
+    kinds = {k: source.schema[k].dataType for k in kept}
+    source = source.select(*carried(source, kept), "body")
     types = ", ".join(f"{k} {source.schema[k].dataType.simpleString()}" for k in kept)
     schema = f"{types}, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", token_ids array<int>" if with_ids else "") + (", decoded string" if with_decoded else "")
 
@@ -254,5 +258,5 @@ def bpe_encode(docs: DataFrame, vocabulary: str, text: str = "text", keep: tuple
                     out["decoded"] = decoded
                 yield out
 
-    out = source.mapInPandas(run, schema)
+    out = source.mapInPandas(run, schema).withColumns({k: F.col(k).cast(kind) for k, kind in kinds.items()})
     return out.withColumnsRenamed(dict(zip(kept, keep, strict=True)))

@@ -43,6 +43,12 @@ def rows_of(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def carried(df: DataFrame, names: list[str]) -> list:
+    """The columns for a trip through pandas: whole numbers as text, because pandas keeps them beside nulls as floats."""
+    whole = ("tinyint", "smallint", "int", "bigint")
+    return [F.col(c).cast("string").alias(c) if df.schema[c].dataType.simpleString() in whole else F.col(c) for c in names]
+
+
 def connected(edges: DataFrame, scratch: Scratch, tag: str = "cc") -> DataFrame:
     """Components of an undirected graph given as (a long, b long): returns (node, root), root the smallest node reachable.
 

@@ -1,8 +1,8 @@
 """Media columns: texts stored as lossless WebP images and read back as pixel arrays.
 
 A payload's bytes are grey pixels, 64 in a row; beyond 16384 rows (1 MB) whole rows of 16384 pixels come first, in images
-of up to 16384 rows. Images use a palette of the bytes that occur (packed where there are 16 or fewer), prefix codes and
-back-references.
+of up to 16384 rows. Images use the subtract-green transform, a palette of the bytes that occur (packed where there are
+16 or fewer), prefix codes and back-references. Channels that are constant cost a code of one symbol.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import carried
 from .webp import LIMIT, decode, encode
 
 ROW = 64
@@ -33,7 +34,7 @@ def store_payload(data: bytes) -> tuple[bytes, bytes]:
         at += rows * LIMIT
     if at < len(grey):
         images.append(grey[at:].reshape(-1, ROW))
-    return payload, b"".join(encode(x, palette=True, back=True) for x in images)
+    return payload, b"".join(encode(x, palette=True, back=True, subtract_green=True) for x in images)
 
 
 def read_payload(blob: bytes) -> bytes:
@@ -49,7 +50,9 @@ def media_features(docs: DataFrame, key: str = "doc_id", text: str = "text", wit
     an empty table. A task holds one text and its image at a time.
     """
     kind = docs.schema[key].dataType.simpleString()
-    schema = f"k {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string" + (", media binary, pixels array<array<int>>" if with_pixels else "")
+    source = docs.select(F.col(key).alias("k"), F.col(text).cast("string").alias("body"))
+    source = source.select(*carried(source, ["k"]), "body")
+    schema = f"k {source.schema['k'].dataType.simpleString()}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string" + (", media binary, pixels array<array<int>>" if with_pixels else "")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -67,8 +70,8 @@ def media_features(docs: DataFrame, key: str = "doc_id", text: str = "text", wit
                 rows.append(row + ([blob, [r.astype(np.int32) for x in images for r in x]] if with_pixels else []))
             names = ["n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", *(["media", "pixels"] if with_pixels else [])]
             out = pd.DataFrame(rows, columns=names)
-            out.insert(0, "k", batch["k"].to_numpy() if batch["k"].notna().all() else pd.array(batch["k"]))
+            out.insert(0, "k", batch["k"].to_numpy())
             yield out
 
-    out = docs.select(F.col(key).alias("k"), F.col(text).cast("string").alias("body")).mapInPandas(run, schema)
-    return out.withColumnRenamed("k", key)
+    out = source.mapInPandas(run, schema)
+    return out.withColumn("k", F.col("k").cast(kind)).withColumnRenamed("k", key)

@@ -31,12 +31,13 @@ def test_random_texts(both):
 
 
 def test_table(spark, both):
-    rows = [(1, "Hello world"), (2, None), (3, ""), (None, "x"), (1, "Hello world"), (4, "long text " * 20000)]
-    df = spark.createDataFrame([(*r, "clash") for r in rows], "doc_id long, text string, n_tokens string")
+    rows = [(1, "Hello world"), (2, None), (3, ""), (None, "x"), (1, "Hello world"), (2**53 + 1, "é" * 9), (4, "long text " * 20000)]
+    df = spark.createDataFrame([(*r, "clash") for r in rows], "doc_id long, text string, n_tokens string").coalesce(1)
     got = bpe_encode(df, FILE, with_decoded=True, block_chars=100).collect()
-    assert len(got) == len(rows)
+    assert sorted((r.doc_id or 0, r.decoded) for r in got) == sorted((k or 0, t or "") for k, t in rows)
+    texts = {k: t or "" for k, t in rows}
     for r in got:
-        want = both[1].encode(r.decoded, add_special_tokens=False).ids
+        want = both[1].encode(texts[r.doc_id], add_special_tokens=False).ids
         assert r.token_ids == want and r.n_tokens == len(want)
-        assert r.ids_sha256 == hashlib.sha256(np.array(want, "<u4").tobytes()).hexdigest() and r.decoded_sha256 == hashlib.sha256(r.decoded.encode()).hexdigest()
+        assert r.ids_sha256 == hashlib.sha256(np.array(want, "<u4").tobytes()).hexdigest() and r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
     assert bpe_encode(df.limit(0), FILE).count() == 0
