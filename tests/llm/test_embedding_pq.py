@@ -39,7 +39,7 @@ def test_against_all_pairs(spark, seed):
     rows += [(1, None), (2, []), (3, [0.0] * 16), (4, [1.0, None] + [0.0] * 14), (6, [float("nan")] * 16), (8, [float("inf")] * 16), (5000, [1.0, 2.0]), (5001, [1.0, 2.0, 0.0]), (5002, [2.0, 4.0]), (5003, [1e30] * 16)]
     df = spark.createDataFrame([(*r, "clash") for r in rows], "vec_id long, embedding array<float>, list string")
     want = brute(rows)
-    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in near_vectors(df, per_list=40).collect()}
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in near_vectors(df, lists=17).collect()}
     assert len(got) == len(rows)
     assert all(want[k][0] == g[:2] and g[2] == (k == g[1]) for k, g in got.items())
 
@@ -48,11 +48,12 @@ def test_empty_table(spark):
     assert near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
-def test_differences_along_centres(spark):
+@pytest.mark.parametrize("lists", [1, 25, 60])
+def test_differences_along_centres(spark, lists):
     """Vectors of few directions in 64 dimensions, beside one longer vector: near pairs differ along the lines between centres."""
     draw = np.random.default_rng(4)
     frame = np.linalg.qr(draw.normal(size=(64, 3)))[0]
     rows = [(i, [float(x) for x in frame @ draw.normal(size=3)]) for i in range(500)] + [(1000, [1.0] * 100)]
     want = brute(rows)
-    got = {r.vec_id: (r.n_links, r.component_id) for r in near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), per_list=20).collect()}
+    got = {r.vec_id: (r.n_links, r.component_id) for r in near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), lists=lists).collect()}
     assert all(want[k][0] == g for k, g in got.items())
