@@ -25,6 +25,9 @@ IFACE_IP = r"(src|dst)\s+([a-zA-Z0-9_-]+):((?:\d{1,3}\.){3}\d{1,3})/(\d+)"
 ORIGINAL_ADDRESS = r"Original\s+Address=((?:\d{1,3}\.){3}\d{1,3})"
 FLOW_IP = r"(src|dst)=((?:\d{1,3}\.){3}\d{1,3})"
 HEADER_HOST = r"(?m)^(<\d+>1?\s*\d{4}-\d{2}-\d{2}T[\d:.+-]+\s+)(\S+)(\s+)"
+CSV_HEADER_HOST = r"^(<\d+>\w{3}\s+\d{1,2}\s+\d{2}:\d{2}:\d{2}\s+)(\S+)(\s+)"
+UNC_SERVER = r"(\\\\)([A-Za-z0-9._-]+)"
+SHARED_NET = r"100\.(?:6[4-9]|[7-9]\d|1[01]\d|12[0-7])\.\d{1,3}\.\d{1,3}"
 DNS_REPLY = r"(reply|query)\s+(\S+)\s+is\s+((?:\d{1,3}\.){3}\d{1,3})"
 XML_VALUE = r"(?i)<(TargetUserName|SubjectUserName|IpAddress|WorkstationName|Computer|TargetDomainName|SubjectDomainName|TargetServerName|CallerProcessName|ObjectName|TargetLogonId|SubjectLogonId)>([^<]*)</\1>"
 XML_COMPUTER = r"(?i)<Computer>([^<]+)</Computer>"
@@ -56,7 +59,8 @@ def is_loopback_ip(column: Column) -> Column:
 
 
 def is_sanitized_ip(column: Column) -> Column:
-    return is_test_net_ip(column) | column.startswith("100.64.")
+    """Addresses that the registry gives: documentation ranges and the shared range 100.64.0.0/10."""
+    return is_test_net_ip(column) | _is(column, SHARED_NET)
 
 
 def is_own_token(column: Column) -> Column:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import mappings as M
+from .incidents import incident_edges, incident_nodes
 from .labels import mapped_one
+from .order import indexed
 
 
 def node_id(ip: Column, host: Column) -> Column:
@@ -28,21 +30,36 @@ def event_nodes(events: DataFrame) -> DataFrame:
 
 
 def event_edges(events: DataFrame) -> DataFrame:
-    """One typed edge for each event whose two ends are known."""
+    """One typed edge for each event whose two ends are known, with those of its attributes and labels that it has."""
     src, dst = node_id(F.col("client_ip"), F.col("client_host")), node_id(F.col("server_ip"), F.col("server_host"))
     kind = mapped_one(F.col("message_type"), M.MESSAGE_EDGE, "EVENT")
-    return events.select("event_id", src.alias("src"), dst.alias("dst"), kind.alias("edge_type"), "epoch", "message_type", "label_binary").filter(real(F.col("src")) & real(F.col("dst")))
+    more = [c for c in ("action", "protocol", "src_port", "dst_port", "stream", "label_confidence", "suspicion", "mo_name", "attack_techniques", "attack_tactics", "set_roles", "lifecycle_stage", "disposition") if c in events.columns]
+    return events.select("event_id", src.alias("src"), dst.alias("dst"), kind.alias("edge_type"), "epoch", "message_type", "label_binary", *more).filter(real(F.col("src")) & real(F.col("dst")))
 
 
-def numbered(edges: DataFrame, order: list[str], parts: int = 64, form: str = "e-%08d") -> DataFrame:
-    """edge_id by place in the whole order: a range partition numbers its rows and adds the sizes of those before it."""
-    key = F.struct(*order)
-    ranged = edges.repartitionByRange(parts, *order).withColumn("__part", F.spark_partition_id())
-    ends = ranged.groupBy("__part").agg(F.count("*").alias("n"))
-    before = F.coalesce(F.sum("n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    placed = ranged.join(F.broadcast(ends.select("__part", before.alias("__before"))), "__part")
-    nth = F.row_number().over(Window.partitionBy("__part").orderBy(key)) + F.col("__before")
-    return placed.withColumn("edge_id", F.format_string(form, nth - 1)).drop("__part", "__before")
+def build_graph(events: DataFrame, labelled: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Nodes and edges of labelled events and of labelled incidents.
+
+    A node of an event is the first that names it; a node of an incident takes its place, the last incident's winning.
+    """
+    blank, none = F.lit(""), F.array().cast("array<string>")
+    seen = event_nodes(events).select("node_id", F.struct(F.lit(0).alias("rank"), F.lit("").alias("incident_id"), F.lit(0).alias("pos")).alias("place"), "node_type", "ip", F.col("host").alias("hostname"), F.when(F.col("node_type") == "CREDENTIAL", F.substring("node_id", 6, 1 << 20)).otherwise("").alias("credential"), none.alias("set_roles"), none.alias("products"), F.lit(0.0).alias("suspicion_score"))
+    own = incident_nodes(labelled).select("node_id", F.struct(F.lit(1).alias("rank"), "incident_id", "pos").alias("place"), "node_type", "ip", F.col("host").alias("hostname"), "credential", "set_roles", "products", "suspicion_score")
+    values = [c for c in seen.columns if c not in ("node_id", "place")]
+    nodes = seen.unionByName(own).groupBy("node_id").agg(F.max_by(F.struct(*values), "place").alias("x")).select("node_id", "x.*")
+    edges = event_edges(events).withColumnRenamed("epoch", "timestamp").unionByName(incident_edges(labelled), allowMissingColumns=True)
+    return nodes, edges.withColumn("edge_type", F.coalesce("edge_type", blank))
+
+
+def known_ends(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Edges both of whose ends are nodes."""
+    ids = nodes.select("node_id")
+    return edges.join(ids.withColumnRenamed("node_id", "src"), "src", "left_semi").join(ids.withColumnRenamed("node_id", "dst"), "dst", "left_semi")
+
+
+def numbered(edges: DataFrame, order: list[str], parts: int | None = None, form: str = "e-%08d") -> DataFrame:
+    """edge_id by place in the whole order of the columns."""
+    return indexed(edges, order, "__index", parts).withColumn("edge_id", F.format_string(form, "__index")).drop("__index")
 
 
 def simple_digraph(edges: DataFrame, attributes: list[str], order: str) -> DataFrame:
@@ -64,18 +81,71 @@ def xml_text(column: Column) -> Column:
     return out
 
 
-def node_xml(attributes: list[str]) -> Column:
-    data = [F.when(F.col(a).isNotNull() & (F.col(a).cast("string") != ""), F.concat(F.lit(f'<data key="{a}">'), xml_text(F.col(a)), F.lit("</data>"))) for a in attributes]
-    return F.concat(F.lit('<node id="'), xml_text(F.col("node_id")), F.lit('">'), F.concat_ws("", *data), F.lit("</node>"))
+#: Attributes of the published documents and their types (fixed values of the format).
+NODE_ATTRIBUTES = {"type": "string", "ip": "string", "hostname": "string", "credential": "string", "set_roles": "string", "suspicion_score": "double", "products": "string", "report_text": "string"}
+EDGE_ATTRIBUTES = {
+    "type": "string", "timestamp": "double", "message_type": "string", "action": "string", "protocol": "string", "src_port": "string", "dst_port": "string", "stream": "string", "label_binary": "string", "label_confidence": "double", "suspicion_score": "double", "mo_name": "string",
+    "attack_techniques": "string", "attack_tactics": "string", "set_roles": "string", "lifecycle_stage": "string", "disposition": "string", "incident_id": "string",
+}
+RENAMED = {"type": ("node_type", "edge_type"), "hostname": ("hostname", "host"), "suspicion_score": ("suspicion_score", "suspicion")}
+
+
+def _data(df: DataFrame, attributes: dict[str, str], prefix: str) -> list[Column]:
+    """Lines of the attributes that the table has, where a value is neither null nor empty; arrays as JSON."""
+    out = []
+    for name in attributes:
+        column = next((c for c in (*RENAMED.get(name, ()), name) if c in df.columns), None)
+        if column is None:
+            continue
+        text = F.to_json(column) if df.schema[column].dataType.typeName() == "array" else F.col(column).cast("string")
+        out.append(F.when(text != "", F.concat(F.lit(f'\n      <data key="{prefix}_{name}">'), xml_text(text), F.lit("</data>"))))
+    return out
+
+
+def node_xml(nodes: DataFrame, attributes: dict[str, str] = NODE_ATTRIBUTES) -> Column:
+    return F.concat(F.lit('    <node id="'), xml_text(F.col("node_id")), F.lit('">'), F.concat_ws("", *_data(nodes, attributes, "n")), F.lit("\n    </node>"))
+
+
+def edge_xml(edges: DataFrame, number: Column, attributes: dict[str, str] = EDGE_ATTRIBUTES) -> Column:
+    ends = F.concat(F.lit('" source="'), xml_text(F.col("src")), F.lit('" target="'), xml_text(F.col("dst")), F.lit('">'))
+    return F.concat(F.lit('    <edge id="e'), number.cast("string"), ends, F.concat_ws("", *_data(edges, attributes, "e")), F.lit("\n    </edge>"))
+
+
+def graphml_head(nodes: dict[str, str] = NODE_ATTRIBUTES, edges: dict[str, str] = EDGE_ATTRIBUTES) -> str:
+    keys = [f'  <key id="{k[0]}_{a}" for="{k}" attr.name="{a}" attr.type="{t}"/>' for k, names in (("node", nodes), ("edge", edges)) for a, t in names.items()]
+    space = "http://graphml.graphdrawing.org/xmlns"
+    first = ['<?xml version="1.0" encoding="UTF-8"?>', f'<graphml xmlns="{space}"', '  xmlns:xsi="http://www.w3.org/2001/XMLSchema-instance"', f'  xsi:schemaLocation="{space} {space}/1.0/graphml.xsd">']
+    return "\n".join([*first, *keys, '  <graph id="G" edgedefault="directed">'])
+
+
+GRAPHML_FOOT = "  </graph>\n</graphml>"
+
+
+def graphml(nodes: DataFrame, edges: DataFrame, order: list[str]) -> DataFrame:
+    """(section, place, line) of one GraphML document, to be read in order of section and place; edges are numbered from 1
+    in ``order``. Edges without an end are left out."""
+    whole = edges.filter((F.col("src") != "") & (F.col("dst") != ""))
+    placed = indexed(whole, order, "__at")
+    inner = placed.select(F.lit(2).alias("section"), (F.col("__at") + 1).alias("place"), edge_xml(placed.drop("__at"), F.col("__at") + 1).alias("line"))
+    ranked = indexed(nodes, ["node_id"], "__at")
+    outer = ranked.select(F.lit(1).alias("section"), F.col("__at").alias("place"), node_xml(ranked).alias("line"))
+    frame = nodes.sparkSession.createDataFrame([(0, 0, graphml_head()), (3, 0, GRAPHML_FOOT)], "section int, place long, line string")
+    return frame.unionByName(outer).unionByName(inner)
 
 
-def edge_xml(attributes: list[str]) -> Column:
-    data = [F.when(F.col(a).isNotNull() & (F.col(a).cast("string") != ""), F.concat(F.lit(f'<data key="{a}">'), xml_text(F.col(a)), F.lit("</data>"))) for a in attributes]
-    return F.concat(F.lit('<edge source="'), xml_text(F.col("src")), F.lit('" target="'), xml_text(F.col("dst")), F.lit('">'), F.concat_ws("", *data), F.lit("</edge>"))
+def incident_graphml(labelled: DataFrame) -> DataFrame:
+    """(incident_id, graphml): a document of each incident that has an id."""
+    nodes, edges = incident_nodes(labelled), incident_edges(labelled)
+    edges = edges.withColumn("edge_type", F.lit("INCIDENT_LINK"))
+    lines = nodes.select("incident_id", F.lit(1).alias("section"), "pos", node_xml(nodes).alias("line")).unionByName(edges.select("incident_id", F.lit(2).alias("section"), "pos", edge_xml(edges, F.col("pos") + 1).alias("line")))
+    body = lines.groupBy("incident_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("section", "pos", "line"))), lambda x: x["line"]), "\n").alias("body"))
+    ids = labelled.filter("id <> ''").select(F.col("id").alias("incident_id")).join(body, "incident_id", "left")
+    return ids.select("incident_id", F.concat_ws("\n", F.lit(graphml_head()), "body", F.lit(GRAPHML_FOOT)).alias("graphml"))
 
 
-def graphml(nodes: DataFrame, edges: DataFrame, node_attributes: list[str], edge_attributes: list[str]) -> DataFrame:
-    """Lines of a GraphML document in order of (section, line)."""
-    keys = "".join(f'<key id="{a}" for="{k}" attr.name="{a}" attr.type="string"/>' for k, names in (("node", node_attributes), ("edge", edge_attributes)) for a in names)
-    frame = nodes.sparkSession.createDataFrame([(0, f'<graphml>{keys}<graph edgedefault="directed">'), (3, "</graph></graphml>")], "section int, line string")
-    return frame.unionByName(nodes.select(F.lit(1).alias("section"), node_xml(node_attributes).alias("line"))).unionByName(edges.select(F.lit(2).alias("section"), edge_xml(edge_attributes).alias("line")))
+def node_link(nodes: DataFrame, edges: DataFrame, order: str, attributes: list[str]) -> DataFrame:
+    """(section, line): the nodes and the simple digraph's links as JSON objects; links only between nodes."""
+    links = simple_digraph(known_ends(edges, nodes), attributes, order)
+    node = F.to_json(F.struct(F.col("node_id").alias("id"), F.col("node_type").alias("type"), F.nullif("ip", F.lit("")).alias("ip"), F.nullif("hostname", F.lit("")).alias("hostname")))
+    link = F.to_json(F.struct(F.col("src").alias("source"), F.col("dst").alias("target"), *attributes))
+    return nodes.select(F.lit("node").alias("section"), node.alias("line")).unionByName(links.select(F.lit("link").alias("section"), link.alias("line")))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import mappings as M
+from .order import indexed
 
 
 def merge_unique(*arrays: Column) -> Column:
@@ -42,7 +43,7 @@ def lifecycle(mo: Column, roles: Column) -> Column:
     """The stage of the modus operandi, else of the first role that has one."""
     own = mapped(mo, M.MO_LIFECYCLE)
     first = F.try_element_at(F.filter(F.transform(roles, lambda r: mapped_one(r, M.ROLE_LIFECYCLE, "")), lambda x: x != ""), F.lit(1))
-    return F.coalesce(F.try_element_at(own, F.lit(1)), first, F.lit("unknown"))
+    return F.coalesce(F.nullif(F.try_element_at(own, F.lit(1)), F.lit("unknown")), first, F.lit("unknown"))
 
 
 def frameworks_techniques(frameworks: Column) -> Column:
@@ -52,23 +53,29 @@ def frameworks_techniques(frameworks: Column) -> Column:
     return F.filter(shaped, lambda t: t.isNotNull())
 
 
+def frameworks_defenses(frameworks: Column) -> Column:
+    """Defense ids of a map of framework to ids."""
+    lists = [F.coalesce(F.try_element_at(frameworks, F.lit(k)), F.array().cast("array<string>")) for k in ("d3fend", "defense", "mitigation")]
+    return F.filter(F.flatten(F.array(*lists)), lambda d: d.isNotNull())
+
+
 def label_events(events: DataFrame, rules: DataFrame, sets: DataFrame, products: DataFrame, streams: DataFrame, key: str = "event_id") -> DataFrame:
     """Suspicious or benign labels of every event from the rules that matched it.
 
     ``events`` has ``rule_ids`` array and ``stream``. Unknown rule ids are ignored; set ids over 1000 stand for their
-    remainder by 1000; roles come in the order of the rules, client before server.
+    remainder by 1000; roles come in the order of the rules, client before server, each once, and count once.
     """
-    hits = events.select(key, F.posexplode("rule_ids").alias("pos", "rule_id")).join(F.broadcast(rules), "rule_id")
+    hits = events.select(key, F.posexplode("rule_ids").alias("pos", "rule_id")).join(rules, "rule_id")
     plain = lambda c: F.when(F.col(c) > 1000, F.col(c) % 1000).otherwise(F.col(c))
     for side in ("client", "server"):
-        names = F.broadcast(sets.select(F.col("set_id").alias(f"{side}_id"), F.col("role").alias(f"{side}_role")))
+        names = sets.select(F.col("set_id").alias(f"{side}_id"), F.col("role").alias(f"{side}_role"))
         hits = hits.withColumn(f"{side}_id", plain(f"{side}_set_id")).join(names, f"{side}_id", "left")
-    hits = hits.join(F.broadcast(products), "product_id", "left")
+    hits = hits.join(products, "product_id", "left")
     item = F.struct("pos", "description", "client_role", "server_role", "product_name", "vendor_name")
     rolled = hits.groupBy(key).agg(F.array_sort(F.collect_list(item)).alias("items"))
     both = F.flatten(F.transform("items", lambda x: F.array(x["client_role"], x["server_role"])))
     rolled = rolled.select(key, F.size("items").alias("n_rules"), merge_unique(F.transform("items", lambda x: x["description"])).alias("matched_rules"), merge_unique(both).alias("set_roles"), F.try_element_at(merge_unique(F.transform("items", lambda x: x["product_name"])), F.lit(1)).alias("rule_product"), F.try_element_at(merge_unique(F.transform("items", lambda x: x["vendor_name"])), F.lit(1)).alias("rule_vendor"))
-    out = events.join(rolled, key, "left").join(F.broadcast(streams.select(F.lower("stream").alias("__s"), F.col("product_name").alias("stream_product"), F.col("vendor_name").alias("stream_vendor"))), F.lower("stream") == F.col("__s"), "left")
+    out = events.join(rolled, key, "left").join(streams.select(F.lower("stream").alias("__s"), F.col("product_name").alias("stream_product"), F.col("vendor_name").alias("stream_vendor")), F.lower("stream") == F.col("__s"), "left")
     empty = F.array().cast("array<string>")
     roles = F.coalesce("set_roles", empty)
     odd = F.col("n_rules").isNotNull()
@@ -120,9 +127,12 @@ def newest_periods(events: DataFrame, n: int, org: str = "org_id", day: str = "d
 
 
 def stratified(df: DataFrame, strata: list[str], rate: float, key: str, per_batch: int = 5) -> DataFrame:
-    """Of each stratum max(1, floor(n * rate)) rows by key, with the batch of ``per_batch`` they fall into."""
-    want = df.groupBy(*strata).agg(F.greatest(F.lit(1), F.floor(F.count("*") * rate)).alias("want"))
-    ranked = df.withColumn("nth", F.row_number().over(Window.partitionBy(*strata).orderBy(key)))
+    """Of each stratum max(1, floor(n * rate)) rows by key, with the batch of ``per_batch`` they fall into.
+
+    Places within a stratum come from ranges of (stratum, key), so a stratum that holds a third of all rows is many tasks.
+    """
+    placed = indexed(df, [*strata, key])
+    bounds = placed.groupBy(*strata).agg(F.min("__index").alias("__low"), F.greatest(F.lit(1), F.floor(F.count("*") * rate)).alias("__want"))
     same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in strata]
-    picked = ranked.alias("a").join(F.broadcast(want.alias("b")), same).filter("nth <= want").select("a.*")
-    return picked.withColumn("batch", F.floor((F.col("nth") - 1) / per_batch))
+    ranked = placed.alias("a").join(bounds.alias("b"), same).select("a.*", "__low", "__want").withColumn("nth", F.col("__index") - F.col("__low") + 1)
+    return ranked.filter("nth <= __want").withColumn("batch", F.floor((F.col("nth") - 1) / per_batch)).drop("__index", "__low", "__want")

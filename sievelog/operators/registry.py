@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.scratch import saved
+from .order import indexed
+
 SCHEMA = "category string, norm string, original string, sanitized string, seq long"
 #: Category precedence of a lookup without category (a fixed value).
 PRECEDENCE = ("ipv4_priv", "ipv4_pub", "hostname", "fqdn", "username", "email", "sid", "aws_account", "arn", "org", "domain", "machine_account", "credential", "org_id", "agent_id")
@@ -44,6 +47,22 @@ def private_ip_token(ip: Column, secret: bytes, salt: Column | None = None) -> C
     return F.when(ip.startswith("172."), join("172", 16 + byte(0) % 16, byte(1), last(2))).when(ip.startswith("192.168."), join("192", "168", byte(0), last(1))).otherwise(join("10", byte(0), byte(1), last(2)))
 
 
+def private_tokens(new: DataFrame, taken: DataFrame, secret: bytes) -> DataFrame:
+    """(norm, sanitized) for private addresses: of those whose keyed hashes meet, or meet a token that is taken, the
+    smallest keeps its address and the others are hashed again with the number of the round, until all differ."""
+    left, done, round_ = new.select("norm"), None, 0
+    held = taken.select("sanitized")
+    while True:
+        tried = left.select("norm", private_ip_token(F.col("norm"), secret, F.lit(round_)).alias("sanitized"))
+        first = tried.groupBy("sanitized").agg(F.min("norm").alias("norm")).join(held, "sanitized", "left_anti")
+        won = saved(first.select("norm", "sanitized"), "private")
+        done = won if done is None else done.union(won)
+        left = saved(left.join(won, "norm", "left_anti"), "private-left")
+        if left.isEmpty():
+            return done
+        held, round_ = held.union(won.select("sanitized")), round_ + 1
+
+
 def token(category: Column, original: Column, seq: Column, secret: bytes) -> Column:
     number = lambda form: F.format_string(form, seq)
     forms = {
@@ -62,20 +81,19 @@ def grow_registry(registry: DataFrame, candidates: DataFrame, secret: bytes = b"
     """The registry with what candidates (category, value, and the columns in ``order``) bring that is new.
 
     A value keeps its first spelling. Numbers go on from each category's last, in order of value, so they don't depend on
-    arrival; entries that exist keep theirs. Numbers are given within ranges of values, so that no category is ranked
-    in one task.
+    arrival; entries that exist keep theirs. Places in the order come from ranges of values, so no category is ranked in
+    one task. Private addresses whose tokens meet are hashed again.
     """
-    seen = candidates.filter(F.col("value").isNotNull()).groupBy("category", norm(F.col("value")).alias("norm")).agg(F.min_by("value", F.struct(*order)).alias("original"))
-    new = seen.join(registry.select("category", "norm"), ["category", "norm"], "left_anti").withColumn("head", F.substring("norm", 1, 2))
-    held = registry.groupBy("category").agg(F.max("seq").alias("last"))
-    heads = new.groupBy("category", "head").count()
-    before = F.coalesce(F.sum("count").over(Window.partitionBy("category").orderBy("head").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    heads = heads.select("category", "head", before.alias("before"))
-    within = F.row_number().over(Window.partitionBy("category", "head").orderBy("norm"))
-    numbered = new.withColumn("nth", within).join(heads, ["category", "head"]).join(held, "category", "left")
-    numbered = numbered.withColumn("seq", (F.coalesce("last", F.lit(0)) + F.col("before") + F.col("nth")).cast("long"))
-    added = numbered.select("category", "norm", "original", token(F.col("category"), F.trim("original"), F.col("seq"), secret).alias("sanitized"), "seq")
-    return registry.select("category", "norm", "original", "sanitized", "seq").unionByName(added)
+    seen = candidates.filter(F.col("value").isNotNull() & (F.trim("value") != "")).groupBy("category", norm(F.col("value")).alias("norm")).agg(F.min_by("value", F.struct(*order)).alias("original"))
+    new = indexed(seen.join(registry.select("category", "norm"), ["category", "norm"], "left_anti"), ["category", "norm"])
+    bounds = new.groupBy("category").agg(F.min("__index").alias("low")).join(registry.groupBy("category").agg(F.max("seq").alias("last")), "category", "left")
+    numbered = new.join(F.broadcast(bounds), "category")  # one row a category
+    numbered = numbered.withColumn("seq", (F.coalesce("last", F.lit(0)) + F.col("__index") - F.col("low") + 1).cast("long"))
+    private = F.col("category") == "ipv4_priv"
+    tokens = private_tokens(new.filter(private), registry.filter(private), secret)
+    plain = numbered.filter(~private).select("category", "norm", "original", token(F.col("category"), F.trim("original"), F.col("seq"), secret).alias("sanitized"), "seq")
+    hashed = numbered.filter(private).join(tokens, "norm").select("category", "norm", "original", "sanitized", "seq")
+    return registry.select("category", "norm", "original", "sanitized", "seq").unionByName(plain).unionByName(hashed)
 
 
 def resolve(spans: DataFrame, registry: DataFrame) -> DataFrame:

@@ -6,51 +6,42 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import detectors as D
+from .formats import CLOSE, OPEN
 
 #: (category, pattern, group, priority): of the general text format. An earlier step wins an overlap.
 GENERAL = (("sid", D.SID, 0, 1), ("email", D.EMAIL, 0, 2), ("arn", D.ARN, 0, 3), ("aws_account", D.ACCOUNT_ID, 0, 4), ("machine_account", D.MACHINE, 0, 5), ("fqdn", D.FQDN, 0, 6), ("ipv4", D.IPV4, 0, 7))
 
 
-def message_format(message: Column, stream: Column, message_type: Column, pipeline: Column) -> Column:
-    """Format of a log message: by stream, type and pipeline names, then by its content."""
-    has = lambda c, *words: F.coalesce(F.lower(c).rlike("|".join(words)), F.lit(False))
-    return (
-        F.when(has(stream, "cisco", "asa") | message.rlike(r"%ASA-\d-\d+"), "cisco_asa").when(has(stream, "winlogbeat") | message.startswith('{"@timestamp"'), "winlogbeat")
-        .when(message.rlike(r"<Event[ >]"), "windows_xml").when(has(stream, "cloudtrail", "aws") | has(pipeline, "aws") | message.rlike(r'"eventSource"\s*:'), "aws_cloudtrail")
-        .when(has(message_type, "dns_event") | message.rlike(D.DNS_REPLY), "dns_event").when(has(stream, "vmware", "vcenter", "esxi"), "vmware")
-        .when(has(stream, "palo"), "palo_alto").when(has(stream, "meraki") | message.rlike(D.FLOW_IP), "meraki").otherwise("generic")
-    )
-
-
-def _as_values(hits: Column, category: str, priority: int) -> Column:
-    return F.transform(hits, lambda v: F.struct(F.lit(category).alias("category"), v.alias("value"), F.lit(priority).alias("priority")))
+def places(text: Column, pattern: str, group: int = 0) -> Column:
+    """(value, start) of each match, or of a group's part of it, in order; start counts from 1. One pass over the text."""
+    whole = f"({pattern})" if group == 0 else pattern
+    replaced = f"{OPEN}$1{CLOSE}" if group == 0 else f"{OPEN}${group}{CLOSE}"
+    clean = F.translate(text, OPEN + CLOSE, "  ")
+    pieces = F.split(F.regexp_replace(clean, F.lit(whole), F.lit(replaced)), f"[{OPEN}{CLOSE}]", -1)
+    # Characters before each piece, as a running sum.
+    ends = F.aggregate(pieces, F.array(F.lit(1)), lambda a, p: F.concat(a, F.array(F.element_at(a, -1) + F.length(p))))
+    odd = F.sequence(F.lit(2), F.size(pieces) - 1, F.lit(2))
+    return F.when(F.size(pieces) > 1, F.transform(odd, lambda k: F.struct(F.element_at(pieces, k).alias("value"), F.element_at(ends, k).alias("start"))))
 
 
 def spans(df: DataFrame, text: str, detectors=GENERAL, key: str = "record_id", public_domains: tuple[str, ...] = ()) -> DataFrame:
     """(record_id, start, len, category, value, priority) of all matches; start counts from 1.
 
-    A value that occurs several times has a span for each place where it isn't part of a longer run of the same kind. Addresses
-    are split into private and public ones; loopback, sanitized addresses and names under public domains are no spans.
+    Addresses are split into private and public ones; loopback, sanitized addresses and names under public domains are no
+    spans. Patterns are matched whole (group 0); the text travels no further than the detection.
     """
-    found = F.array().cast("array<struct<category:string,value:string,priority:int>>")
-    for category, pattern, group, priority in detectors:
-        hits = F.array_distinct(F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(group)))
-        found = F.concat(found, _as_values(hits, category, priority))
-    values = df.select(F.col(key).alias("record_id"), F.col(text).alias("text"), F.explode(found).alias("x")).select("record_id", "text", "x.*").filter("value <> ''")
+    def hits(category: str, pattern: str, priority: int) -> Column:
+        named = F.transform(places(F.col(text), pattern), lambda v: F.struct(F.lit(category).alias("category"), v["value"].alias("value"), v["start"].alias("start"), F.lit(priority).alias("priority")))
+        return F.coalesce(named, F.array().cast("array<struct<category:string,value:string,start:int,priority:int>>"))
+
+    found = F.concat(*[hits(category, pattern, priority) for category, pattern, _, priority in detectors])
+    values = df.select(F.col(key).alias("record_id"), F.explode(found).alias("x")).select("record_id", "x.*")
     value = F.col("value")
     category = F.when(F.col("category") == "ipv4", F.when(D.is_private_ip(value), "ipv4_priv").otherwise("ipv4_pub")).otherwise(F.col("category"))
     values = values.withColumn("category", category).filter(~(F.col("category").startswith("ipv4") & (D.is_loopback_ip(value) | D.is_sanitized_ip(value) | value.isin("0.0.0.0", "255.255.255.255"))))
     if public_domains:
         values = values.filter(~((F.col("category") == "fqdn") & D.public_domain(value, list(public_domains))))
-    pieces = F.split(F.col("text"), F.concat(F.lit(r"\Q"), value, F.lit(r"\E")), -1)
-    # the k-th place begins after the first k pieces and the k values between them
-    before = F.aggregate(pieces, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")), lambda a, p: F.struct((a["at"] + F.length(p) + F.length(value)).alias("at"), F.concat(a["out"], F.array(a["at"] + F.length(p) + 1)).alias("out")))["out"]
-    places = F.slice(before, 1, F.size(before) - 1)
-    placed = values.withColumn("start", F.explode(places)).withColumn("len", F.length("value"))
-    whole = r"[A-Za-z0-9_]"
-    left, right = F.substring(F.col("text"), F.col("start") - 1, F.lit(1)), F.substring(F.col("text"), F.col("start") + F.col("len"), F.lit(1))
-    inside = ((F.col("start") > 1) & left.rlike(whole)) | right.rlike(whole)
-    return placed.filter(~inside).select("record_id", "start", "len", "category", "value", "priority")
+    return values.select("record_id", "start", F.length("value").alias("len"), "category", "value", "priority")
 
 
 def non_overlapping(items: Column) -> Column:
@@ -79,24 +70,29 @@ def splice(df: DataFrame, resolved: DataFrame, text: str, key: str = "record_id"
     """``df`` with the tokens of resolved spans (record_id, start, len, priority, token) in place of their values."""
     item = F.struct("priority", "start", (-F.col("len")).alias("short"), "len", "token")
     gathered = resolved.filter("token IS NOT NULL").groupBy("record_id").agg(F.array_sort(F.collect_set(item)).alias("items"))
-    joined = df.join(gathered.withColumnRenamed("record_id", "__id"), F.col(key) == F.col("__id"), "left")
-    start = F.struct(F.lit(1).alias("at"), F.lit("").alias("out"))
-    done = F.aggregate(non_overlapping(F.col("items")), start, lambda a, x: F.struct((x["start"] + x["len"]).alias("at"), F.concat(a["out"], F.substring(F.col(text), a["at"], x["start"] - a["at"]), x["token"]).alias("out")))
-    new = F.when(F.col("items").isNull(), F.col(text)).otherwise(F.concat(done["out"], F.substring(F.col(text), done["at"], F.length(text))))
-    return joined.select(*[new.alias(c) if c == text else F.col(c) for c in df.columns], F.coalesce(F.size(non_overlapping(F.col("items"))), F.lit(0)).alias("n_replaced"))
+    gathered = gathered.select(F.col("record_id").alias("__id"), non_overlapping(F.col("items")).alias("__kept"))
+    joined = df.join(gathered, F.col(key).eqNullSafe(F.col("__id")), "left")
+    ends = F.concat(F.array(F.lit(1)), F.transform("__kept", lambda x: x["start"] + x["len"]))
+    pieces = F.transform("__kept", lambda x, i: F.concat(F.substring(F.col(text), F.element_at(ends, i + 1), x["start"] - F.element_at(ends, i + 1)), x["token"]))
+    new = F.when(F.col("__kept").isNull(), F.col(text)).otherwise(F.concat(F.array_join(pieces, ""), F.substring(F.col(text), F.element_at(ends, -1), F.length(text))))
+    return joined.select(*[new.alias(c) if c == text else F.col(c) for c in df.columns], F.coalesce(F.size("__kept"), F.lit(0)).alias("n_replaced"))
 
 
-def contains_join(df: DataFrame, text: str, words: DataFrame, word: str, key: str = "record_id", gram: int = 4) -> DataFrame:
+def contains_join(df: DataFrame, text: str, words: DataFrame, word: str, key: str = "record_id", gram: int = 4, piece: int = 1024) -> DataFrame:
     """(record_id, start, word) for each place of a dictionary word in a text, without case.
 
-    Places are found by the words' first ``gram`` characters: a text's grams that begin some word meet those words in an
-    equi-join, and the rest is compared there. Words shorter than a gram aren't looked for.
+    Places are found by the words' first ``gram`` characters: a text's grams meet the words that begin so in an equi-join,
+    and the rest is compared there. A text goes in pieces of ``piece`` characters that overlap by the longest word, and of
+    a piece only what stands at each place goes on, so the work grows with the text. Words shorter than a gram aren't
+    looked for.
     """
     dictionary = words.select(F.lower(F.col(word)).alias("word")).filter(F.length("word") >= gram).distinct().withColumn("head", F.substring("word", 1, gram))
-    longest = dictionary.agg(F.max(F.length("word"))).first()[0] or 0
-    heads = dictionary.select("head").distinct()
+    longest = dictionary.agg(F.max(F.length("word"))).first()[0] or gram
     low = df.select(F.col(key).alias("record_id"), F.lower(F.col(text)).alias("low")).filter(F.length("low") >= gram)
-    grams = low.select("record_id", "low", F.posexplode(F.transform(F.sequence(F.lit(1), F.length("low") - gram + 1), lambda i: F.substring(F.col("low"), i, F.lit(gram)))).alias("pos", "head"))
-    met = grams.join(heads, "head", "left_semi").withColumn("tail", F.substring(F.col("low"), F.col("pos") + 1, F.lit(longest))).drop("low")
-    hits = met.join(dictionary, "head").filter(F.expr("substring(tail, 1, length(word)) = word"))
-    return hits.select("record_id", (F.col("pos") + 1).alias("start"), "word")
+    starts = F.transform(F.sequence(F.lit(1), F.length("low"), F.lit(piece)), lambda i: F.struct(i.alias("base"), F.substring(F.col("low"), i, F.lit(piece + longest - 1)).alias("part")))
+    parts = low.select("record_id", F.explode(starts).alias("x")).select("record_id", "x.base", "x.part").filter(F.length("part") >= gram)
+    here = F.least(F.length("part") - gram + 1, F.lit(piece))
+    grams = F.transform(F.sequence(F.lit(1), here), lambda i: F.struct(i.alias("at"), F.substring(F.col("part"), i, F.lit(longest)).alias("tail")))
+    met = parts.select("record_id", "base", F.explode(grams).alias("x")).select("record_id", (F.col("base") + F.col("x.at") - 1).alias("start"), F.col("x.tail").alias("tail"))
+    hits = met.withColumn("head", F.substring("tail", 1, gram)).join(dictionary, "head").filter(F.col("tail").startswith(F.col("word")))
+    return hits.select("record_id", "start", "word")

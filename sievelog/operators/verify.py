@@ -21,7 +21,12 @@ def leaks(cells: DataFrame, registry: DataFrame, allowed: DataFrame, least: int
     originals = registry.filter(~D.is_own_token(F.col("original")) & (F.length("norm") >= least)).select("norm").distinct()
     originals = originals.join(allowed.select(F.lower("term").alias("norm")), "norm", "left_anti")
     keyed = cells.withColumn("record_id", F.struct("row_key", "name"))
-    return contains_join(keyed, "value", originals, "norm").select("record_id.*", "word").distinct()
+    hits = contains_join(keyed, "value", originals, "norm")
+    # An address counts only where it ends: 10.1.1.1 is no leak in 10.1.1.12.
+    is_address = F.col("word").rlike(f"^(?:{D.IPV4})$")
+    plain, addresses = hits.filter(~is_address), hits.filter(is_address)
+    whole = keyed.select("record_id", F.explode(F.array_distinct(F.regexp_extract_all("value", F.lit(D.IPV4), F.lit(0)))).alias("word"))
+    return plain.select("record_id", "word").union(addresses.select("record_id", "word").distinct().join(whole, ["record_id", "word"], "left_semi")).select("record_id.*", "word").distinct()
 
 
 def public_addresses(cells: DataFrame) -> DataFrame:
@@ -43,3 +48,40 @@ def label_distribution(df: DataFrame, column: str = "label_binary") -> DataFrame
     counts = df.groupBy(F.col(column).alias("label")).agg(F.count("*").alias("n"))
     total: Column = F.col("total")
     return counts.crossJoin(F.broadcast(counts.agg(F.sum("n").alias("total")))).select("label", "n", F.round(100.0 * F.col("n") / total, 2).alias("percent"))
+
+
+def no_malicious(distribution: DataFrame) -> DataFrame:
+    """One row with a warning if no row is malicious, else none."""
+    return distribution.agg(F.count_if(F.col("label") == "malicious").alias("n")).filter("n = 0").select(F.lit("no malicious rows").alias("warning"))
+
+
+def file_lines(spark, path: str) -> DataFrame:
+    """(file, row_key, name, value): the lines of written text files, for the same checks as cells; metadata files are left out."""
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("n"))
+    return lines.filter(~F.col("file").rlike("metadata[^/]*$")).select(F.concat_ws(":", "file", F.col("n").cast("string")).alias("row_key"), F.lit("line").alias("name"), "value")
+
+
+def all_checks(cells: DataFrame, registry: DataFrame, patterns: list[str], allowed: DataFrame | None = None, leaks_too: bool = True) -> DataFrame:
+    """(kind, severity, row_key, name, detail) of every check: registry values left behind, organisation patterns, public
+    addresses, tokens that stand for several values."""
+    from .registry import collisions
+
+    row = lambda df, kind, severity, key, name, detail: df.select(F.lit(kind).alias("kind"), F.lit(severity).alias("severity"), key.alias("row_key"), name.alias("name"), detail.alias("detail"))
+    c = F.col
+    out = row(pattern_hits(cells, patterns), "pattern", "violation", c("row_key"), c("name"), F.substring("value", 1, 100))
+    out = out.union(row(public_addresses(cells), "public_address", "warning", c("row_key"), c("name"), c("ip")))
+    out = out.union(row(collisions(registry), "collision", "violation", c("sanitized"), F.lit("registry"), c("n_originals").cast("string")))
+    if leaks_too:
+        none = cells.sparkSession.createDataFrame([], "term string")
+        out = out.union(row(leaks(cells, registry, allowed if allowed is not None else none), "registry_value", "violation", c("row_key"), c("name"), c("word")))
+    return out
+
+
+def report(checks: DataFrame, labels: DataFrame, most: int = 50) -> DataFrame:
+    """(section, value, n): numbers of each severity, at most ``most`` details of each, and the label distribution."""
+    counts = checks.groupBy(F.col("severity").alias("value")).agg(F.count("*").alias("n")).select(F.lit("count").alias("section"), "value", "n")
+    out = counts
+    for severity in ("violation", "warning"):
+        detail = F.concat_ws(" ", "kind", "row_key", "name", "detail")
+        out = out.union(checks.filter(F.col("severity") == severity).select(F.lit(f"{severity}_detail").alias("section"), detail.alias("value"), F.lit(1).cast("long").alias("n")).orderBy("value").limit(most))
+    return out.union(labels.select(F.lit("label").alias("section"), F.col("label").alias("value"), "n"))

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import allowlists
 from ..functions import detectors as D
 from ..functions import mappings as M
-from ..operators import graph, labels, registry, reports, spans, verify
+from ..operators import exports, fields, formats, graph, incidents, labels, registry, reports, review, spans, verify
 from ..sources import tables
+from ..sources.scratch import spread
 from . import views as V
 
 QUERIES: dict = {}
@@ -27,7 +29,8 @@ def query(sql: str | None = None, *uses: str):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(rows) if name in ("documents", "pages", "conversations") else rows
 
 
 _map = lambda name, t: V.values_sql(name, M.map_rows(t), "name, pos, val")
@@ -201,10 +204,90 @@ def z14_dictionary_sweep(spark, sf_dir):
     return spans.splice(docs, numbered, "text").select("record_id", "n_replaced", F.sha2("text", 256).alias("text_sha256"))
 
 
-@query("SELECT conv_id, turn, CASE WHEN regexp_matches(text, '(reply|query)\\s+(\\S+)\\s+is\\s+((?:\\d{1,3}\\.){3}\\d{1,3})') THEN 'dns_event' WHEN regexp_matches(text, '(src|dst)=((?:\\d{1,3}\\.){3}\\d{1,3})') THEN 'meraki' ELSE 'generic' END AS format FROM conversations")
+@query("SELECT event_id, format FROM v_logs", "v_logs")
 def z4_message_format(spark, sf_dir):
-    c = table(spark, sf_dir, "conversations")
-    return c.select("conv_id", "turn", spans.message_format(F.col("text"), F.lit(""), F.lit(""), F.lit("")).alias("format"))
+    return V.logs(spark, sf_dir).select("event_id", formats.message_format(F.col("message"), F.col("stream"), F.col("message_type"), F.col("pipeline")).alias("format"))
+
+
+def _sanitized_logs(spark, sf_dir, form: int | None = None):
+    """Messages of one format, or of all, with tokens from a registry of their own values."""
+    logs = V.logs(spark, sf_dir)
+    kind = V.FORMATS[form] if form is not None else formats.message_format(F.col("message"), F.col("stream"), F.col("message_type"), F.col("pipeline"))
+    logs = logs if form is None else logs.filter(F.col("format") == kind)
+    rows = formats.marked(logs.select("event_id", "message", "stream", "message_type", "pipeline"), "message", kind)
+    reg = registry.grow_registry(spark.createDataFrame([], registry.SCHEMA), formats.candidates(rows, "event_id"), V.SECRET)
+    return formats.rewritten(rows, reg, "message", "event_id").select("event_id", "message")
+
+
+def _uses(form: int) -> list[str]:
+    return [name for name in V.VALUES if f"«{name}»" in V.TEMPLATES[form]]
+
+
+_FORMS = {"ipv4_priv": None, "ipv4_pub": None, "username": "USER-%04d", "hostname": "HOST-%04d", "fqdn": "host-%04d.example.internal", "org": "ORG-%04d", "email": "user-%04d@example.net", "credential": "CRED-%04d"}
+
+
+def _token_sql(category: str) -> str:
+    if category == "ipv4_priv":
+        return f"(SELECT '10.' || ('0x' || h[1:2])::INT || '.' || ('0x' || h[3:4])::INT || '.' || greatest(1, ('0x' || h[5:6])::INT % 255) FROM (SELECT {_mac('norm')} AS h))"
+    if category == "ipv4_pub":
+        return "CASE WHEN seq <= 254 THEN '192.0.2.' || seq WHEN seq <= 508 THEN '198.51.100.' || (seq - 254) WHEN seq <= 762 THEN '203.0.113.' || (seq - 508) ELSE '100.' || (64 + (seq - 762) // 65536) || '.' || ((seq - 762) // 256 % 256) || '.' || ((seq - 762) % 256) END"
+    return "CAST(100000000000 + seq AS VARCHAR)" if category == "aws_account" else f"printf('{_FORMS[category]}', seq)"
+
+
+def _tokens_sql(source: str, uses: dict[str, str]) -> str:
+    """(category, norm, token) of the values that the condition of each use admits."""
+    values = " UNION ".join(f"SELECT '{V.VALUES[v]}' AS category, lower({v}) AS norm FROM {source} WHERE {where}" for v, where in uses.items())
+    token = "CASE category " + " ".join(f"WHEN '{c}' THEN {_token_sql(c)}" for c in sorted({V.VALUES[v] for v in uses})) + " END"
+    return f"tok AS MATERIALIZED (SELECT category, norm, {token} AS token FROM (SELECT category, norm, row_number() OVER (PARTITION BY category ORDER BY norm) AS seq FROM ({values})))"
+
+
+def _rewritten_sql(template: str, source: str, where: str, key: str = "event_id") -> str:
+    names = [v for v in V.VALUES if f"«{v}»" in template]
+    joins = " ".join(f"LEFT JOIN tok t_{v} ON t_{v}.category = '{V.VALUES[v]}' AND t_{v}.norm = lower({v})" for v in names)
+    return f"SELECT {key}, {V.text_sql(template, {v: f't_{v}.token' for v in names})} AS message FROM {source} {joins} WHERE {where}"
+
+
+def _format_query(name: str, form: int | None) -> None:
+    def run(spark, sf_dir):
+        return _sanitized_logs(spark, sf_dir, form)
+
+    run.__name__ = name
+    forms = range(9) if form is None else [form]
+    CTES[f"tok{name}"] = _tokens_sql("v_logs", {v: f"event_id % 9 IN ({', '.join(str(i) for i in forms if v in _uses(i))})" for v in V.VALUES if any(v in _uses(i) for i in forms)})
+    query(" UNION ALL ".join(_rewritten_sql(V.TEMPLATES[i], "v_logs", f"event_id % 9 = {i}") for i in forms), "v_logs", f"tok{name}")(run)
+
+
+for _name, _form in (("z5_firewall_spans", 0), ("z6_windows_xml_spans", 1), ("z7_agent_json_spans", 2), ("z8_cloud_audit_spans", 3), ("z9_dns_spans", 4), ("z10_hypervisor_spans", 5), ("z11_csv_firewall_spans", 6), ("z12_generic_spans", 8), ("z13_sanitize_messages", None)):
+    _format_query(_name, _form)
+
+
+_FIELD_USES = {v: "true" for v in ("cip", "usr", "org", "fqn", "hst", "mail")}
+CTES["tokfields"] = _tokens_sql("v_logs", _FIELD_USES)
+_KEPT = V.RECORD.replace("allow «usr»", "allow ¤").replace('"orgId":7', '"orgId":10001')
+_FIELD_SQL = _rewritten_sql(_KEPT, "v_logs", "true").replace("'\",\"action\":\"allow ¤", "'\",\"action\":\"allow ' || usr || '")
+
+
+@query(_FIELD_SQL, "v_logs", "tokfields")
+def z3_sanitize_fields(spark, sf_dir):
+    rows = fields.marked_fields(V.logs(spark, sf_dir).select(F.col("event_id").alias("record_id"), F.col("record").alias("message")), "message")
+    reg = registry.grow_registry(spark.createDataFrame([], registry.SCHEMA), formats.candidates(rows), V.SECRET)
+    return formats.rewritten(rows, reg, "message").select(F.col("record_id").alias("event_id"), "message")
+
+
+@query("SELECT event_id, path, value FROM v_logs CROSS JOIN LATERAL (VALUES ('$.clientIP', cip), ('$.userName', usr), ('$.organization', org), ('$.serverHostname', fqn), ('$.action', 'allow ' || usr), ('$.nested.peer_host', hst), ('$.nested.note', 'plain text'), ('$.nested.contact', mail)) x(path, value)", "v_logs")
+def p3_string_leaves(spark, sf_dir):
+    rows = V.logs(spark, sf_dir).select("event_id", F.parse_json("record").alias("body"))
+    return fields.string_leaves(rows, "body", "event_id").select(F.col("record_id").alias("event_id"), "path", "value")
+
+
+_TERMS_SQL = ", ".join(f"'{t}'" for t in allowlists.TERMS)
+_DOMAINS_SQL = "|".join(d.replace(".", "\\.") for d in allowlists.PUBLIC_DOMAINS)
+
+
+@query(f"SELECT word, word IN ({_TERMS_SQL}) OR regexp_matches(word, '(^|\\.)(?:{_DOMAINS_SQL})$') AS allowed FROM (SELECT DISTINCT unnest(regexp_split_to_array(lower(text), '[^a-z0-9.]+')) AS word FROM documents) WHERE word <> '' AND length(word) <= 60")
+def p8_allowed_terms(spark, sf_dir):
+    words = table(spark, sf_dir, "documents").select(F.explode(F.array_distinct(F.split(F.lower("text"), "[^a-z0-9.]+"))).alias("word")).filter("word <> '' AND length(word) <= 60").distinct()
+    return words.select("word", allowlists.is_allowed(F.col("word")).alias("allowed"))
 
 
 # ---- labels
@@ -299,42 +382,197 @@ def k11_graph_distributions(spark, sf_dir):
     return graph.distributions(_edges(spark, sf_dir), ["label_binary", "edge_type"])
 
 
-@query("""SELECT 2 AS section, '<edge source="' || client_ip || '" target="' || server_ip || '"><data key="message_type">' || message_type || '</data></edge>' AS line FROM v_artifact""", "v_artifact")
-def k7_graphml_edges(spark, sf_dir):
-    lines = graph.graphml(graph.event_nodes(V.artifacts(spark, sf_dir)), _edges(spark, sf_dir), ["node_type"], ["message_type"])
-    return lines.filter("section = 2")
-
-
-def _reports(spark, sf_dir):
-    own = labels.incident_labels(V.incidents(spark, sf_dir), V.nodes(spark, sf_dir))
-    n_nodes = V.nodes(spark, sf_dir).groupBy("incident_id").agg(F.count_distinct("node_id").alias("n_nodes"))
-    lead = V.leads(spark, sf_dir).groupBy("incident_id").agg(F.count("*").alias("n_leads"), F.min("observed_at").alias("first_at"), F.max("observed_at").alias("last_at"), F.count_distinct("product_name").alias("n_edges"))
-    return reports.attack_reports(own, lead.join(n_nodes, "incident_id"))
-
-
-@query(f"""SELECT i.incident_id, n_leads, 'Incident ' || i.incident_id || ' (' || mo_name || ') scored ' || round(CAST(suspicion AS DECIMAL(18, 6)), 2) || '.' AS opening,
- 'It has ' || n_leads || ' lead' || CASE n_leads WHEN 1 THEN '' ELSE 's' END || ' over ' || CASE WHEN s < 60 THEN s || 's' WHEN s < 3600 THEN s // 60 || 'm' WHEN s < 86400 THEN s // 3600 || 'h' ELSE s // 86400 || 'd' END AS span
- FROM v_incident i JOIN (SELECT incident_id, count(*) AS n_leads, CAST(max(observed_at) - min(observed_at) AS BIGINT) AS s FROM v_lead GROUP BY 1) USING (incident_id)""", "v_incident", "v_lead")
-def q2_report_text(spark, sf_dir):
-    out = _reports(spark, sf_dir).filter("n_leads > 0")
-    return out.select("incident_id", "n_leads", F.regexp_extract("report", r"^(Incident .*? scored [0-9.]+\.)", 1).alias("opening"), F.regexp_extract("report", r"(It has \d+ leads? over \d+[smhd])", 1).alias("span"))
-
-
 @query(f"""SELECT doc_id AS row_key, ip FROM (SELECT DISTINCT CAST(doc_id AS VARCHAR) AS doc_id, unnest(regexp_extract_all(text, '{D.IPV4}')) AS ip FROM documents) WHERE NOT regexp_matches(ip, '^(?:{D.RFC1918}|{D.LOOPBACK}|{D.TEST_NET}|100\\.64\\..*|0\\.0\\.0\\.0|255\\.255\\.255\\.255)$')""")
 def v3_public_addresses(spark, sf_dir):
     cells = verify.string_cells(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     return verify.public_addresses(cells).select("row_key", "ip")
 
 
-@query("SELECT '' AS row_key, '' AS name, '' AS word WHERE false")
+@query("""SELECT CAST(doc_id AS VARCHAR) AS row_key, norm AS word FROM documents JOIN (SELECT DISTINCT lower(trim(value)) AS norm FROM candidates WHERE category = 'email') ON doc_id % 10 = 0 AND contains(lower(text), norm)""", "candidates")
 def v1_registry_leaks(spark, sf_dir):
-    """Values of the registry that the sanitized documents still hold: none."""
-    cells = verify.string_cells(_sanitized(spark, sf_dir).select("doc_id", "text"), "doc_id")
+    """Values of the registry that a table still holds of which every tenth document was left as it was: e-mail addresses
+    there (addresses of the network are judged in v1_address_leaks)."""
+    raw = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("raw"))
+    mixed = _sanitized(spark, sf_dir).join(raw, "doc_id").select("doc_id", F.when(F.col("doc_id") % 10 == 0, F.col("raw")).otherwise(F.col("text")).alias("text"))
+    cells = verify.string_cells(mixed, "doc_id")
     allowed = spark.createDataFrame([("localhost",)], "term string")
-    return verify.leaks(cells, _registry(spark, sf_dir).filter("category = 'email'"), allowed)
+    found = verify.leaks(cells, _registry(spark, sf_dir), allowed)
+    return found.filter(F.col("word").contains("@")).select("row_key", "word").distinct()
+
+
+@query(f"""SELECT DISTINCT CAST(doc_id AS VARCHAR) AS row_key, ip AS word FROM (SELECT doc_id, unnest(regexp_extract_all(text, '{D.IPV4}')) AS ip FROM documents) WHERE ip IN (SELECT value FROM candidates WHERE category LIKE 'ipv4%')""", "candidates")
+def v1_address_leaks(spark, sf_dir):
+    """Addresses of the registry in raw documents, each where it stands as a whole address."""
+    cells = verify.string_cells(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    found = verify.leaks(cells, _registry(spark, sf_dir).filter("category LIKE 'ipv4%'"), spark.createDataFrame([], "term string"))
+    return found.select("row_key", "word").distinct()
 
 
 @query("SELECT CAST(doc_id AS VARCHAR) AS row_key FROM documents WHERE regexp_matches(text, '(?i)\\b[\\w.-]*(?:example\\.com)\\b')")
 def v2_domain_pattern(spark, sf_dir):
     cells = verify.string_cells(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     return verify.pattern_hits(cells, [D.customer_domains(["example.com"])]).select("row_key").distinct()
+
+
+# ---- nested incidents, their graph and their reports
+
+_SHAPES = "CASE k % 3 WHEN 0 THEN ['Bot'] WHEN 1 THEN ['" + V.ROLES[1] + "', '" + V.ROLES[2] + "'] ELSE ['C2 Server'] END"
+CTES["case_roles"] = f"""case_roles AS (SELECT id, role, min(ord) AS ord FROM (SELECT id, unnest({_SHAPES}) AS role, unnest(range(3)) AS ord FROM v_case UNION ALL SELECT id, role, 10 + s FROM v_case JOIN v_part USING (k)) WHERE role IS NOT NULL GROUP BY 1, 2)"""
+CTES["case_techs"] = """case_techs AS (SELECT DISTINCT id, unnest(CASE s % 4 WHEN 0 THEN ['T1059', 'T1071.001'] WHEN 1 THEN ['T1003'] ELSE [] END) AS val FROM v_case JOIN v_part USING (k))"""
+_MAPS = ("role_tactics", "role_techniques", "mo_tactics", "mo_techniques", "mo_stage", "role_stage", "status_map")
+_NESTED = ("v_case", "v_part", "case_roles", "case_techs", *_MAPS)
+_STAGE = "LEFT JOIN mo_stage ms ON ms.name = i.mo_name LEFT JOIN (SELECT id, arg_min(val, ord) AS stage FROM case_roles JOIN role_stage ON name = role GROUP BY 1) g USING (id)"
+_ROLES_OF = "LEFT JOIN (SELECT id, list(role ORDER BY ord) AS roles FROM case_roles GROUP BY 1) r USING (id)"
+CTES["case_labels"] = f"""case_labels AS (SELECT i.*, array_to_string(roles, '|') AS set_roles, len(roles) AS n_roles, coalesce(tac, '') AS attack_tactics, coalesce(tec, '') AS attack_techniques, coalesce(def, '') AS defense_techniques, coalesce(nullif(ms.val, 'unknown'), stage, 'unknown') AS lifecycle_stage, coalesce(sm.val, 'automated') AS disposition_category
+ FROM v_case i {_ROLES_OF}
+ LEFT JOIN (SELECT id, string_agg(DISTINCT val, '|' ORDER BY val) AS tac FROM (SELECT id, val FROM case_roles JOIN role_tactics ON name = role UNION ALL SELECT id, val FROM v_case JOIN mo_tactics ON name = mo_name) GROUP BY 1) t USING (id)
+ LEFT JOIN (SELECT id, string_agg(DISTINCT val, '|' ORDER BY val) AS tec FROM (SELECT id, val FROM case_roles JOIN role_techniques ON name = role UNION ALL SELECT id, val FROM v_case JOIN mo_techniques ON name = mo_name UNION ALL SELECT id, val FROM case_techs) GROUP BY 1) u USING (id)
+ LEFT JOIN (SELECT id, max('D3-NI') AS def FROM v_case JOIN v_part USING (k) WHERE s % 4 = 2 GROUP BY 1) d USING (id) {_STAGE} LEFT JOIN status_map sm ON sm.name = i.status_name)"""
+_bar = lambda c: F.array_join(c, "|").alias(c)
+
+
+def _sets(spark):
+    return V.catalog(spark)[1]
+
+
+def _labelled_cases(spark, sf_dir):
+    return incidents.incident_labels(V.cases(spark, sf_dir), _sets(spark))
+
+
+@query("SELECT id, set_roles, attack_tactics, attack_techniques, defense_techniques, lifecycle_stage, disposition_category, status_name = 'False Positive' AS is_false_positive FROM case_labels", *_NESTED, "case_labels")
+def l1_nested_incident_labels(spark, sf_dir):
+    return _labelled_cases(spark, sf_dir).select("id", _bar("set_roles"), _bar("attack_tactics"), _bar("attack_techniques"), _bar("defense_techniques"), "lifecycle_stage", "disposition_category", "is_false_positive")
+
+
+@query("""SELECT CAST(lead_id AS VARCHAR) AS lead_id, id AS incident_id, observed_at, CASE WHEN status_name = 'False Positive' THEN 0.3 ELSE least(0.95, greatest(0.6, suspicion_score)) END AS label_confidence FROM (SELECT *, row_number() OVER (PARTITION BY lead_id ORDER BY id, nth) AS rn FROM (
+ SELECT *, row_number() OVER (PARTITION BY id ORDER BY pos) AS nth FROM (SELECT *, row_number() OVER (PARTITION BY id, lead_id ORDER BY pos) AS copy FROM v_case JOIN v_part USING (k)) WHERE copy = 1) WHERE pos % 7 <> 3) WHERE rn = 1""", "v_case", "v_part")
+def l2_nested_leads(spark, sf_dir):
+    return incidents.incident_leads(_labelled_cases(spark, sf_dir)).select("lead_id", "incident_id", "observed_at", "label_confidence")
+
+
+@query("""SELECT DISTINCT id AS incident_id, 'supp:' || s AS node_id, 'HOST' AS node_type, '10.9.' || (s % 250) || '.7' AS ip, 'supp' || s AS host, role AS set_roles, 'product ' || (s % 7) AS products, s % 10 / 10 AS suspicion_score, s % 2 = 0 AS internal, false AS managed FROM v_case JOIN v_part USING (k)""", "v_case", "v_part")
+def g4_incident_nodes(spark, sf_dir):
+    return incidents.incident_nodes(V.cases(spark, sf_dir)).select("incident_id", "node_id", "node_type", "ip", "host", _bar("set_roles"), _bar("products"), "suspicion_score", "internal", "managed")
+
+
+_LINKS = "(SELECT c.*, p.pos, p.s, p.flag, p.bytes, CASE WHEN p.pos % 5 = 0 THEN 'cust:?' ELSE 'supp:' || min(p.s) OVER (PARTITION BY k) END AS src, 'supp:' || p.s AS dst, min(p.observed_at) OVER (PARTITION BY k) AS began FROM case_labels c JOIN v_part p USING (k))"
+
+
+@query(f"SELECT id AS incident_id, CAST(pos AS VARCHAR) AS edge_key, src, dst, began AS timestamp, flag AS edge_subtype, bytes, least(1.0, greatest(0.7, suspicion_score)) AS label_confidence, set_roles, attack_tactics, lifecycle_stage FROM {_LINKS}", *_NESTED, "case_labels")
+def g5_incident_edges(spark, sf_dir):
+    return incidents.incident_edges(_labelled_cases(spark, sf_dir)).select("incident_id", "edge_key", "src", "dst", "timestamp", "edge_subtype", "bytes", "label_confidence", _bar("set_roles"), _bar("attack_tactics"), "lifecycle_stage")
+
+
+def _graph(spark, sf_dir):
+    return graph.build_graph(labels.label_events(V.artifacts(spark, sf_dir), *V.catalog(spark)), _labelled_cases(spark, sf_dir))
+
+
+@query("""SELECT node_type, count(*) AS n, CAST(sum(CASE WHEN ip <> '' THEN 1 ELSE 0 END) AS BIGINT) AS n_ip FROM (SELECT DISTINCT client_ip AS id, 'HOST' AS node_type, client_ip AS ip FROM v_artifact UNION SELECT server_ip, 'HOST', server_ip FROM v_artifact UNION SELECT 'user:' || username, 'CREDENTIAL', '' FROM v_artifact UNION SELECT DISTINCT 'supp:' || s, 'HOST', '10.9.7' FROM v_part) GROUP BY 1""", "v_artifact", "v_part")
+def g6_graph_nodes(spark, sf_dir):
+    nodes, _ = _graph(spark, sf_dir)
+    return nodes.groupBy("node_type").agg(F.count("*").alias("n"), F.count_if(F.col("ip") != "").alias("n_ip"))
+
+
+@query(f"SELECT edge_type, n FROM (SELECT coalesce(m.val, 'EVENT') AS edge_type, count(*) AS n FROM v_artifact LEFT JOIN edge_map m ON m.name = message_type GROUP BY 1 UNION ALL SELECT 'INCIDENT_LINK', count(*) FROM {_LINKS} WHERE src <> 'cust:?')", "v_artifact", "edge_map", *_NESTED, "case_labels")
+def j15_known_ends(spark, sf_dir):
+    nodes, edges = _graph(spark, sf_dir)
+    return graph.known_ends(edges, nodes).groupBy("edge_type").agg(F.count("*").alias("n"))
+
+
+_XML = lambda key, value: f"chr(10) || '      <data key=\"{key}\">' || {value} || '</data>'"
+
+
+@query(f"""SELECT n + 1 AS place, '    <edge id="e' || (n + 1) || '" source="' || client_ip || '" target="' || server_ip || '">' || {_XML('e_type', 'kind')} || {_XML('e_message_type', 'message_type')} || {_XML('e_stream', 'stream')} || {_XML('e_label_binary', "CASE WHEN k % 5 = 0 THEN 'suspicious' ELSE 'benign' END")} || chr(10) || '    </edge>' AS line
+ FROM (SELECT a.*, coalesce(m.val, 'EVENT') AS kind, row_number() OVER (ORDER BY event_id) - 1 AS n FROM v_artifact a LEFT JOIN edge_map m ON m.name = message_type)""", "v_artifact", "edge_map")
+def k7_graphml_edges(spark, sf_dir):
+    edges = _edges(spark, sf_dir).select("event_id", "src", "dst", "edge_type", "message_type", "stream", "label_binary")
+    return graph.graphml(graph.event_nodes(V.artifacts(spark, sf_dir)), edges, ["event_id"]).filter("section = 2").select("place", "line")
+
+
+@query(f"""SELECT id AS incident_id, CAST((SELECT count(*) FROM (SELECT DISTINCT s FROM v_part p WHERE p.k = c.k)) AS BIGINT) AS n_nodes, CAST((SELECT count(*) FROM v_part p WHERE p.k = c.k) AS BIGINT) AS n_edges, (SELECT '    <node id="supp:' || min(s) || '">' || {_XML('n_type', "'HOST'")} || {_XML('n_ip', "'10.9.' || (min(s) % 250) || '.7'")} || {_XML('n_hostname', "'supp' || min(s)")} || {_XML('n_set_roles', "'[&quot;' || arg_min(role, s) || '&quot;]'")} FROM v_part p WHERE p.k = c.k) AS first_node FROM v_case c""", "v_case", "v_part")
+def k8_incident_graphml(spark, sf_dir):
+    docs = graph.incident_graphml(_labelled_cases(spark, sf_dir))
+    times = lambda what: F.size(F.split("graphml", what)).cast("long") - 1
+    first = F.nullif(F.regexp_extract("graphml", '(?s)(    <node id=.*?n_set_roles">[^<]*</data>)', 1), F.lit(""))
+    return docs.select("incident_id", times("<node id=").alias("n_nodes"), times("<edge id=").alias("n_edges"), first.alias("first_node"))
+
+
+@query("SELECT 'link' AS section, '{\"source\":\"' || client_ip || '\",\"target\":\"' || server_ip || '\",\"message_type\":\"' || arg_max(message_type, event_id) || '\"}' AS line FROM v_artifact GROUP BY client_ip, server_ip", "v_artifact")
+def k9_node_link(spark, sf_dir):
+    nodes = graph.event_nodes(V.artifacts(spark, sf_dir)).withColumnRenamed("host", "hostname")
+    return graph.node_link(nodes, _edges(spark, sf_dir), "event_id", ["message_type"]).filter("section = 'link'")
+
+
+_SHORT = lambda list_, most, more: f"array_to_string({list_}[:{most}], ', ') || CASE WHEN len({list_}) > {most} THEN {more.replace('#', f'(len({list_}) - {most})')} ELSE '' END"
+_ISO = lambda e: f"strftime(make_timestamp(CAST({e} * 1000000 AS BIGINT)), '%Y-%m-%dT%H:%M:%SZ')"
+
+
+@query(f"""SELECT id AS incident_id, 'Incident `' || id || '` (`' || c.case_name || '`) was classified by the correlation engine as **' || mo_name || '** with a suspicion score of ' || round(CAST(suspicion_score AS DECIMAL(18, 6)), 2) || ' and a final disposition of **' || status_name || '** (`disposition_category=' || disposition_category || '`). '
+ || 'The attack chain began at `' || {_ISO('a')} || '` and was last observed at `' || {_ISO('b')} || '`' || CASE WHEN b - a > 0 THEN ' (duration: ' || CASE WHEN b - a < 60 THEN CAST(b - a AS BIGINT) || 's' WHEN b - a < 3600 THEN CAST(b - a AS BIGINT) // 60 || 'm' WHEN b - a < 86400 THEN CAST(b - a AS BIGINT) // 3600 || 'h' ELSE CAST(b - a AS BIGINT) // 86400 || 'd' END || ')' ELSE '' END || '. '
+ || 'The incident graph contains ' || n_leads || ' triggering signal' || CASE n_leads WHEN 1 THEN '' ELSE 's' END || ', ' || n_nodes || ' node' || CASE n_nodes WHEN 1 THEN '' ELSE 's' END || ', ' || n_edges || ' edge' || CASE n_edges WHEN 1 THEN '' ELSE 's' END || '. '
+ || 'Classification roles assigned: ' || {_SHORT('roles', 6, "' (and ' || # || ' more)'")} || '. Detection rules triggered: ' || {_SHORT('rules', 8, "', and ' || # || ' more'")} || '. Security products that observed activity: ' || {_SHORT('prods', 6, "' (and ' || # || ' more)'")} || '. '
+ || CASE WHEN tac IS NULL THEN '' ELSE 'Mapped MITRE ATT&CK tactics: ' || tac || '. ' END || CASE WHEN len(tec) > 0 THEN 'Mapped MITRE ATT&CK techniques: ' || {_SHORT('tec', 10, "', and ' || # || ' more'")} || '. ' ELSE '' END
+ || CASE WHEN lifecycle_stage <> 'unknown' THEN 'Inferred kill-chain stage: `' || lifecycle_stage || '`. ' ELSE '' END || 'Sample triggering signal: `part ' || first_part || '`. '
+ || 'This report was generated deterministically from structured incident metadata; it reflects the output of the correlation engine, not an independent threat-hunting investigation.' AS report_text
+ FROM case_labels c {_ROLES_OF.replace('roles FROM', 'roles FROM')} JOIN (SELECT k, min(observed_at) AS a, max(observed_at) AS b, count(DISTINCT lead_id) AS n_leads, count(DISTINCT s) AS n_nodes, count(*) AS n_edges, arg_min(p, pos) AS first_part FROM v_part GROUP BY 1) USING (k)
+ JOIN (SELECT k, list(DISTINCT '"rule ' || (p % 9) || '"' ORDER BY '"rule ' || (p % 9) || '"') AS rules, list(DISTINCT 'product ' || (s % 7) ORDER BY 'product ' || (s % 7)) AS prods FROM (SELECT k, lead_id, arg_min(p, pos) AS p, arg_min(s, pos) AS s FROM v_part GROUP BY 1, 2) GROUP BY 1) USING (k)
+ LEFT JOIN (SELECT id, string_agg(val, ', ' ORDER BY ord) AS tac FROM (SELECT id, val, min(ord) AS ord FROM (SELECT id, val, ord * 100 + pos AS ord FROM case_roles JOIN role_tactics ON name = role UNION ALL SELECT id, val, 1000000 + pos FROM v_case JOIN mo_tactics ON name = mo_name) GROUP BY 1, 2) GROUP BY 1) ta USING (id)
+ LEFT JOIN (SELECT id, list(val ORDER BY ord, val) AS tec FROM (SELECT id, val, min(ord) AS ord FROM (SELECT id, val, -1 AS ord FROM case_techs UNION ALL SELECT id, val, ord * 100 + pos FROM case_roles JOIN role_techniques ON name = role UNION ALL SELECT id, val, 1000000 + pos FROM v_case JOIN mo_techniques ON name = mo_name) GROUP BY 1, 2) GROUP BY 1) te USING (id)""", *_NESTED, "case_labels")
+def q3_attack_reports(spark, sf_dir):
+    return reports.attack_reports(V.cases(spark, sf_dir), _sets(spark)).filter("edge_count > 0").select("incident_id", "report_text")
+
+
+# ---- published table, residual findings, review
+
+
+def _signal(spark, sf_dir):
+    return exports.to_signal(labels.label_events(V.artifacts(spark, sf_dir), *V.catalog(spark)))
+
+
+@query("""SELECT epoch AS timestamp, message_type, stream AS stream_name, '' AS pipeline, client_ip AS src_ip, server_ip AS dst_ip, '' AS src_port, '' AS dst_port, '' AS protocol, client_host AS src_host, '' AS dst_host, username, '' AS action, '' AS severity, '' AS vendor_code, '' AS message_sanitized,
+ CASE WHEN k % 5 = 0 THEN 'suspicious' ELSE 'benign' END AS label_binary, '[]' AS defense_techniques, '' AS mo_name, CAST(0 AS DOUBLE) AS suspicion_score, 'Unprocessed' AS disposition, 'automated' AS disposition_category, false AS is_false_positive, '' AS status_name, '[]' AS incident_ids,
+ CASE WHEN k % 5 <> 0 THEN '[]' WHEN k % 20 + 1 = k % 7 + 1 THEN '["rule ' || (k % 20 + 1) || '"]' ELSE '["rule ' || (k % 20 + 1) || '","rule ' || (k % 7 + 1) || '"]' END AS matched_rules FROM v_artifact""", "v_artifact")
+def p2_signal(spark, sf_dir):
+    """The flat table but for columns whose values l3_label_events compares."""
+    return _signal(spark, sf_dir).drop("label_confidence", "attack_techniques", "attack_tactics", "lifecycle_stage", "set_roles", "product_name", "vendor_name")
+
+
+@query("""SELECT 'total_records' AS name, '' AS value, count(*) AS n FROM events UNION ALL SELECT 'message_type_distribution', message_type, count(*) FROM v_artifact GROUP BY 2 UNION ALL SELECT 'stream_distribution', stream, count(*) FROM v_artifact GROUP BY 2
+ UNION ALL SELECT 'label_distribution', CASE WHEN k % 5 = 0 THEN 'suspicious' ELSE 'benign' END, count(*) FROM v_artifact GROUP BY 2""", "v_artifact")
+def k5_signal_metadata(spark, sf_dir):
+    return exports.signal_metadata(_signal(spark, sf_dir)).filter("name <> 'column'")
+
+
+@query("SELECT value, n FROM (SELECT stream AS value, count(*) AS n FROM v_artifact GROUP BY 1 ORDER BY n DESC, value LIMIT 5)", "v_artifact")
+def w11_most_common_streams(spark, sf_dir):
+    return exports.most_common(V.artifacts(spark, sf_dir).groupBy(F.col("stream").alias("value")).agg(F.count("*").alias("n")))
+
+
+@query(f"SELECT doc_id AS record_id, 'EMAIL_ADDRESS' AS entity, v AS value FROM (SELECT doc_id, unnest(regexp_extract_all(text, '{D.EMAIL}')) AS v FROM documents) WHERE NOT regexp_matches(lower(v), '\\.(?:{_DOMAINS_SQL})$') UNION ALL SELECT doc_id, 'IP_ADDRESS', v FROM (SELECT doc_id, unnest(regexp_extract_all(text, '{D.IPV4}')) AS v FROM documents) WHERE NOT regexp_matches(v, '^(?:{D.TEST_NET}|{D.SHARED_NET})$')")
+def z15_residual_findings(spark, sf_dir):
+    """E-mail and network addresses that raw documents hold, as the residual scan sees them; what ends in a public domain
+    is allowed."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("record_id"), "text")
+    kinds = [d for d in review.SCORED if d[0] in ("EMAIL_ADDRESS", "IP_ADDRESS")]
+    return review.residual_findings(docs, "text", detectors=kinds).select("record_id", "entity", "value")
+
+
+@query("""SELECT lang, source, CAST(floor((nth - 1) / 5) AS BIGINT) AS batch, string_agg(CAST(doc_id AS VARCHAR), '|' ORDER BY nth) AS keys FROM (SELECT doc_id, lang, source, row_number() OVER (PARTITION BY lang, source ORDER BY doc_id) AS nth, count(*) OVER (PARTITION BY lang, source) AS n FROM documents) WHERE nth <= greatest(1, floor(n * 0.1)) GROUP BY 1, 2, 3""")
+def z16_review_queue(spark, sf_dir):
+    queue = review.review_queue(table(spark, sf_dir, "documents"), ["lang", "source"], "doc_id", "text", rate=0.1)
+    return queue.select("lang", "source", "batch", F.array_join(F.col("keys").cast("array<string>"), "|").alias("keys"))
+
+
+@query("SELECT source, count(*) AS reviewed, CAST(sum(n) AS BIGINT) AS found, sum(n) / count(*) AS rate FROM (SELECT source, len(regexp_extract_all(text, '" + D.IPV4 + "')) AS n FROM documents) GROUP BY 1 HAVING sum(n) / count(*) > 0.02")
+def a14_issue_rates(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = docs.select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(D.IPV4), F.lit(0))).alias("value"))
+    return review.issue_rates(docs.select("doc_id", "source"), found, ["source"], "doc_id")
+
+
+@query(f"""SELECT 'public_address' AS kind, count(*) AS n FROM (SELECT DISTINCT doc_id, unnest(regexp_extract_all(text, '{D.IPV4}')) AS ip FROM documents) WHERE NOT regexp_matches(ip, '^(?:{D.RFC1918}|{D.LOOPBACK}|{D.TEST_NET}|{D.SHARED_NET}|0\\.0\\.0\\.0|255\\.255\\.255\\.255)$')
+ UNION ALL SELECT 'pattern', count(*) FROM documents WHERE regexp_matches(text, '(?i)\\b[\\w.-]*(?:example\\.com)\\b')""")
+def v7_report(spark, sf_dir):
+    cells = verify.string_cells(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    found = verify.all_checks(cells, _registry(spark, sf_dir), [D.customer_domains(["example.com"])], leaks_too=False)
+    return found.groupBy("kind").agg(F.count("*").alias("n"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -76,3 +78,102 @@ def catalog(spark: SparkSession) -> tuple[DataFrame, DataFrame, DataFrame, DataF
 def values_sql(name: str, rows: list[tuple], columns: str) -> str:
     show = lambda v: f"'{v}'" if isinstance(v, str) else str(v)
     return f"{name}({columns}) AS (VALUES {', '.join('(' + ', '.join(map(show, r)) + ')' for r in rows)})"
+
+
+# ---- log messages of nine formats, from events
+
+FORMATS = ("cisco_asa", "windows_xml", "winlogbeat", "aws_cloudtrail", "dns_event", "vmware", "palo_alto", "meraki", "generic")
+#: Values of an event and the category that each has.
+VALUES = {"cip": "ipv4_priv", "sip": "ipv4_pub", "usr": "username", "hst": "hostname", "fqn": "fqdn", "org": "org", "mail": "email", "acct": "aws_account", "cred": "credential"}
+#: A message of each format: plain text and, in angle brackets, values.
+TEMPLATES = (
+    "%ASA-4-106023: Deny tcp src outside:«sip»/443 dst inside:«cip»/99 Original Address=«cip»",
+    "<Event><Computer>«fqn»</Computer><TargetUserName>«usr»</TargetUserName><SubjectUserName>SYSTEM</SubjectUserName><IpAddress>«cip»</IpAddress><TargetDomainName>«org»</TargetDomainName></Event>",
+    'WinLogBeat ::: {"agent":{"name":"«hst»"},"user":"«usr»","domain":"«org»","ip":"«cip»","computer_name":"«fqn»"}',
+    '{"userName":"«usr»","accountId":"«acct»","arn":"arn:aws:iam::«acct»:user/«cred»","sourceIPAddress":"«sip»"}',
+    "reply «fqn» is «cip» query www.google.com is «sip»",
+    "<14>1 2023-01-01T00:00:00.000+00:00 «hst» vpxd: login from «cip»",
+    "<14>Apr 16 02:53:39 «hst» 1,2023/04/16,«hst»,TRAFFIC,«cip»,«sip»,0.0.0.0",
+    "flows src=«cip» dst=«sip» done",
+    "<13>Apr 16 02:53:39 «hst» login «org»~«usr» mail «mail» at «fqn» from «sip»",
+)
+#: Stream, type and pipeline that name the format; the third is told by how it begins.
+NAMED_BY = (("Cisco_ASA", "", ""), ("windows_security_audit", "", ""), ("", "", ""), ("", "", "in_cloudtrail_1"), ("", "dns_event", ""), ("vcenter", "", ""), ("pan_firewall", "", ""), ("meraki", "", ""), ("other", "note", ""))
+RECORD = '{"clientIP":"«cip»","userName":"«usr»","organization":"«org»","serverHostname":"«fqn»","action":"allow «usr»","nested":{"peer_host":"«hst»","note":"plain text","contact":"«mail»"},"orgId":7}'
+
+
+def text_sql(template: str, values: dict[str, str]) -> str:
+    """A concat of the template's plain parts and SQL for its values."""
+    parts = []
+    for i, piece in enumerate(re.split("[«»]", template)):
+        if i % 2:
+            parts.append(values[piece])
+        elif piece:
+            plain = piece.replace("'", "''")
+            parts += [x for n, p in enumerate(plain.split("~")) for x in (["chr(92)"] if n else []) + ([f"'{p}'"] if p else [])]
+    return f"concat({', '.join(parts)})"
+
+
+def logs_sql(s: str) -> str:
+    raw = {"cip": "client_ip", "sip": "server_ip", "usr": "username", "hst": f"concat('srv', CAST(event_id % 50 AS {s}), 'x')", "fqn": f"concat('node', CAST(event_id % 40 AS {s}), '.corp.lan')", "org": f"concat('CORP', CAST(event_id % 6 AS {s}))", "mail": "concat(username, '@corp.lan')", "acct": f"CAST(500000000000 + event_id % 90 AS {s})", "cred": f"concat('key', CAST(event_id % 70 AS {s}))"}
+    inner = ", ".join(f"{v} AS {k}" for k, v in raw.items())
+    pick = lambda items: "CASE event_id % 9 " + " ".join(f"WHEN {i} THEN {v}" for i, v in enumerate(items)) + " END"
+    names = {k: k for k in raw}
+    rows = f"SELECT event_id, {inner} FROM ({_ARTIFACT.format(s=s, epoch='0', k='0')}) a"
+    return (
+        f"SELECT event_id, {pick([repr(f) for f in FORMATS])} AS format, {pick([repr(n[0]) for n in NAMED_BY])} AS stream, {pick([repr(n[1]) for n in NAMED_BY])} AS message_type, {pick([repr(n[2]) for n in NAMED_BY])} AS pipeline, "
+        f"{pick([text_sql(t, names) for t in TEMPLATES])} AS message, {text_sql(RECORD, names)} AS record, {', '.join(names)} FROM ({rows}) b"
+    )
+
+
+VIEW_SQL["v_logs"] = logs_sql("VARCHAR")
+
+
+def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _tables(spark, sf_dir, "events")
+    return spark.sql(logs_sql("STRING"))
+
+
+# ---- nested incidents, from orders, lineitem and supplier
+
+_CASE = """SELECT o_orderkey AS k, concat('INC-', CAST(o_orderkey AS {s})) AS id, concat('Case ', CAST(o_orderkey % 100 AS {s})) AS case_name, {mo} AS mo_name, least(o_totalprice / 500000, 1.0) AS suspicion_score,
+ CASE o_orderstatus WHEN 'F' THEN 'Resolved' WHEN 'O' THEN 'Unprocessed' ELSE 'False Positive' END AS status_name FROM orders"""
+#: One row for each order and line number, of several the one with the smallest part and supplier.
+_PART = """SELECT k, pos, s, {role} AS role, s_nationkey AS n, {observed} AS observed_at, p * 10 + s % 10 AS lead_id, p, flag, CAST(quantity AS {i}) AS bytes FROM (
+ SELECT l_orderkey AS k, l_linenumber AS pos, min(l_partkey * 1000000 + l_suppkey) % 1000000 AS s, CAST(floor(min(l_partkey * 1000000 + l_suppkey) / 1000000) AS {i}) AS p, max(l_returnflag) AS flag, max(l_quantity) AS quantity, min(l_shipdate) AS shipdate FROM lineitem GROUP BY l_orderkey, l_linenumber) x
+ JOIN supplier ON s = s_suppkey"""
+VIEW_SQL["v_case"] = _CASE.format(s="VARCHAR", mo=_MO_CASE)
+VIEW_SQL["v_part"] = _PART.format(role=f"[{_ROLE_ARRAY}][1 + s_nationkey % {len(ROLES)}]", observed="epoch_us(shipdate) / 1000000", i="BIGINT")
+
+
+def cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Incidents with their sets (in three shapes), nodes, edges and leads."""
+    _tables(spark, sf_dir, "orders", "lineitem", "supplier")
+    head = spark.sql(_CASE.format(s="STRING", mo=_MO_CASE)).withColumnRenamed("case_name", "name")
+    part = spark.sql(_PART.format(role=f"element_at(array({_ROLE_ARRAY}), CAST(1 + s_nationkey % {len(ROLES)} AS INT))", observed="unix_micros(CAST(shipdate AS TIMESTAMP)) / 1000000", i="BIGINT"))
+    supp = F.concat(F.lit("supp:"), F.col("s").cast("string"))
+    kinds = "map<string,array<string>>"
+    frameworks = F.when(F.col("s") % 4 == 0, F.create_map(F.lit("attck"), F.array(F.lit("t1059"), F.lit("T1071.001")))).when(F.col("s") % 4 == 1, F.create_map(F.lit("mitre"), F.array(F.lit("1003")))).when(F.col("s") % 4 == 2, F.create_map(F.lit("d3fend"), F.array(F.lit("D3-NI")))).cast(kinds)
+    node = F.struct(
+        F.lit("host").alias("type"), F.concat(F.lit("10.9."), (F.col("s") % 250).cast("string"), F.lit(".7")).alias("ip_address"), F.lit(None).cast("string").alias("ip"), F.concat(F.lit("supp"), F.col("s").cast("string")).alias("hostname"), F.lit("").alias("credential"), (F.col("s") % 10 / 10).alias("suspicion_score"),
+        (F.col("s") % 2 == 0).alias("internal"), F.lit(None).cast("boolean").alias("managed"), F.create_map(F.lit("1"), F.struct(F.lit(1).alias("id"), F.col("role").alias("name"))).alias("sets"), F.create_map((F.col("s") % 5).cast("string"), F.struct(F.concat(F.lit("product "), (F.col("s") % 7).cast("string")).alias("name"), frameworks.alias("frameworks"))).alias("products"),
+    )
+    artifact = F.when(F.col("pos") % 7 != 3, F.struct(F.lit("flow").alias("message_type"), F.concat(F.lit("10.9."), (F.col("s") % 250).cast("string"), F.lit(".7")).alias("client_ip")))
+    lead = F.struct("observed_at", F.concat(F.lit("rule "), (F.col("p") % 9).cast("string")).alias("description"), F.concat(F.lit("part "), F.col("p").cast("string")).alias("details"), F.lit(1).alias("set_id"), F.struct(F.concat(F.lit("product "), (F.col("s") % 7).cast("string")).alias("name")).alias("product"), artifact.alias("artifact"))
+    source = F.when(F.col("pos") % 5 == 0, F.lit("cust:?")).otherwise(F.concat(F.lit("supp:"), F.col("low").cast("string")))
+    edge = F.struct(source.alias("source"), supp.alias("target"), F.col("flag").alias("subtype"), F.lit(0).alias("started"), F.lit(0).alias("ended"), F.lit(1).alias("count"), F.col("bytes").alias("bytes"))
+    low = part.groupBy("k").agg(F.min("s").alias("low"), F.min("observed_at").alias("first_observed_at"), F.max("observed_at").alias("last_observed_at"))
+    each = part.join(low.select("k", "low"), "k")
+    nodes = part.dropDuplicates(["k", "s"]).withColumn("pos", F.col("s")).groupBy("k").agg(_ordered_map(supp, node).alias("nodes"))
+    edges = each.groupBy("k").agg(_ordered_map(F.col("pos").cast("string"), edge).alias("edges"))
+    first = part.groupBy("k", "lead_id").agg(F.min("pos").alias("pos"))
+    leads = part.join(first, ["k", "lead_id", "pos"]).groupBy("k").agg(_ordered_map(F.col("lead_id").cast("string"), lead).alias("leads"))
+    sets = F.when(F.col("k") % 3 == 0, '{"1":{"name":"Bot"},"2":{"name":""}}').when(F.col("k") % 3 == 1, "[2,3,99]").otherwise('[{"name":"C2 Server"}]')
+    return head.withColumn("sets", F.parse_json(sets)).join(nodes, "k", "left").join(edges, "k", "left").join(leads, "k", "left").join(low.drop("low"), "k", "left").withColumns({"created_at": F.col("first_observed_at"), "status_id": F.lit(0)})
+
+
+def _ordered_map(key, value):
+    """Map of a group's rows in order of ``pos``; values are ordered by place alone."""
+    rows = F.collect_list(F.struct(F.col("pos").alias("at"), key.alias("key"), value.alias("value")))
+    by_place = F.array_sort(rows, lambda a, b: F.when(a["at"] < b["at"], -1).when(a["at"] > b["at"], 1).otherwise(0))
+    return F.map_from_entries(F.transform(by_place, lambda x: F.struct(x["key"], x["value"])))
