@@ -43,6 +43,25 @@ def rows_of(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+#: A key is hot if it has more than one in HOT of all rows, so there are never more hot keys than that.
+HOT = 10_000
+
+
+def met(rows: DataFrame, table: DataFrame, key: str, total: int) -> DataFrame:
+    """``rows`` joined with ``table`` (key, n: its number of rows, ...) on the key. Hot keys are few and are broadcast, so
+    their rows stay where they are."""
+    hot = table.filter(F.col("n") > max(1000, total // HOT))
+    cold = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(table.filter(F.col("n") <= max(1000, total // HOT)), key)
+    return rows.join(F.broadcast(hot), key).unionByName(cold)
+
+
+def fresh(df: DataFrame, prefix: str) -> str:
+    """The prefix, made longer until no column begins with it."""
+    while any(c.lower().startswith(prefix.lower()) for c in df.columns):
+        prefix += "_"
+    return prefix
+
+
 def carried(df: DataFrame, names: list[str]) -> list:
     """The columns for a trip through pandas: whole numbers as text, because pandas keeps them beside nulls as floats."""
     whole = ("tinyint", "smallint", "int", "bigint")

@@ -21,11 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch
-
-#: A key is hot if it has more than one in HOT of all rows, so there are never more hot keys than that.
-HOT = 10_000
-
+from .common import HOT, Scratch, fresh, met
 
 def longest_increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Of pairs sorted by their first number, a longest run with both numbers increasing (patience sorting)."""
@@ -118,13 +114,6 @@ def line_runs(words: list[int], often: list[bool], min_words: int) -> set[tuple[
     return runs
 
 
-def met(rows: DataFrame, table: DataFrame, key: str, total: int) -> DataFrame:
-    """``rows`` joined with ``table`` (key, n: its number of rows, ...) on the key. Hot keys' few rows are broadcast."""
-    hot = table.filter(F.col("n") > max(1000, total // HOT))
-    cold = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(table.filter(F.col("n") <= max(1000, total // HOT)), key)
-    return rows.join(F.broadcast(hot), key).unionByName(cold)
-
-
 def line_blocks(docs: DataFrame, min_words: int = 20, key: str = "doc_id", text: str = "text", rare: int = 5) -> DataFrame:
     """Blocks to delete: (doc, version, blocks array<struct<first, end>>) of each document that has any.
 
@@ -229,17 +218,18 @@ def line_dedup(docs: DataFrame, min_words: int = 20, key: str = "doc_id", text:
     """
     blocks = line_blocks(docs, min_words, key, text)
     version = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
-    named = docs.withColumns({"__doc": F.col(key).cast("long"), "__version": version})
-    hit = blocks.withColumnsRenamed({"doc": "__hit_doc", "version": "__hit_version", "blocks": "__blocks"})
+    own = fresh(docs, "__")
+    named = docs.withColumns({f"{own}doc": F.col(key).cast("long"), f"{own}version": version})
+    hit = blocks.withColumnsRenamed({c: f"{own}hit_{c}" for c in blocks.columns})
     # A merge join at every size: the blocks grow with the documents, so they are never sent whole to each task.
-    joined = named.join(hit.hint("merge"), named["__doc"].eqNullSafe(hit["__hit_doc"]) & (named["__version"] == hit["__hit_version"]), "left")
+    joined = named.join(hit.hint("merge"), named[f"{own}doc"].eqNullSafe(hit[f"{own}hit_doc"]) & (named[f"{own}version"] == hit[f"{own}hit_version"]), "left")
     numbered = F.transform(F.split(F.col(text), "\n", -1), lambda x, i: F.struct(i.alias("i"), x.alias("x")))
-    left = F.filter(numbered, lambda s: ~F.exists("__blocks", lambda b: (s["i"] >= b["first"]) & (s["i"] < b["end"])))
-    kept = joined.withColumn("__left", F.when(F.col("__blocks").isNotNull(), F.transform(left, lambda s: s["x"])))
+    left = F.filter(numbered, lambda s: ~F.exists(f"{own}hit_blocks", lambda b: (s["i"] >= b["first"]) & (s["i"] < b["end"])))
+    kept = joined.withColumn(f"{own}left", F.when(F.col(f"{own}hit_blocks").isNotNull(), F.transform(left, lambda s: s["x"])))
     n = F.size(F.split(F.col(text), "\n", -1))
     n_lines = F.when(F.col(text).isNull(), 0).otherwise(n).cast("long")
-    removed = F.when(F.col("__left").isNull(), 0).otherwise(n - F.size("__left")).cast("long")
-    new_text = F.when(F.col("__left").isNull(), F.col(text)).otherwise(F.array_join("__left", "\n"))
+    removed = F.when(F.col(f"{own}left").isNull(), 0).otherwise(n - F.size(f"{own}left")).cast("long")
+    new_text = F.when(F.col(f"{own}left").isNull(), F.col(text)).otherwise(F.array_join(f"{own}left", "\n"))
     others = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     return kept.select(*[new_text.alias(text) if c == text else F.col(c) for c in others], n_lines.alias("n_lines"), removed.alias("n_removed"))
 

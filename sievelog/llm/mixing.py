@@ -205,15 +205,16 @@ def taken_words(docs: DataFrame, **options) -> DataFrame:
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """``documents`` in the mix: a row for each document and pass that has drawn words, with the drawn words as its text
     (the whole text where all are drawn, else the drawn stretches, each as it stands in the text, on lines of their
-    own) and n_chars counted anew. Rows that repeat doc_id and text are told apart by nothing, so their stretches come
-    as rows of each."""
+    own) and n_chars counted anew. Of rows that repeat doc_id, text and source one stands for all, whatever their other
+    columns hold, and comes once for each pass of each. Rows without words are in no mix; null keys, texts and sources
+    are values like any other; further columns keep their values; an empty table gives an empty table."""
     scratch = Scratch(docs.sparkSession, "mixed")
     documents, pieces = mix(docs, **options)
     stretch = F.struct("first", "words")
     drawn = scratch.save(pieces.groupBy("source", "at", "doc", "version", "pass").agg(F.array_sort(F.collect_list(stretch)).alias("stretches"), F.sum("words").alias("taken")), "stretches")
     drawn = drawn.select(F.col("doc").alias("__doc"), F.col("version").alias("__version"), F.col("source").alias("__source"), F.col("at").alias("__at"), "pass", "stretches", "taken")
     version = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
-    known = docs.withColumn("__v", version)
+    known = docs.select("doc_id", "text", "source", F.struct(*docs.columns).alias("__row"), version.alias("__v"))
     again = scratch.save(documents.groupBy("doc", "version", "source").count().filter("count > 1"), "again")
     same = lambda left, right: left["doc_id"].eqNullSafe(right[right.columns[0]]) & (left["__v"] == right[right.columns[1]]) & left["source"].eqNullSafe(right[right.columns[2]])
     once = known.join(again, same(known, again), "left_anti").unionByName(known.join(again, same(known, again), "left_semi").dropDuplicates(["doc_id", "__v", "source"]))
@@ -224,4 +225,5 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     whole = F.col("taken") >= F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0))
     parts = F.array_join(F.transform(merged, lambda s: F.rtrim(F.array_join(F.slice(tokens, (s["first"] + 1).cast("int"), s["words"].cast("int")), ""))), "\n")
     out = joined.withColumn("text", F.when(whole, F.col("text")).otherwise(parts))
-    return out.withColumn("n_chars", F.char_length("text").cast("long")).select(docs.columns)
+    counted = {"text": F.col("text"), "n_chars": F.char_length("text").cast("long")}
+    return out.select(*[counted.get(c, F.col("__row")[c]).alias(c) for c in docs.columns])

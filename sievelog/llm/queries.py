@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import PATTERN, bpe_encode
-from .common import Scratch, rows_of
+from .common import Scratch, met, rows_of
 from .embedding_pq import near_vectors
 from .line_dedup import line_dedup
 from .media import media_features
@@ -16,7 +16,7 @@ from .mixing import taken_words
 from .simhash import simhash_components
 from .suffix_dedup import remove_repeats
 from .token_rollup import TokenRollup, count_changes, token_counter
-from .toxicity import fit_toxicity, held_out, toxicity_scores
+from .toxicity import TOXIC, fit_toxicity, held_out, toxicity_scores
 from .warc import archive_round_trip
 
 
@@ -43,8 +43,8 @@ def op2_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     count = token_counter(spark, tokenizer_file("byte_bpe_50k.tiktoken"), PATTERN)
     rollup.apply("counts", count_changes(docs, count, "byte_bpe_50k"))
     hashed = docs.select("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("h"))
-    first = hashed.groupBy("h").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).filter("n > 1")
-    copies = hashed.join(first, "h").filter("doc_id > first").select(F.lit("delete").alias("op"), "doc_id", F.lit("byte_bpe_50k").alias("version"), F.lit(None).cast("string").alias("source"), F.lit(None).cast("string").alias("lang"), F.lit(None).cast("long").alias("n_tokens"))
+    first = Scratch(spark, "copies").save(hashed.groupBy("h").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).filter("n > 1"), "first")
+    copies = met(hashed, first, "h", docs.count()).filter("doc_id > first").select(F.lit("delete").alias("op"), "doc_id", F.lit("byte_bpe_50k").alias("version"), F.lit(None).cast("string").alias("source"), F.lit(None).cast("string").alias("lang"), F.lit(None).cast("long").alias("n_tokens"))
     rollup.apply("copies", copies)
     squeezed = docs.withColumn("new", F.regexp_replace("text", "[ \t]+", " ")).filter("new <> text").withColumn("text", F.col("new")).drop("new")
     left = squeezed.join(rollup.state().select("doc_id"), "doc_id", "left_semi")
@@ -69,7 +69,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = rows_of(spark, sf_dir, "documents")
     model = fit_toxicity(docs, rows_of(spark, sf_dir, "labels"))
     scored = toxicity_scores(docs, model, ("doc_id",))
-    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= TOXIC).cast("int").alias("predicted"))
 
 
 def op7_media(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, connected
+from .common import Scratch, connected, fresh
 
 BITS = 64
 
@@ -108,4 +108,5 @@ def keep_first(docs: DataFrame, marked: DataFrame) -> DataFrame:
     left = docs.join(gone, docs["doc_id"].eqNullSafe(gone["doc_id"]), "left_anti")
     known, unknown = left.filter("doc_id IS NOT NULL"), left.filter("doc_id IS NULL")
     again = Window.partitionBy("doc_id").orderBy("text")
-    return known.withColumn("__n", F.row_number().over(again)).filter("__n = 1").drop("__n").unionByName(unknown)
+    nth = fresh(docs, "__nth")
+    return known.withColumn(nth, F.row_number().over(again)).filter(F.col(nth) == 1).drop(nth).unionByName(unknown)

@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import fresh
+
 #: Words of a window; sharpness of the soft maximum; gain between a window's mean and the layer (a mean of 12 words moves
 #: little with any one of them); start of Adagrad's sums.
 WINDOW, SHARP, GAIN, EPS = 12, 2.0, 12.0, 1e-6
@@ -71,6 +73,7 @@ class Model:
         self.table = draw.normal(0, 0.01, (rows, size))
         self.layer = draw.normal(0, 0.5, (2, size))
         self.offset = np.zeros(2)
+        self.blank = -50.0  # log odds of a text without words
 
     def _features(self, words: list[str], part: int = 20_000) -> tuple[np.ndarray, np.ndarray]:
         """Rows of each word and their number, found for a part of the words at a time to bound memory."""
@@ -141,16 +144,16 @@ class Model:
         self.table[rare] = 0
         return self
 
-    def scalars(self) -> tuple[np.ndarray, float]:
-        """The log odds that each embedding row adds to the mean, and the offset."""
-        return GAIN * (self.table @ (self.layer[1] - self.layer[0])), float(self.offset[1] - self.offset[0])
+    def scalars(self) -> tuple[np.ndarray, float, float]:
+        """The log odds that each embedding row adds to the mean, the offset, and the log odds of a text without words."""
+        return GAIN * (self.table @ (self.layer[1] - self.layer[0])), float(self.offset[1] - self.offset[0]), self.blank
 
 
 class Scorer:
     """Scores whole texts, keeping up to ``cache`` words' numbers."""
 
-    def __init__(self, weights: np.ndarray, offset: float, cache: int = 300_000):
-        self.weights, self.offset, self.cache, self.known = weights, offset, cache, {}
+    def __init__(self, weights: np.ndarray, offset: float, blank: float, cache: int = 300_000):
+        self.weights, self.offset, self.blank, self.cache, self.known = weights, offset, blank, cache, {}
 
     def score(self, texts: list[str | None]) -> list[float]:
         if len(self.known) > self.cache:
@@ -166,7 +169,7 @@ class Scorer:
         out = []
         for words in split:
             if not words:
-                z = np.array([self.offset])
+                z = np.array([self.blank])
             else:
                 values = np.fromiter(map(known.__getitem__, words), float, len(words))
                 begin = _windows(len(words))
@@ -194,12 +197,14 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: tuple[int, int]
     if len({r.toxic for r in rows}) < 2:
         model.table[:], model.offset = 0, np.array([0.0, -50.0])
         return model
+    # The sample's classes are drawn alike; a text without words has the share of toxic ones among all usable labels.
+    model.blank = float(np.log(there[1] / there[0]))
     return model.fit([r.body for r in rows], [r.toxic for r in rows])
 
 
 def toxicity_scores(docs: DataFrame, model: Model, keep: tuple[str, ...], text: str = "text", name: str = "score") -> DataFrame:
-    """``keep`` and ``name`` (double in 0..1) for every row, from its whole text. A null or empty text has the score of a text
-    without words; repeated rows are scored each; further columns are ignored; an empty table gives an empty table."""
+    """``keep`` and ``name`` (double in 0..1) for every row, from its whole text. A text without words, null and empty ones
+    among them, has the share of toxic rows among the labels as its score; repeated rows are scored each; further columns are ignored; an empty table gives an empty table."""
     weights = docs.sparkSession.sparkContext.broadcast(model.scalars())
 
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -211,6 +216,12 @@ def toxicity_scores(docs: DataFrame, model: Model, keep: tuple[str, ...], text:
     return docs.select(*keep, F.pandas_udf(run, "double")(F.col(text)).alias(name))
 
 
-def reject_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """The documents that score below the threshold."""
-    return toxicity_scores(docs, fit_toxicity(docs, labels), tuple(docs.columns), name="__toxicity").filter(F.col("__toxicity") < threshold).select(docs.columns)
+#: A text is taken for toxic from this score on.
+TOXIC = 0.3
+
+
+def reject_toxic(docs: DataFrame, labels: DataFrame, threshold: float = TOXIC) -> DataFrame:
+    """The documents that score below the threshold, each row as it is. A null or empty text has the score of a text without
+    words; repeated rows stay or go together; an empty table, or labels of one class only, reject nothing."""
+    name = fresh(docs, "__toxicity")
+    return toxicity_scores(docs, fit_toxicity(docs, labels), tuple(docs.columns), name=name).filter(F.col(name) < threshold).select(docs.columns)
