@@ -8,14 +8,22 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written under spark.checkpoint.dir and read again; a local folder of our own where that is unset (tests)."""
-    spark: SparkSession = df.sparkSession
+def shared_dir(spark: SparkSession) -> str:
+    """spark.checkpoint.dir; where that is unset, a local folder of our own on a local master (tests), the warehouse on a cluster."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="spark-scratch-")
+        if spark.sparkContext.master.startswith("local"):
+            base = "file://" + tempfile.mkdtemp(prefix="spark-scratch-")
+        else:
+            base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
         spark.conf.set("spark.checkpoint.dir", base)
-    path = f"{base.rstrip('/')}/sievelog/{name}-{uuid.uuid4().hex[:12]}"
+    return base.rstrip("/")
+
+
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written under the shared folder and read again."""
+    spark: SparkSession = df.sparkSession
+    path = f"{shared_dir(spark)}/sievelog/{name}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
