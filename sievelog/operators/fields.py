@@ -1,91 +1,10 @@
-"""Structured fields of JSON records: each text value is classed by its field's name, else by what it looks like."""
+"""Text values of records of any shape."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import allowlists as A
-from ..functions import detectors as D
-from ..sources.scratch import saved
-from .formats import Step, always, host, marked, organisation, private_name
-
-# Fixed values of the data model: names of fields. Names are compared whole, without case.
-PASSED = (
-    "messagetype", "action", "streamname", "pipelinename", "pipelineentrypoint", "fieldextractorname", "tags", "vendorcode", "protocol", "clientport", "serverport", "priority", "severitycode", "severitylabel", "facilitycode", "facilitylabel", "sensitivity", "sourceinfo",
-    "localstarttime", "localendtime", "starttimeutc", "endtimeutc", "created_at", "updated_at", "observed_at", "first_observed_at", "last_observed_at", "_created_at", "_created_at_uuid", "_partition", "status_name", "mo_name", "type", "program", "application", "annotations", "message",
-)
-ADDRESS_FIELDS = ("clientip", "serverip", "ip_address", "ip", "senderhost")
-ORG_FIELDS = ("organization", "org", "_org_id")
-HOST_FIELDS = ("localhostname", "serverhostname", "clienthostname", "hostname")
-USER_FIELDS = ("username",)
-CREDENTIAL_FIELDS = ("credential",)
-HINTS = (("hostname", "host|computer|server|workstation|machine|node"), ("username", "user|account|principal|owner|creator"), ("org", "org|domain|company|tenant|realm"))
-
-
-def key_hint(key: Column, value: Column) -> Column:
-    """Category that a field's name suggests for a value that looks like nothing else."""
-    low = F.lower(key)
-    plain = ~A.is_allowed(value) & (value != "-")
-    return (
-        F.when(low.rlike(HINTS[0][1]), F.when(plain, "hostname")).when(low.rlike(HINTS[1][1]), F.when(plain & ~A.is_safe_user(value), "username"))
-        .when(low.rlike(HINTS[2][1]), F.when(plain & ~A.is_safe_domain(value), "org"))
-    )
-
-
-def value_class(key: Column, value: Column) -> Column:
-    """Category of a value of an unknown field: by its look, then by the field's name. Values of 3 to 500 characters."""
-    v = F.trim(value)
-    looks = D.value_category(v)
-    looks = F.when(looks.startswith("ipv4"), F.when(~D.is_sanitized_ip(v) & ~D.is_loopback_ip(v), looks).otherwise("")).when(looks == "fqdn", private_name(v)).otherwise(looks)
-    return F.when(F.length(v).between(3, 500) & ~A.is_allowed(v) & ~D.is_own_token(v), F.coalesce(looks, key_hint(key, v)))
-
-
-def _named(fields: tuple[str, ...], kind) -> Step:
-    return Step(rf'(?i)("(?:{"|".join(fields)})"\s*:\s*")((?:[^"\\]|\\.)+)(")', "$1<$2>$3", (kind,))
-
-
-def _credential(v: Column) -> Column:
-    return F.when(v.rlike(f"^(?:{D.MACHINE})"), "machine_account").otherwise("credential")
-
-
-STEPS = (
-    _named(PASSED, always("")),
-    Step(r'(?i)("(?:clientip|serverip|ip_address|ip|senderhost|localhostname|serverhostname|clienthostname|hostname)"\s*:\s*"IP-)([0-9A-Fa-f]{8})(")', "$1<$2>$3", (lambda v: F.concat(F.when(D.is_private_ip(D.hex_to_ip(v)), "ipv4_priv").otherwise("ipv4_pub"), F.lit("/hex")),)),
-    _named(ADDRESS_FIELDS + HOST_FIELDS, lambda v: F.when(v != "-", host(v)).otherwise("")),
-    Step(r'(?i)("(?:organization|org)"\s*:\s*")([A-Za-z][A-Za-z0-9 ]*?)(\s*\()([a-z0-9-]+\.[a-z0-9.-]+\.[a-z]{2,})(\)")', "$1<$2>$3<$4>$5", (always("org"), always("domain"))),
-    _named(ORG_FIELDS, organisation),
-    _named(USER_FIELDS, lambda v: F.when(v.isin("-", "SYSTEM", "LOCAL SERVICE"), "").otherwise("username")),
-    Step(r'(?i)("credential"\s*:\s*"TrustedAdvisor_)(\d{12})(_)([a-f0-9-]{36})(")', "$1<$2>$3<$4>$5", (always("aws_account"), always("credential"))),
-    _named(CREDENTIAL_FIELDS, _credential),
-    Step(r'(?i)("orgid"\s*:\s*)(\d+)', "$1<$2>", (always("org_id"),)),
-    Step(rf'("name"\s*:\s*")({D.IPV4})(")', "$1<$2>$3", (lambda v: F.when(D.is_private_ip(v), "ipv4_priv").otherwise("ipv4_pub"),)),
-    _named(("name",), always("")),
-)
-
-
-def _unknown(segments: Column) -> Column:
-    """The same with values of all other fields classed; the field's name stands before its value in the plain text."""
-    pair = r'"((?:[^"\\]|\\.)+)"(\s*:\s*)"((?:[^"\\]|\\.)+)"'
-
-    def split(x: Column) -> Column:
-        step = Step(pair, '"<$1>"$2"<$3>"', (always(""), always("")))
-        pieces = step.apply(F.array(x))
-        both = lambda p, k: F.when((k % 4 == 3), F.struct(p["s"].alias("s"), value_class(F.element_at(pieces, k - 1)["s"], p["s"]).alias("category"))).otherwise(F.struct(p["s"].alias("s"), F.lit(None).cast("string").alias("category")))
-        return F.when(x["category"].isNull(), F.transform(pieces, both)).otherwise(F.array(x))
-
-    return F.flatten(F.transform(segments, split))
-
-
-def marked_fields(df: DataFrame, body: str) -> DataFrame:
-    """``df`` with ``segments`` of its JSON text: values of known fields under their class, of passed fields kept, of all
-    others by their look or their field's name. What isn't JSON has plain segments only. Fields are met at any depth."""
-    rows = marked(df, body, "generic", general=False, cut=False).withColumn("__plain", F.col("segments"))
-    for step in STEPS:
-        rows = rows.withColumn("segments", step.apply(F.col("segments")))
-    good = F.try_parse_json(F.col(body)).isNotNull()
-    return saved(rows.withColumn("segments", F.when(good, _unknown(F.col("segments"))).otherwise(F.col("__plain"))).drop("__plain"), "marked")
-
 
 def string_leaves(df: DataFrame, body: str, key: str = "record_id", depth: int = 20) -> DataFrame:
     """(record_id, path, key, value) of the text values of VARIANT records, to a depth of 20.

@@ -1,160 +1,10 @@
-"""Sensitive values in log messages, by format: marked in the raw text, registered, then replaced once.
-
-A text is an array of segments (s, category): plain ones have no category. A step marks the matches of one pattern in the
-plain segments, so an earlier step wins every overlap, and each step reads the text once. Values are marked by two
-characters that Unicode keeps out of text; where a text holds them all the same, they become blanks.
-"""
+"""The format of a log message, by its stream, type or pipeline, else by how it begins."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..functions import allowlists as A
-from ..functions import detectors as D
-from ..sources.scratch import saved
-from .registry import norm
-
-OPEN, CLOSE = "\uFDD0", "\uFDD1"
-KINDS = Callable[[Column], Column]
-SEGMENTS = "array<struct<s:string,category:string>>"
-
-
-# ---- categories of a marked value; null leaves it as it is
-
-
-def address(v: Column) -> Column:
-    return F.when(D.is_private_ip(v), "ipv4_priv").otherwise("ipv4_pub")
-
-
-def address_only(v: Column) -> Column:
-    return F.when(v.rlike(f"^(?:{D.IPV4})$"), address(v))
-
-
-def host(v: Column) -> Column:
-    return F.coalesce(address_only(v), F.when(v.rlike(f"^(?:{D.FQDN})$"), "fqdn").otherwise("hostname"))
-
-
-def user(v: Column) -> Column:
-    return F.when(~A.is_safe_user(v), F.when(v.rlike(f"^(?:{D.MACHINE})$"), "machine_account").otherwise("username"))
-
-
-def organisation(v: Column) -> Column:
-    return F.when(~A.is_safe_domain(v), "org")
-
-
-def sid(v: Column) -> Column:
-    return F.when(v.rlike(f"^(?:{D.SID})$"), "sid")
-
-
-def other_host(v: Column) -> Column:
-    return F.when(~A.is_allowed(v) & (F.length(v) >= 3) & ~v.rlike(f"^(?:{D.IPV4})$"), "hostname")
-
-
-def other_name(v: Column) -> Column:
-    return F.when(~A.is_allowed(v) & (F.length(v) >= 2), "username")
-
-
-def other_org(v: Column) -> Column:
-    return F.when(~A.is_allowed(v) & (F.length(v) >= 2), "org")
-
-
-def private_name(v: Column) -> Column:
-    return F.when(~A.is_allowed(v), "fqdn")
-
-
-def own_address(v: Column) -> Column:
-    return F.when(~D.is_sanitized_ip(v), address(v))
-
-
-def hex_address(v: Column) -> Column:
-    return F.concat(address(D.hex_to_ip(v)), F.lit("/hex"))
-
-
-def always(category: str) -> KINDS:
-    return lambda v: F.lit(category)
-
-
-@dataclass(frozen=True)
-class Step:
-    """Values to mark: a pattern, its replacement with ``<`` and ``>`` around each value, and each value's kind."""
-
-    pattern: str
-    marked: str
-    kinds: tuple[KINDS, ...]
-    start: bool = False  # only at the start of the text
-
-    def apply(self, segments: Column) -> Column:
-        template = self.marked.replace("<", OPEN).replace(">", CLOSE)
-
-        def split(x: Column, i: Column) -> Column:
-            pieces = F.split(F.regexp_replace(x["s"], F.lit(self.pattern), F.lit(template)), f"[{OPEN}{CLOSE}]", -1)
-
-            def named(piece: Column, k: Column) -> Column:
-                category = F.lit(None).cast("string")
-                for n, kind in enumerate(self.kinds):
-                    category = F.when(k % (2 * len(self.kinds)) == 2 * n + 1, kind(piece)).otherwise(category)
-                return F.struct(piece.alias("s"), category.alias("category"))
-
-            mine = x["category"].isNull() & ((i == 0) if self.start else F.lit(True)) & x["s"].rlike(self.pattern)
-            return F.when(mine, F.transform(pieces, named)).otherwise(F.array(x))
-
-        return F.flatten(F.transform(segments, split))
-
-
-def _keyed(keys: str, kind: KINDS, case: bool = False) -> Step:
-    """Text values of JSON fields with these names, at any depth."""
-    return Step(rf'{"" if case else "(?i)"}("(?:{keys})"\s*:\s*")((?:[^"\\]|\\.)+)(")', "$1<$2>$3", (kind,))
-
-
-def _element(names: str, kind: KINDS) -> Step:
-    return Step(rf"(?i)(<(?:{names})>\s*)([^<\s](?:[^<]*[^<\s])?)(\s*</)", "$1<$2>$3", (lambda v: F.when(~v.rlike("^(?:-$|%%)"), kind(v)),))
-
-
-ADDRESSES = Step(f"({D.IPV4})", "<$1>", (address,))
-GENERIC = (
-    Step(r"^(<\d+>\w{3}\s+\d{1,2}\s+(?:\d{4}\s+)?\d{2}:\d{2}:\d{2}[:.]*\s*)(\S+)(\s+)", "$1<$2>$3", (other_host,), start=True),
-    Step(D.FLOW_IP, "$1=<$2>", (address,)),
-    Step(D.HEX_IP, "IP-<$1>", (hex_address,)),
-    Step(D.ADVISOR, "TrustedAdvisor_<$1>_<$2>", (always("aws_account"), always("credential"))),
-    Step(D.DOMAIN_USER, r"<$1>\\<$2>", (organisation, always("username"))),
-    Step(f"({D.EMAIL})", "<$1>", (always("email"),)),
-    Step(f"({D.SID})", "<$1>", (always("sid"),)),
-    Step(f"({D.MACHINE})", "<$1>", (always("machine_account"),)),
-    Step(f"({D.ARN})", "<$1>", (always("arn"),)),
-    Step(D.UNC_SERVER, "$1<$2>", (other_host,)),
-    Step(r"(?i)\b(CN=)([^,\s]+)", "$1<$2>", (other_name,)),
-    Step(r"(?i)\b((?:OU|DC)=)([^,\s]+)", "$1<$2>", (other_org,)),
-    Step(f"({D.FQDN})", "<$1>", (private_name,)),
-    Step(f"({D.IPV4})", "<$1>", (own_address,)),
-)
-CLOUD_ARN = (
-    Step(r'(arn:aws[a-z-]*:[^":]*:[^":]*:)(\d+)(:[^"]*/)([^"/]+)(?=")', "$1<$2>$3<$4>", (always("aws_account"), always("credential"))),
-    Step(r'(arn:aws[a-z-]*:[^":]*:[^":]*::[^"]*/)([^"/]+)(?=")', "$1<$2>", (always("credential"),)),
-    Step(r'(arn:aws[a-z-]*:[^":]*:[^":]*:)(\d+)(?=[:"])', "$1<$2>", (always("aws_account"),)),
-)
-#: Steps of each format, before the general ones. Formats of JSON text count only where the text is JSON.
-STEPS = {
-    "cisco_asa": (Step(D.IFACE_IP, "$1 $2:<$3>/$4", (address,)), Step(D.ORIGINAL_ADDRESS, "Original Address=<$1>", (address,)), ADDRESSES),
-    "windows_xml": (_element("TargetUserName|SubjectUserName", user), _element("WorkstationName|TargetServerName|Computer", host), _element("IpAddress", address_only), _element("TargetDomainName|SubjectDomainName", organisation), _element("TargetLogonId|SubjectLogonId", sid)),
-    "winlogbeat": (
-        _keyed("callerprocessname|targetlogonid|subjectlogonid", always("")), _keyed("hostname|senderhost|serverhostname|localhostname|workstationname|targetservername|computer_name", lambda v: F.when(v != "-", host(v))), _keyed("user|targetusername|target_user_name|subjectusername|subject_user_name", user),
-        _keyed("domain|targetdomainname|target_domain_name|subjectdomainname|subject_domain_name|organization", lambda v: F.when(v != "-", organisation(v))), _keyed("targetusersid|target_user_sid|subjectusersid|subject_user_sid", sid), _keyed("ip|source_address|sourceaddress|ip_address|ipaddress", address_only),
-        Step(r'(?i)("(?:agent|host)"\s*:\s*\{[^{}]*?"name"\s*:\s*")((?:[^"\\]|\\.)+)(")', "$1<$2>$3", (host,)),
-    ),
-    "aws_cloudtrail": (
-        _keyed("accountId|recipientAccountId", always("aws_account"), True), _keyed("sourceIPAddress", address_only, True), _keyed("userName", always("username"), True), _keyed("principalId|accessKeyId", always("credential"), True), *CLOUD_ARN,
-        Step(r'(:\s*")(\d{12})(?=")', "$1<$2>", (always("aws_account"),)),
-    ),
-    "cloudtrail_text": (ADDRESSES, Step(f"({D.ACCOUNT_ID})", "<$1>", (always("aws_account"),))),
-    "dns_event": (Step(D.DNS_REPLY, "$1 <$2> is <$3>", (lambda v: F.when(~A.is_public_domain(v), "fqdn"), address)), ADDRESSES),
-    "vmware": (Step(D.HEADER_HOST, "$1<$2>$3", (always("hostname"),)), ADDRESSES),
-    "palo_alto": (Step(D.CSV_HEADER_HOST, "$1<$2>$3", (always("hostname"),), start=True),),
-    "meraki": (), "generic": (),
-}
 AGENT_PREFIX = r"^\s*(?:\S+-)?WinLogBeat :::"
 
 
@@ -177,72 +27,3 @@ def message_format(message: Column, stream: Column, message_type: Column, pipeli
         .when(xml(begins), "windows_xml").when(begins.contains("%ASA-"), "cisco_asa").when(F.lower(begins).contains("cloudtrail"), "aws_cloudtrail")
         .otherwise("generic")
     )
-
-
-def marked(df: DataFrame, text: str, form: Column | str, customer_domains: list[str] | None = None, general: bool = True, cut: bool = True) -> DataFrame:
-    """``df`` with ``segments`` of each text under its format (a column, or one name for all rows), then under the general
-    steps. A null text has none. The rows are written once (``cut``), as both the registry and the rewriting read them."""
-    plain = F.translate(F.col(text), OPEN + CLOSE, "  ")
-    whole = F.array(F.struct(plain.alias("s"), F.lit(None).cast("string").alias("category")))
-    is_json = F.try_parse_json(F.regexp_replace(plain, AGENT_PREFIX, "")).isNotNull()
-    wanted = F.lit(form) if isinstance(form, str) else form
-    wanted = F.when((wanted == "winlogbeat") & ~is_json, "generic").when((wanted == "aws_cloudtrail") & ~(is_json & plain.rlike(r"^\s*\{")), "cloudtrail_text").otherwise(wanted)
-    rows = df.withColumn("__form", wanted)
-    names = [form] if isinstance(form, str) else list(STEPS)
-    if isinstance(form, str) and form == "aws_cloudtrail":
-        names.append("cloudtrail_text")
-    rows = rows.withColumn("segments", whole.cast(SEGMENTS))
-    for name in names:
-        for step in STEPS[name]:
-            rows = rows.withColumn("segments", F.when(F.col("__form") == name, step.apply(F.col("segments"))).otherwise(F.col("segments")))
-    if "palo_alto" in names:
-        # The header's host is repeated in the body; 0.0.0.0 stands for no address.
-        name = F.try_element_at(F.filter("segments", lambda x: x["category"] == "hostname"), F.lit(1))["s"]
-        again = F.flatten(F.transform("segments", lambda x: F.when(x["category"].isNull(), _halved(x["s"], name)).otherwise(F.array(x))))
-        kept = Step(f"({D.IPV4})", "<$1>", (lambda v: F.when(v != "0.0.0.0", address(v)).otherwise(""),))
-        rows = rows.withColumn("segments", F.when(F.col("__form") == "palo_alto", kept.apply(F.when(name.isNull(), F.col("segments")).otherwise(again))).otherwise(F.col("segments")))
-    if general:
-        steps = list(GENERIC)
-        if customer_domains:
-            steps.insert(2, Step(f"({D.customer_domains(customer_domains)})", "<$1>", (always("fqdn"),)))
-        for step in steps:
-            rows = rows.withColumn("segments", step.apply(F.col("segments")))
-    rows = rows.withColumn("segments", F.when(F.col(text).isNotNull(), F.col("segments"))).drop("__form")
-    return saved(rows, "marked") if cut else rows
-
-
-def _halved(s: Column, value: Column) -> Column:
-    """Segments of a plain text with each place of the value marked."""
-    pieces = F.split(F.replace(s, value, F.concat(F.lit(OPEN), value, F.lit(CLOSE))), f"[{OPEN}{CLOSE}]", -1)
-    return F.transform(pieces, lambda piece, k: F.struct(piece.alias("s"), F.when(k % 2 == 1, "hostname").alias("category")))
-
-
-def candidates(rows: DataFrame, key: str = "record_id") -> DataFrame:
-    """(record_id, start, category, value) of the marked values, start being the segment's number."""
-    found = rows.select(F.col(key).alias("record_id"), F.posexplode("segments").alias("start", "x")).filter("x.category <> ''")
-    hexed = F.col("x.category").endswith("/hex")
-    return found.select("record_id", "start", F.regexp_replace("x.category", "/hex$", "").alias("category"), F.when(hexed, D.hex_to_ip(F.col("x.s"))).otherwise(F.col("x.s")).alias("value"))
-
-
-def rewritten(rows: DataFrame, registry: DataFrame, text: str, key: str = "record_id") -> DataFrame:
-    """``rows`` with tokens in place of the marked values, and n_replaced; ``segments`` go. Rows of one key share its tokens.
-
-    Only the values travel to the registry; texts meet their tokens, a list in order, in one join by key.
-    """
-    found = candidates(rows, key).dropDuplicates(["record_id", "start"]).withColumn("norm", norm(F.col("value")))
-    tokens = found.join(registry.select("category", "norm", F.col("sanitized").alias("token")), ["category", "norm"], "left")
-    lists = tokens.groupBy(F.col("record_id").alias("__id")).agg(F.array_sort(F.collect_list(F.struct("start", "token"))).alias("__tokens"))
-    joined = rows.join(lists, F.col(key).eqNullSafe(F.col("__id")), "left")
-    # Marked and plain segments in turn: the n-th marked one takes the n-th token.
-    bounded = F.array_join(F.transform("segments", lambda x: F.when(x["category"] != "", F.concat(F.lit(OPEN), x["s"], F.lit(CLOSE))).otherwise(x["s"])), "")
-    hexed = F.transform(F.filter("segments", lambda x: x["category"] != ""), lambda x: x["category"].endswith("/hex"))
-    pieces = F.split(bounded, f"[{OPEN}{CLOSE}]", -1)
-
-    def token(piece: Column, k: Column) -> Column:
-        n = F.floor(k / 2).cast("int") + 1
-        new = F.try_element_at("__tokens", n)["token"]
-        return F.when(k % 2 == 1, F.coalesce(F.when(F.try_element_at(hexed, n), D.ip_to_hex(new)).otherwise(new), piece)).otherwise(piece)
-
-    new = F.when(F.col("__tokens").isNull(), F.col(text)).otherwise(F.array_join(F.transform(pieces, token), ""))
-    others = [c for c in rows.columns if c != "segments"]
-    return joined.select(*[new.alias(c) if c == text else F.col(c) for c in others], F.coalesce(F.size("__tokens"), F.lit(0)).alias("n_replaced"))

@@ -1,4 +1,4 @@
-"""Spans of sensitive values in text: detect on the raw text, resolve overlaps, splice once."""
+"""Spans of sensitive values in text, found on the raw text."""
 
 from __future__ import annotations
 
@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import detectors as D
-from .formats import CLOSE, OPEN
+
+#: Two characters that Unicode keeps out of text; where a text holds them all the same, they become blanks.
+OPEN, CLOSE = "\uFDD0", "\uFDD1"
 
 #: (category, pattern, group, priority): of the general text format. An earlier step wins an overlap.
 GENERAL = (("sid", D.SID, 0, 1), ("email", D.EMAIL, 0, 2), ("arn", D.ARN, 0, 3), ("aws_account", D.ACCOUNT_ID, 0, 4), ("machine_account", D.MACHINE, 0, 5), ("fqdn", D.FQDN, 0, 6), ("ipv4", D.IPV4, 0, 7))
@@ -44,17 +46,6 @@ def spans(df: DataFrame, text: str, detectors=GENERAL, key: str = "record_id", p
     return values.select("record_id", "start", F.length("value").alias("len"), "category", "value", "priority")
 
 
-def non_overlapping(items: Column) -> Column:
-    """Of structs sorted by (priority, start, -len), those kept when earlier ones win; by start."""
-    kept = F.aggregate(items, F.slice(items, 1, 0), lambda a, x: F.when(F.exists(a, lambda y: (x["start"] < y["start"] + y["len"]) & (y["start"] < x["start"] + x["len"])), a).otherwise(F.concat(a, F.array(x))))
-    return F.array_sort(kept, lambda x, y: F.when(x["start"] < y["start"], -1).when(x["start"] > y["start"], 1).otherwise(0))
-
-
-def leftmost_longest(items: Column) -> Column:
-    """Of structs sorted by (start, -len), the leftmost, and of those the longest, that don't overlap."""
-    return F.aggregate(items, F.slice(items, 1, 0), lambda a, x: F.when((F.size(a) > 0) & (x["start"] < F.element_at(a, -1)["start"] + F.element_at(a, -1)["len"]), a).otherwise(F.concat(a, F.array(x))))
-
-
 def best_score(items: Column) -> Column:
     """Of structs sorted by (start, -score), a chain without overlaps in which a better-scored one takes the last one's place."""
 
@@ -64,35 +55,3 @@ def best_score(items: Column) -> Column:
         return F.when(clash & (x["score"] > last["score"]), F.concat(F.slice(a, 1, F.size(a) - 1), F.array(x))).when(clash, a).otherwise(F.concat(a, F.array(x)))
 
     return F.aggregate(items, F.slice(items, 1, 0), step)
-
-
-def splice(df: DataFrame, resolved: DataFrame, text: str, key: str = "record_id") -> DataFrame:
-    """``df`` with the tokens of resolved spans (record_id, start, len, priority, token) in place of their values."""
-    item = F.struct("priority", "start", (-F.col("len")).alias("short"), "len", "token")
-    gathered = resolved.filter("token IS NOT NULL").groupBy("record_id").agg(F.array_sort(F.collect_set(item)).alias("items"))
-    gathered = gathered.select(F.col("record_id").alias("__id"), non_overlapping(F.col("items")).alias("__kept"))
-    joined = df.join(gathered, F.col(key).eqNullSafe(F.col("__id")), "left")
-    ends = F.concat(F.array(F.lit(1)), F.transform("__kept", lambda x: x["start"] + x["len"]))
-    pieces = F.transform("__kept", lambda x, i: F.concat(F.substring(F.col(text), F.element_at(ends, i + 1), x["start"] - F.element_at(ends, i + 1)), x["token"]))
-    new = F.when(F.col("__kept").isNull(), F.col(text)).otherwise(F.concat(F.array_join(pieces, ""), F.substring(F.col(text), F.element_at(ends, -1), F.length(text))))
-    return joined.select(*[new.alias(c) if c == text else F.col(c) for c in df.columns], F.coalesce(F.size("__kept"), F.lit(0)).alias("n_replaced"))
-
-
-def contains_join(df: DataFrame, text: str, words: DataFrame, word: str, key: str = "record_id", gram: int = 4, piece: int = 1024) -> DataFrame:
-    """(record_id, start, word) for each place of a dictionary word in a text, without case.
-
-    Places are found by the words' first ``gram`` characters: a text's grams meet the words that begin so in an equi-join,
-    and the rest is compared there. A text goes in pieces of ``piece`` characters that overlap by the longest word, and of
-    a piece only what stands at each place goes on, so the work grows with the text. Words shorter than a gram aren't
-    looked for.
-    """
-    dictionary = words.select(F.lower(F.col(word)).alias("word")).filter(F.length("word") >= gram).distinct().withColumn("head", F.substring("word", 1, gram))
-    longest = dictionary.agg(F.max(F.length("word"))).first()[0] or gram
-    low = df.select(F.col(key).alias("record_id"), F.lower(F.col(text)).alias("low")).filter(F.length("low") >= gram)
-    starts = F.transform(F.sequence(F.lit(1), F.length("low"), F.lit(piece)), lambda i: F.struct(i.alias("base"), F.substring(F.col("low"), i, F.lit(piece + longest - 1)).alias("part")))
-    parts = low.select("record_id", F.explode(starts).alias("x")).select("record_id", "x.base", "x.part").filter(F.length("part") >= gram)
-    here = F.least(F.length("part") - gram + 1, F.lit(piece))
-    grams = F.transform(F.sequence(F.lit(1), here), lambda i: F.struct(i.alias("at"), F.substring(F.col("part"), i, F.lit(longest)).alias("tail")))
-    met = parts.select("record_id", "base", F.explode(grams).alias("x")).select("record_id", (F.col("base") + F.col("x.at") - 1).alias("start"), F.col("x.tail").alias("tail"))
-    hits = met.withColumn("head", F.substring("tail", 1, gram)).join(dictionary, "head").filter(F.col("tail").startswith(F.col("word")))
-    return hits.select("record_id", "start", "word")

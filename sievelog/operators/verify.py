@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import detectors as D
-from .spans import contains_join
+from .contains import contains_join
 
 
 def string_cells(df: DataFrame, key: str) -> DataFrame:
@@ -17,16 +17,17 @@ def string_cells(df: DataFrame, key: str) -> DataFrame:
 
 
 def leaks(cells: DataFrame, registry: DataFrame, allowed: DataFrame, least: int = 5) -> DataFrame:
-    """Original values (no own tokens, no allowed terms, at least ``least`` characters) that cells still hold."""
+    """(row_key, name, word): original values (no own tokens, no allowed terms, at least ``least`` characters) that cells
+    still hold. An address counts only as a whole: 10.1.1.1 is no leak in 10.1.1.12; so addresses are taken out of the cells
+    and met by equality, and only other values are looked for within the text."""
     originals = registry.filter(~D.is_own_token(F.col("original")) & (F.length("norm") >= least)).select("norm").distinct()
     originals = originals.join(allowed.select(F.lower("term").alias("norm")), "norm", "left_anti")
-    keyed = cells.withColumn("record_id", F.struct("row_key", "name"))
-    hits = contains_join(keyed, "value", originals, "norm")
-    # An address counts only where it ends: 10.1.1.1 is no leak in 10.1.1.12.
-    is_address = F.col("word").rlike(f"^(?:{D.IPV4})$")
-    plain, addresses = hits.filter(~is_address), hits.filter(is_address)
-    whole = keyed.select("record_id", F.explode(F.array_distinct(F.regexp_extract_all("value", F.lit(D.IPV4), F.lit(0)))).alias("word"))
-    return plain.select("record_id", "word").union(addresses.select("record_id", "word").distinct().join(whole, ["record_id", "word"], "left_semi")).select("record_id.*", "word").distinct()
+    is_address = F.col("norm").rlike(f"^(?:{D.IPV4})$")
+    whole = cells.select("row_key", "name", F.explode(F.array_distinct(F.regexp_extract_all("value", F.lit(D.IPV4), F.lit(0)))).alias("norm"))
+    addresses = whole.join(originals.filter(is_address), "norm").select("row_key", "name", F.col("norm").alias("word"))
+    keyed = cells.select(F.struct("row_key", "name").alias("record_id"), "value")
+    plain = contains_join(keyed, "value", originals.filter(~is_address), "norm").select("record_id.*", "word")
+    return plain.union(addresses).distinct()
 
 
 def public_addresses(cells: DataFrame) -> DataFrame:

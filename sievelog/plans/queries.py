@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from ..functions import allowlists
 from ..functions import detectors as D
 from ..functions import mappings as M
-from ..operators import exports, fields, formats, graph, incidents, labels, registry, reports, review, spans, verify
+from ..operators import contains, exports, fields, formats, graph, incidents, labels, records, registry, reports, review, spans, sweep, verify
 from ..sources import tables
-from ..sources.scratch import spread
+from ..sources.scratch import saved, spread
 from . import views as V
 
 QUERIES: dict = {}
@@ -131,13 +131,46 @@ def _registry(spark, sf_dir):
     return registry.grow_registry(spark.createDataFrame([], registry.SCHEMA), _candidates(spark, sf_dir), V.SECRET)
 
 
-_NUMBERED = "(SELECT category, lower(trim(value)) AS norm, row_number() OVER (PARTITION BY category ORDER BY lower(trim(value))) AS seq FROM (SELECT DISTINCT category, lower(trim(value)) AS value FROM candidates))"
+def _mac(value: str) -> str:
+    key = V.SECRET.ljust(64, b"\0")
+    inner, outer = (bytes(b ^ p for b in key).hex() for p in (0x36, 0x5C))
+    return f"sha256(unhex('{outer}') || unhex(sha256(unhex('{inner}') || encode({value}))))"
+
+
+def _private_sql(source: str) -> str:
+    """(norm, token) of the private addresses of a source: four rounds of a keyed network, the next number, and back."""
+    mixed = lambda half, turn: "(('0x' || " + _mac(f"blk || ':{turn}:' || {half}") + "[1:8])::BIGINT % side)"
+    octet = lambda i: f"split_part(norm, '.', {i})::BIGINT"
+    first = f"""SELECT norm, split_part(norm, '.', 1) AS blk, CASE split_part(norm, '.', 1) WHEN '10' THEN 4096 WHEN '172' THEN 1024 ELSE 256 END AS side, CASE split_part(norm, '.', 1) WHEN '10' THEN 167772160 WHEN '172' THEN 2886729728 ELSE 3232235520 END AS base,
+ {octet(1)} * 16777216 + {octet(2)} * 65536 + {octet(3)} * 256 + {octet(4)} AS n FROM (SELECT DISTINCT norm FROM {source} WHERE category = 'ipv4_priv')"""
+    steps = [first, "SELECT norm, blk, side, base, (n - base) // side AS l, (n - base) % side AS r FROM pv0"]
+    for turn in range(4):
+        steps.append(f"SELECT norm, blk, side, base, r AS l, xor(l, {mixed('r', turn)}) AS r FROM pv{len(steps) - 1}")
+    steps.append(f"SELECT norm, blk, side, base, (m // side) AS l, m % side AS r FROM (SELECT *, (l * side + r + 1) % (side * side) AS m FROM pv{len(steps) - 1})")
+    for turn in (3, 2, 1, 0):
+        steps.append(f"SELECT norm, blk, side, base, xor(r, {mixed('l', turn)}) AS l, l AS r FROM pv{len(steps) - 1}")
+    steps.append(f"SELECT norm, (m // 16777216) || '.' || (m // 65536 % 256) || '.' || (m // 256 % 256) || '.' || (m % 256) AS token FROM (SELECT norm, l * side + r + base AS m FROM pv{len(steps) - 1})")
+    return ", ".join(f"pv{i} AS MATERIALIZED ({x})" for i, x in enumerate(steps)) + f", priv AS (SELECT * FROM pv{len(steps) - 1})"
+
 
+_FORMS = {"username": "USER-%04d", "hostname": "HOST-%04d", "fqdn": "host-%04d.example.internal", "org": "ORG-%04d", "email": "user-%04d@example.net", "credential": "CRED-%04d"}
 
-@query(f"SELECT category, norm, seq, CASE WHEN category = 'email' THEN printf('user-%04d@example.net', seq) WHEN category = 'ipv4_pub' AND seq <= 254 THEN '192.0.2.' || seq END AS shown FROM {_NUMBERED}", "candidates")
+
+def _token_sql(category: str) -> str:
+    if category == "ipv4_priv":
+        return "(SELECT token FROM priv WHERE priv.norm = x.norm)"
+    if category == "ipv4_pub":
+        return "CASE WHEN seq <= 254 THEN '192.0.2.' || seq WHEN seq <= 508 THEN '198.51.100.' || (seq - 254) WHEN seq <= 762 THEN '203.0.113.' || (seq - 508) ELSE '100.' || (64 + (seq - 762) // 65536) || '.' || ((seq - 762) // 256 % 256) || '.' || ((seq - 762) % 256) END"
+    return "CAST(100000000000 + seq AS VARCHAR)" if category == "aws_account" else f"printf('{_FORMS[category]}', seq)"
+
+
+CTES["numbered"] = "numbered AS (SELECT category, norm, row_number() OVER (PARTITION BY category ORDER BY norm) AS seq FROM (SELECT DISTINCT category, lower(trim(value)) AS norm FROM candidates))"
+CTES["numbered_private"] = _private_sql("numbered")
+
+
+@query(f"SELECT category, norm, seq, CASE category WHEN 'email' THEN {_token_sql('email')} WHEN 'ipv4_pub' THEN {_token_sql('ipv4_pub')} ELSE {_token_sql('ipv4_priv')} END AS sanitized FROM numbered x", "candidates", "numbered", "numbered_private")
 def z2_registry(spark, sf_dir):
-    r = _registry(spark, sf_dir)
-    return r.select("category", "norm", "seq", F.when(F.col("category") == "ipv4_priv", F.lit(None)).when((F.col("category") == "ipv4_pub") & (F.col("seq") > 254), F.lit(None)).otherwise(F.col("sanitized")).alias("shown"))
+    return _registry(spark, sf_dir).select("category", "norm", "seq", "sanitized")
 
 
 @query("SELECT category, count(*) AS n FROM (SELECT DISTINCT category, lower(trim(value)) FROM candidates) GROUP BY ROLLUP (category)", "candidates")
@@ -145,15 +178,12 @@ def a2_registry_stats(spark, sf_dir):
     return registry.stats(_registry(spark, sf_dir))
 
 
-@query("SELECT sanitized, 0 AS n_originals FROM (SELECT '' AS sanitized) WHERE false")
+@query("SELECT '10.' || (seq % 7) || '.0.1' AS sanitized, count(DISTINCT norm) AS n_originals FROM numbered GROUP BY 1 HAVING count(DISTINCT norm) > 1", "candidates", "numbered")
 def v4_token_collisions(spark, sf_dir):
-    return registry.collisions(_registry(spark, sf_dir))
-
-
-def _mac(ip: str) -> str:
-    key = V.SECRET.ljust(64, b"\0")
-    inner, outer = (bytes(b ^ p for b in key).hex() for p in (0x36, 0x5C))
-    return f"sha256(unhex('{outer}') || unhex(sha256(unhex('{inner}') || encode({ip}))))"
+    """Collisions of the registry (it has none) and of one in which seven tokens are dealt out among all entries."""
+    reg = saved(_registry(spark, sf_dir), "registry")
+    dealt = reg.withColumn("sanitized", F.concat(F.lit("10."), (F.col("seq") % 7).cast("string"), F.lit(".0.1")))
+    return registry.collisions(dealt).unionByName(registry.collisions(reg))
 
 
 @query(f"SELECT client_ip, '10.' || ('0x' || h[1:2])::INT || '.' || ('0x' || h[3:4])::INT || '.' || greatest(1, ('0x' || h[5:6])::INT % 255) AS mapped FROM (SELECT client_ip, {_mac('client_ip')} AS h FROM (SELECT DISTINCT client_ip FROM v_artifact))", "v_artifact")
@@ -174,7 +204,7 @@ def _sanitized(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = _candidates(spark, sf_dir)
     reg = registry.grow_registry(spark.createDataFrame([], registry.SCHEMA), found, V.SECRET)
-    return spans.splice(docs, registry.resolve(found, reg), "text", "doc_id")
+    return sweep.spliced(docs, registry.resolve(found, reg), "text", "doc_id")
 
 
 @query(f"SELECT doc_id, len(regexp_extract_all(text, '{D.EMAIL}')) AS n_email, doc_id NOT IN (SELECT doc_id FROM candidates) AS same FROM documents", "candidates")
@@ -183,25 +213,28 @@ def z13_sanitize_documents(spark, sf_dir):
     return out.select("doc_id", F.size(F.regexp_extract_all("text", F.lit(r"user-\d{4,}@example\.net"), F.lit(0))).cast("long").alias("n_email"), (F.col("n_replaced") == 0).alias("same"))
 
 
-def _words(spark, sf_dir, least=12):
-    return table(spark, sf_dir, "benchmark").select(F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("word")).filter(F.length("word") >= least).distinct()
+def _words(spark, sf_dir):
+    """Words of the benchmark of four letters or more."""
+    return table(spark, sf_dir, "benchmark").select(F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("word")).filter(F.length("word") >= 4).distinct()
 
 
-@query("""SELECT d.doc_id, count(*) AS n_words FROM documents d JOIN (SELECT DISTINCT w FROM (SELECT unnest(regexp_split_to_array(lower(text), '[^a-z]+')) AS w FROM benchmark) WHERE length(w) >= 12) x ON contains(lower(d.text), w) GROUP BY 1""")
+CTES["words"] = "words AS (SELECT DISTINCT w FROM (SELECT unnest(regexp_split_to_array(lower(text), '[^a-z]+')) AS w FROM benchmark) WHERE length(w) >= 4)"
+
+
+@query("""SELECT d.doc_id, count(*) AS n_words FROM (SELECT doc_id, lower(text) AS low FROM documents) d JOIN words ON contains(low, w) GROUP BY 1""", "words")
 def j12_contains_join(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("record_id"), "text")
-    hits = spans.contains_join(docs, "text", _words(spark, sf_dir), "word", gram=8)
+    hits = contains.contains_join(docs, "text", _words(spark, sf_dir), "word")
     return hits.groupBy(F.col("record_id").alias("doc_id")).agg(F.count_distinct("word").alias("n_words"))
 
 
-@query()
+@query("""SELECT doc_id, n_replaced, sha256(out) AS text_sha256 FROM (SELECT doc_id, len(found) AS n_replaced, array_to_string(list_transform(list_zip(parts, found), lambda p: concat(p[1], CASE WHEN p[2] IS NOT NULL THEN printf('HOST-%04d', list_position(names, lower(p[2]))) END)), '') AS out
+ FROM (SELECT doc_id, regexp_extract_all(text, pattern) AS found, regexp_split_to_array(text, pattern) AS parts, names FROM documents CROSS JOIN (SELECT '(?i)' || string_agg(w, '|' ORDER BY length(w) DESC, w) AS pattern, list(w ORDER BY w) AS names FROM words)))""", "words")
 def z14_dictionary_sweep(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("record_id"), "text")
-    hits = spans.contains_join(docs, "text", _words(spark, sf_dir, least=4), "word", gram=4).withColumn("len", F.length("word"))
-    item = F.struct("start", (-F.col("len")).alias("short"), "len", "word")
-    best = hits.groupBy("record_id").agg(F.array_sort(F.collect_set(item)).alias("items")).withColumn("x", F.explode(spans.leftmost_longest(F.col("items"))))
-    numbered = best.select("record_id", "x.start", "x.len", F.lit(1).alias("priority"), F.concat(F.lit("HOST-"), F.hex(F.crc32("x.word"))).alias("token"))
-    return spans.splice(docs, numbered, "text").select("record_id", "n_replaced", F.sha2("text", 256).alias("text_sha256"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    known = _words(spark, sf_dir).select(F.lit("hostname").alias("category"), F.col("word").alias("value"), F.lit(0).alias("record_id"), F.lit(0).alias("start"))
+    reg = registry.grow_registry(spark.createDataFrame([], registry.SCHEMA), known, V.SECRET)
+    return sweep.swept(docs, reg, "text", "doc_id").select("doc_id", "n_replaced", F.sha2("text", 256).alias("text_sha256"))
 
 
 @query("SELECT event_id, format FROM v_logs", "v_logs")
@@ -212,33 +245,21 @@ def z4_message_format(spark, sf_dir):
 def _sanitized_logs(spark, sf_dir, form: int | None = None):
     """Messages of one format, or of all, with tokens from a registry of their own values."""
     logs = V.logs(spark, sf_dir)
-    kind = V.FORMATS[form] if form is not None else formats.message_format(F.col("message"), F.col("stream"), F.col("message_type"), F.col("pipeline"))
-    logs = logs if form is None else logs.filter(F.col("format") == kind)
-    rows = formats.marked(logs.select("event_id", "message", "stream", "message_type", "pipeline"), "message", kind)
-    reg = registry.grow_registry(spark.createDataFrame([], registry.SCHEMA), formats.candidates(rows, "event_id"), V.SECRET)
-    return formats.rewritten(rows, reg, "message", "event_id").select("event_id", "message")
+    logs = logs if form is None else logs.filter(F.col("format") == V.FORMATS[form])
+    raw = records.Sanitized.messages(spread(logs.select("event_id", "message", "stream", "message_type", "pipeline")), "message", "stream", "message_type", "pipeline")
+    return raw.published(raw.grown(spark.createDataFrame([], registry.SCHEMA), V.SECRET), sweep=False).select("event_id", "message")
 
 
 def _uses(form: int) -> list[str]:
     return [name for name in V.VALUES if f"«{name}»" in V.TEMPLATES[form]]
 
 
-_FORMS = {"ipv4_priv": None, "ipv4_pub": None, "username": "USER-%04d", "hostname": "HOST-%04d", "fqdn": "host-%04d.example.internal", "org": "ORG-%04d", "email": "user-%04d@example.net", "credential": "CRED-%04d"}
-
-
-def _token_sql(category: str) -> str:
-    if category == "ipv4_priv":
-        return f"(SELECT '10.' || ('0x' || h[1:2])::INT || '.' || ('0x' || h[3:4])::INT || '.' || greatest(1, ('0x' || h[5:6])::INT % 255) FROM (SELECT {_mac('norm')} AS h))"
-    if category == "ipv4_pub":
-        return "CASE WHEN seq <= 254 THEN '192.0.2.' || seq WHEN seq <= 508 THEN '198.51.100.' || (seq - 254) WHEN seq <= 762 THEN '203.0.113.' || (seq - 508) ELSE '100.' || (64 + (seq - 762) // 65536) || '.' || ((seq - 762) // 256 % 256) || '.' || ((seq - 762) % 256) END"
-    return "CAST(100000000000 + seq AS VARCHAR)" if category == "aws_account" else f"printf('{_FORMS[category]}', seq)"
-
-
 def _tokens_sql(source: str, uses: dict[str, str]) -> str:
     """(category, norm, token) of the values that the condition of each use admits."""
     values = " UNION ".join(f"SELECT '{V.VALUES[v]}' AS category, lower({v}) AS norm FROM {source} WHERE {where}" for v, where in uses.items())
     token = "CASE category " + " ".join(f"WHEN '{c}' THEN {_token_sql(c)}" for c in sorted({V.VALUES[v] for v in uses})) + " END"
-    return f"tok AS MATERIALIZED (SELECT category, norm, {token} AS token FROM (SELECT category, norm, row_number() OVER (PARTITION BY category ORDER BY norm) AS seq FROM ({values})))"
+    private = _private_sql("vals") + ", " if any(V.VALUES[v] == "ipv4_priv" for v in uses) else ""
+    return f"vals AS MATERIALIZED (SELECT category, norm, row_number() OVER (PARTITION BY category ORDER BY norm) AS seq FROM ({values})), {private}tok AS MATERIALIZED (SELECT category, norm, {token} AS token FROM vals x)"
 
 
 def _rewritten_sql(template: str, source: str, where: str, key: str = "event_id") -> str:
@@ -269,9 +290,27 @@ _FIELD_SQL = _rewritten_sql(_KEPT, "v_logs", "true").replace("'\",\"action\":\"a
 
 @query(_FIELD_SQL, "v_logs", "tokfields")
 def z3_sanitize_fields(spark, sf_dir):
-    rows = fields.marked_fields(V.logs(spark, sf_dir).select(F.col("event_id").alias("record_id"), F.col("record").alias("message")), "message")
-    reg = registry.grow_registry(spark.createDataFrame([], registry.SCHEMA), formats.candidates(rows), V.SECRET)
-    return formats.rewritten(rows, reg, "message").select(F.col("record_id").alias("event_id"), "message")
+    raw = records.Sanitized.records(spread(V.logs(spark, sf_dir).select("event_id", F.col("record").alias("message"))), "message")
+    return raw.published(raw.grown(spark.createDataFrame([], registry.SCHEMA), V.SECRET), sweep=False).select("event_id", "message")
+
+
+_RAW_USES = {v: "true" if v in ("cip", "usr", "org", "fqn", "hst", "mail") else f"event_id % 9 IN ({', '.join(str(i) for i in range(9) if v in _uses(i))})" for v in V.VALUES}
+CTES["tokraw"] = _tokens_sql("v_raw", _RAW_USES)
+
+
+def _raw_sql() -> str:
+    """Every record with tokens at every place but those of kept short values and of guarded fields."""
+    joins = " ".join(f"LEFT JOIN tok t_{v} ON t_{v}.category = '{V.VALUES[v]}' AND t_{v}.norm = lower({v})" for v in V.VALUES)
+    new = {v: f"t_{v}.token" for v in V.VALUES}
+    message = "CASE event_id % 9 " + " ".join(f"WHEN {i} THEN {V.text_sql(t, new)}" for i, t in enumerate(V.TEMPLATES)) + " END"
+    body = V.text_sql(V.RAW.replace("«usr!»", "«old»").replace("«fqn!»", "«fqn_old»").replace('"orgId":7', '"orgId":10001'), {**new, "old": "usr", "fqn_old": "fqn", "stream": "stream", "kind": "message_type", "pipe": "pipeline", "msg": V.escaped_sql(message)})
+    return f"SELECT event_id, {body} AS body FROM v_raw {joins}"
+
+
+@query(_raw_sql(), "v_raw", "tokraw")
+def z1_sanitize_records(spark, sf_dir):
+    raw = records.Sanitized.records(spread(V.raw_records(spark, sf_dir).select("event_id", "body")), "body")
+    return raw.published(raw.grown(spark.createDataFrame([], registry.SCHEMA), V.SECRET)).select("event_id", "body")
 
 
 @query("SELECT event_id, path, value FROM v_logs CROSS JOIN LATERAL (VALUES ('$.clientIP', cip), ('$.userName', usr), ('$.organization', org), ('$.serverHostname', fqn), ('$.action', 'allow ' || usr), ('$.nested.peer_host', hst), ('$.nested.note', 'plain text'), ('$.nested.contact', mail)) x(path, value)", "v_logs")
@@ -362,9 +401,15 @@ def g1_event_nodes(spark, sf_dir):
     return graph.event_nodes(V.artifacts(spark, sf_dir))
 
 
-@query("SELECT event_id, client_ip AS src, server_ip AS dst, coalesce(m.val, 'EVENT') AS edge_type, epoch, CASE WHEN k % 5 = 0 THEN 'suspicious' ELSE 'benign' END AS label_binary FROM v_artifact LEFT JOIN edge_map m ON m.name = message_type", "v_artifact", "edge_map")
+@query(f"""SELECT a.event_id, client_ip AS src, server_ip AS dst, coalesce(m.val, 'EVENT') AS edge_type, epoch, a.stream, CASE WHEN n_rules > 0 THEN 'suspicious' ELSE 'benign' END AS label_binary,
+ CASE WHEN n_rules > 0 THEN least(0.85, greatest(0.5, (40 + 10 * n_rules + 5 * coalesce(n_roles, 0)) / 100.0)) ELSE 0.5 END AS label_confidence, coalesce(array_to_string(set_roles, '|'), '') AS set_roles, coalesce(tec, '') AS attack_techniques, coalesce(tac, '') AS attack_tactics,
+ CASE WHEN n_rules > 0 THEN coalesce(stage, 'unknown') ELSE 'none' END AS lifecycle_stage FROM v_artifact a LEFT JOIN edge_map m ON m.name = message_type LEFT JOIN (SELECT event_id, count(*) AS n_rules FROM hits GROUP BY 1) h USING (event_id)
+ LEFT JOIN {_ROLE_LIST('roles', 'event_id')} r USING (event_id) LEFT JOIN (SELECT event_id, string_agg(DISTINCT val, '|' ORDER BY val) AS tac FROM roles JOIN role_tactics ON name = role GROUP BY 1) t USING (event_id)
+ LEFT JOIN (SELECT event_id, string_agg(val, '|' ORDER BY seen) AS tec FROM (SELECT event_id, val, min(ord * 100 + pos) AS seen FROM roles JOIN role_techniques ON name = role GROUP BY 1, 2) GROUP BY 1) u USING (event_id)
+ LEFT JOIN (SELECT event_id, arg_min(val, ord) AS stage FROM roles JOIN role_stage ON name = role GROUP BY 1) g USING (event_id)""", "v_artifact", "rules", "sets", "hits", "roles", "role_tactics", "role_techniques", "role_stage", "edge_map")
 def g3_event_edges(spark, sf_dir):
-    return _edges(spark, sf_dir).drop("message_type")
+    edges = _edges(spark, sf_dir).drop("message_type")
+    return edges.withColumns({c: F.array_join(c, "|") for c in ("set_roles", "attack_techniques", "attack_tactics")})
 
 
 @query("SELECT event_id, printf('e-%08d', row_number() OVER (ORDER BY event_id) - 1) AS edge_id FROM v_artifact", "v_artifact")

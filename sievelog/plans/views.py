@@ -102,6 +102,19 @@ NAMED_BY = (("Cisco_ASA", "", ""), ("windows_security_audit", "", ""), ("", "",
 RECORD = '{"clientIP":"«cip»","userName":"«usr»","organization":"«org»","serverHostname":"«fqn»","action":"allow «usr»","nested":{"peer_host":"«hst»","note":"plain text","contact":"«mail»"},"orgId":7}'
 
 
+#: A whole record: lists, a kept subtree, a guarded field, an escaped name, text around values, and the message. What stands
+#: in «usr!» and «fqn!» is kept.
+RAW = (
+    '{"clientIP":"«cip»","userName":"«usr»","organization":"«org»","streamName":"«stream»","messageType":"«kind»","pipelineName":"«pipe»","message":"«msg»","peers":["«fqn»","«mail»","plain"],"userNames":[["«usr»"],{"note":"seen «usr» from «cip» on «fqn»"}],'
+    '"tags":{"user":"«usr!»","path":"/home/«usr»/x"},"status_name":"«usr!» at «fqn!»","nested":{"agent":{"id":{"a":1.5},"hostname":"«hst»"},"a~"b":{"peer_host":"«hst»"}},"orgId":7,"n":[1,true,null]}'
+)
+
+
+def escaped_sql(text: str) -> str:
+    """A text as it stands in a JSON string."""
+    return f"""replace(replace({text}, chr(92), concat(chr(92), chr(92))), '"', concat(chr(92), '"'))"""
+
+
 def text_sql(template: str, values: dict[str, str]) -> str:
     """A concat of the template's plain parts and SQL for its values."""
     parts = []
@@ -126,7 +139,13 @@ def logs_sql(s: str) -> str:
     )
 
 
+def raw_sql(s: str) -> str:
+    names = {k: k for k in VALUES} | {"usr!": "usr", "fqn!": "fqn", "stream": "stream", "kind": "message_type", "pipe": "pipeline", "msg": escaped_sql("message")}
+    return f"SELECT *, {text_sql(RAW, names)} AS body FROM ({logs_sql(s)}) c"
+
+
 VIEW_SQL["v_logs"] = logs_sql("VARCHAR")
+VIEW_SQL["v_raw"] = raw_sql("VARCHAR")
 
 
 def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,6 +153,11 @@ def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(logs_sql("STRING"))
 
 
+def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _tables(spark, sf_dir, "events")
+    return spark.sql(raw_sql("STRING"))
+
+
 # ---- nested incidents, from orders, lineitem and supplier
 
 _CASE = """SELECT o_orderkey AS k, concat('INC-', CAST(o_orderkey AS {s})) AS id, concat('Case ', CAST(o_orderkey % 100 AS {s})) AS case_name, {mo} AS mo_name, least(o_totalprice / 500000, 1.0) AS suspicion_score,
