@@ -12,6 +12,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import re
 from collections.abc import Iterator
 from itertools import chain
 from operator import add
@@ -28,16 +29,24 @@ from .common import carried
 RESULTS = {"n_tokens": "long", "ids_sha256": "string", "decoded_sha256": "string", "token_ids": "array<int>", "decoded": "binary"}
 
 
+#: Bytes of a leaf.
+LEAF = 4
+#: A blank beside other white space, or at either end.
+LOOSE = re.compile(r" \s|\s |^ | $")
+
+
 class RankTree:
     """A file of ranked byte strings; encodes words by joining encodings of their halves."""
 
-    def __init__(self, spec: str, pattern: str = PATTERN, memo: int = 200_000):
+    def __init__(self, spec: str, pattern: str = PATTERN, memo: int = 400_000):
         self.ranks = {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in spec.splitlines() if line.strip())}
         self.bytes = [b""] * (max(self.ranks.values()) + 1)
         for token, rank in self.ranks.items():
             self.bytes[rank] = token
-        self.pattern, self.memo = regex.compile(pattern), memo
+        self.pattern, self.memo, self.none = regex.compile(pattern), memo, len(self.bytes)
+        self.names = list(map(str, range(len(self.bytes))))
         self.words: dict[str, tuple[int, ...]] = {}
+        self.pieces: dict[str, tuple[int, ...]] = {}
         self.windows: dict[bytes, tuple[bytes, ...]] = {}
         self.trees: dict[bytes, tuple[bytes, ...]] = {}
 
@@ -46,6 +55,29 @@ class RankTree:
         found = self.windows.get(data)
         if found is not None:
             return found
+        tokens = self.merged(data) if len(data) <= 24 else self.merged_by_heap(data)
+        return self.kept(self.windows, data, tokens)
+
+    def merged(self, data: bytes) -> tuple[bytes, ...]:
+        """A short window's tokens: the ranks of its pairs stand in a list that is searched for each merge."""
+        known, none = self.ranks.get, self.none
+        parts = [data[i : i + 1] for i in range(len(data))]
+        pairs = [known(data[i : i + 2], none) for i in range(len(data) - 1)]
+        while pairs:
+            best = min(pairs)
+            if best == none:
+                break
+            i = pairs.index(best)
+            parts[i] += parts.pop(i + 1)
+            del pairs[i]
+            if i < len(pairs):
+                pairs[i] = known(parts[i] + parts[i + 1], none)
+            if i:
+                pairs[i - 1] = known(parts[i - 1] + parts[i], none)
+        return tuple(parts)
+
+    def merged_by_heap(self, data: bytes) -> tuple[bytes, ...]:
+        """A long window's tokens: its pairs stand in a heap."""
         ranks, n = self.ranks, len(data)
         end, before = list(range(1, n + 1)), list(range(-1, n))  # the symbol that begins at i ends at end[i]; 0: gone
         heap = [(ranks[data[i : i + 2]], i, i + 1, i + 2) for i in range(n - 1) if data[i : i + 2] in ranks]
@@ -69,10 +101,10 @@ class RankTree:
         while i < n:
             out.append(data[i : end[i]])
             i = end[i]
-        return self.kept(self.windows, data, tuple(out))
+        return tuple(out)
 
     def kept(self, table: dict, data: bytes, tokens: tuple[bytes, ...]) -> tuple[bytes, ...]:
-        """Remember the tokens of short data; a full table is begun anew."""
+        """Remember the tokens of short data."""
         if len(data) <= 32:
             if len(table) >= self.memo:
                 table.clear()
@@ -91,32 +123,52 @@ class RankTree:
             a, b = a if left_holds else 2 * a, b if right_holds else 2 * b
 
     def tree(self, data: bytes) -> tuple[bytes, ...]:
-        if len(data) == 1:
-            return (data,)
+        """Tokens of a word's bytes: its halves', joined. Up to four bytes are a leaf."""
+        if len(data) <= LEAF:
+            return self.window(data)
         found = self.trees.get(data)
         if found is None:
             half = len(data) // 2
             found = self.kept(self.trees, data, self.join(self.tree(data[:half]), self.tree(data[half:])))
         return found
 
-    def word(self, word: str) -> tuple[int, ...]:
+    def whole(self, word: str) -> tuple[int, ...]:
         """Ids of a pre-token. One that is a token as a whole is that token, whether or not merges lead to it."""
         data = word.encode("utf-8", "surrogatepass")
         rank = self.ranks.get(data)
-        ids = (rank,) if rank is not None else tuple(map(self.ranks.__getitem__, self.tree(data)))
-        if len(self.words) >= self.memo:
-            self.words.clear()
-        self.words[word] = ids
+        return (rank,) if rank is not None else tuple(map(self.ranks.__getitem__, self.tree(data)))
+
+    def word(self, word: str) -> tuple[int, ...]:
+        ids = self.pieces.get(word[1:]) if word[0] == " " else None
+        return self.noted(self.words, word, ids or self.whole(word))
+
+    def piece(self, piece: str) -> tuple[int, ...]:
+        """Ids of what stands between two blanks, with the blank before it. Letters alone are one pre-token."""
+        return self.noted(self.pieces, piece, self.whole(" " + piece) if piece.isalpha() else self.found(" " + piece))
+
+    def noted(self, table: dict[str, tuple[int, ...]], key: str, ids: tuple[int, ...]) -> tuple[int, ...]:
+        """Remember ids; a full table is begun anew."""
+        if len(table) >= self.memo:
+            table.clear()
+        table[key] = ids
         return ids
 
-    def encode(self, text: str) -> list[int]:
-        """Ids of a text, pre-token by pre-token."""
+    def found(self, text: str) -> tuple[int, ...]:
         known = self.words.get
-        return list(chain.from_iterable([known(w) or self.word(w) for w in self.pattern.findall(text)]))
+        return tuple(chain.from_iterable([known(w) or self.word(w) for w in self.pattern.findall(text)]))
+
+    def encode(self, text: str) -> list[int]:
+        """Ids of a text, pre-token by pre-token. Where every blank stands alone, each begins a pre-token, so the pieces
+        between them can be encoded one by one."""
+        if LOOSE.search(text):
+            return list(self.found(text))
+        known = self.pieces.get
+        first, *rest = text.split(" ")
+        return [*self.found(first), *chain.from_iterable([known(p) or self.piece(p) for p in rest])]
 
     def decode(self, ids: list[int]) -> bytes:
         """The tokens' bytes, concatenated pairwise up a tree."""
-        level = [self.bytes[i] for i in ids]
+        level = list(map(self.bytes.__getitem__, ids))
         while len(level) > 1:
             above = list(map(add, level[::2], level[1::2]))
             level = above if len(level) % 2 == 0 else [*above, level[-1]]
@@ -152,7 +204,7 @@ def tree_encode(docs: DataFrame, vocabulary: str, text: str = "text", keep: tupl
         def described(text: str) -> tuple:
             ids = ranks.encode(text)
             decoded = ranks.decode(ids)
-            found = (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(decoded).hexdigest())
+            found = (len(ids), hashlib.sha256(",".join(map(ranks.names.__getitem__, ids)).encode()).hexdigest(), hashlib.sha256(decoded).hexdigest())
             return found + ((np.array(ids, np.int32),) if with_ids else ()) + ((decoded,) if with_decoded else ())
 
         for batch in batches:
