@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -61,6 +62,24 @@ def residual_findings(df: DataFrame, text: str, key: str = "record_id", detector
     return best.select("record_id", F.explode("items").alias("x")).select("record_id", "x.entity", "x.start", "x.len", "x.value", "x.score")
 
 
+def model_detector(predict: Callable[[list[str]], list[list[tuple[str, int, int, float]]]], text: str, key: str = "record_id", least: float = 0.75) -> Callable[[DataFrame], DataFrame]:
+    """A detector for ``residual_findings`` from a model: ``predict`` gets a batch of texts and gives for each its findings
+    (entity, start counted from 1, length, score). It is called in the tasks, on Arrow batches; findings below ``least``
+    go."""
+
+    def detect(df: DataFrame) -> DataFrame:
+        rows = df.select(F.col(key).alias("record_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                found = [(k, e, s, n, t[s - 1 : s - 1 + n], p) for k, t, each in zip(batch["record_id"], batch["text"], predict(batch["text"].tolist()), strict=True) for e, s, n, p in each if p >= least]
+                yield pd.DataFrame(found, columns=["record_id", "entity", "start", "len", "value", "score"])
+
+        return rows.mapInPandas(run, f"record_id {rows.schema['record_id'].dataType.simpleString()}, entity string, start int, len int, value string, score double")
+
+    return detect
+
+
 def review_queue(records: DataFrame, strata: list[str], key: str, text: str, rate: float = 0.001, per_batch: int = 5, width: int = 2000) -> DataFrame:
     """(strata, batch, keys, text): a stratified sample in batches of texts cut to ``width`` characters."""
     picked = stratified(records, strata, rate, key, per_batch).withColumn("__item", F.struct("nth", F.col(key).alias("key"), F.substring(text, 1, width).alias("text")))

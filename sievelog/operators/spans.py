@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,12 +47,26 @@ def spans(df: DataFrame, text: str, detectors=GENERAL, key: str = "record_id", p
     return values.select("record_id", "start", F.length("value").alias("len"), "category", "value", "priority")
 
 
+def best_chain(found: list[tuple[int, int, float]]) -> list[int]:
+    """Numbers of the (start, len, score) that stay, which come by start and then from the best score: of each that overlaps
+    the last one, the better; the earlier of two that are as good."""
+    kept: list[int] = []
+    for i, (start, _, score) in enumerate(found):
+        if kept and start < found[kept[-1]][0] + found[kept[-1]][1]:
+            if score > found[kept[-1]][2]:
+                kept[-1] = i
+        else:
+            kept.append(i)
+    return kept
+
+
 def best_score(items: Column) -> Column:
-    """Of structs sorted by (start, -score), a chain without overlaps in which a better-scored one takes the last one's place."""
+    """Of structs sorted by (start, -score), a chain without overlaps in which a better-scored one takes the last one's place.
+    Every record's structs are read once."""
 
-    def step(a: Column, x: Column) -> Column:
-        last = F.element_at(a, -1)
-        clash = (F.size(a) > 0) & (x["start"] < last["start"] + last["len"])
-        return F.when(clash & (x["score"] > last["score"]), F.concat(F.slice(a, 1, F.size(a) - 1), F.array(x))).when(clash, a).otherwise(F.concat(a, F.array(x)))
+    @F.pandas_udf("array<int>")
+    def chosen(starts: pd.Series, lengths: pd.Series, scores: pd.Series) -> pd.Series:
+        return pd.Series([best_chain(list(zip(*row, strict=True))) for row in zip(starts, lengths, scores, strict=True)])
 
-    return F.aggregate(items, F.slice(items, 1, 0), step)
+    of = lambda name: F.transform(items, lambda x: x[name])
+    return F.transform(chosen(of("start"), of("len"), of("score")), lambda i: F.element_at(items, i + 1))

@@ -9,8 +9,9 @@ from ..functions import allowlists
 from ..functions import detectors as D
 from ..functions import mappings as M
 from ..operators import contains, exports, fields, formats, graph, incidents, labels, records, registry, reports, review, spans, sweep, verify
-from ..sources import tables
-from ..sources.scratch import saved, spread
+from ..sources import sinks, store, tables
+from ..sources.scratch import saved, scratch_path, spread
+from ..streaming import events as streaming
 from . import views as V
 
 QUERIES: dict = {}
@@ -80,6 +81,38 @@ def j1_partition_index(spark, sf_dir):
     return tables.read_partitions(rows, index.join(names, "partition", "left_semi"), [1, 3, 7]).select("event_id")
 
 
+def _stored_events(spark, sf_dir):
+    """Events as the store has them; every seventh isn't JSON, every eleventh has no id."""
+    rows = table(spark, sf_dir, "events")
+    hexed = F.lower(F.lpad(F.hex((F.lit(122192928000000000) + F.col("event_id") * 5000000).cast("long")), 15, "0"))
+    uid = F.concat(F.substring(hexed, 8, 8), F.lit("-"), F.substring(hexed, 4, 4), F.lit("-1"), F.substring(hexed, 1, 3), F.lit("-8000-000000000000"))
+    body = F.when(F.col("event_id") % 7 == 3, "{").otherwise(F.concat(F.lit('{"n":'), F.col("event_id").cast("string"), F.lit(',"list":[1,"x"]}')))
+    return rows.select((F.col("user_id") % 10).cast("string").alias("org_id"), F.col("event_type").alias("partition"), F.when(F.col("event_id") % 11 != 5, uid).alias("created_at"), body.alias("artifact_json"))
+
+
+@query("""SELECT CAST(user_id % 10 AS VARCHAR) AS org_id, event_id AS n, event_type AS _partition, CASE WHEN event_id % 11 = 5 THEN 0.0 ELSE event_id / 2.0 END AS _created_at, event_id % 11 <> 5 AS has_uuid FROM events WHERE user_id % 10 IN (1, 3, 7) AND event_id % 7 <> 3""")
+def s2_event_store(spark, sf_dir):
+    events, path = _stored_events(spark, sf_dir), scratch_path(spark, "store")
+    store.write_events(events, path)
+    good, _ = store.read_events(spark, path, store.partition_index(events), ["1", "3", "7"])
+    return good.select("org_id", F.try_variant_get("body", "$.n", "bigint").alias("n"), "_partition", "_created_at", F.col("_created_at_uuid").isNotNull().alias("has_uuid"))
+
+
+_KIND_SQL = "['incidents', 'nodes', 'threat_hits', 'incident_summaries'][event_id % 4 + 1]"
+
+
+@query(f"""SELECT {_KIND_SQL} AS kind, CAST(user_id % 10 AS VARCHAR) AS _org_id, event_id AS n, CASE WHEN event_id % 4 <> 2 THEN event_type END AS _partition, CASE WHEN event_id % 4 <> 2 THEN CASE WHEN event_id % 11 = 5 THEN 0.0 ELSE event_id / 2.0 END END AS _created_at,
+ CASE WHEN event_id % 4 = 2 THEN concat('t', event_id) END AS _threat_id FROM events WHERE user_id % 10 IN (0, 2) AND event_id % 7 <> 3""")
+def s3_object_store(spark, sf_dir):
+    n = F.try_variant_get(F.try_parse_json("artifact_json"), "$.n", "bigint")
+    kinds = F.array(*[F.lit(k) for k in store.KINDS])
+    objects = _stored_events(spark, sf_dir).withColumn("at", n).withColumns({"kind": F.element_at(kinds, (F.coalesce("at", F.lit(0)) % 4 + 1).cast("int")), "id": F.concat(F.lit("t"), F.col("at").cast("string"))}).withColumnRenamed("artifact_json", "object")
+    path = scratch_path(spark, "store")
+    store.write_objects(objects, path)
+    good, _ = store.read_objects(spark, path, ["0", "2"])
+    return good.select("kind", "_org_id", F.try_variant_get("body", "$.n", "bigint").alias("n"), "_partition", "_created_at", "_threat_id")
+
+
 @query(f"""SELECT count_if(regexp_matches(client_ip, '^{D.RFC1918}$')) AS n_private, count_if(regexp_matches(server_ip, '^{D.RFC1918}$')) AS n_server_private, count_if(regexp_matches(server_ip, '^{D.TEST_NET}$')) AS n_test, count_if(regexp_matches(client_ip, '^{D.LOOPBACK}$')) AS n_loop, message_type FROM v_artifact GROUP BY message_type""", "v_artifact")
 def p5_ip_predicates(spark, sf_dir):
     a = V.artifacts(spark, sf_dir)
@@ -173,6 +206,21 @@ def z2_registry(spark, sf_dir):
     return _registry(spark, sf_dir).select("category", "norm", "seq", "sanitized")
 
 
+def _drained(query) -> None:
+    """Run a stream over all that is there, and end it."""
+    query.trigger(availableNow=True).start().awaitTermination()
+
+
+@query("SELECT DISTINCT category, norm, true AS own_token FROM numbered", "candidates", "numbered")
+def t1_registry_stream(spark, sf_dir):
+    path = scratch_path(spark, "stream")
+    docs = streaming.read_stream(spark, sf_dir, "documents.parquet").select(F.col("doc_id").alias("record_id"), "text")
+    _drained(streaming.registry_stream(spans.spans(docs, "text", (("email", D.EMAIL, 0, 2), ("ipv4", D.IPV4, 0, 7))), f"{path}/out", f"{path}/checkpoint", V.SECRET))
+    grown = streaming.written(spark, f"{path}/out", registry.SCHEMA)
+    once = grown.groupBy("sanitized").agg(F.count("*").alias("n"))
+    return grown.join(once, "sanitized").select("category", "norm", (F.col("n") == 1).alias("own_token"))
+
+
 @query("SELECT category, count(*) AS n FROM (SELECT DISTINCT category, lower(trim(value)) FROM candidates) GROUP BY ROLLUP (category)", "candidates")
 def a2_registry_stats(spark, sf_dir):
     return registry.stats(_registry(spark, sf_dir))
@@ -313,6 +361,27 @@ def z1_sanitize_records(spark, sf_dir):
     return raw.published(raw.grown(spark.createDataFrame([], registry.SCHEMA), V.SECRET)).select("event_id", "body")
 
 
+@query(_raw_sql(), "v_raw", "tokraw")
+def z17_resanitize_records(spark, sf_dir):
+    """Published under a registry without user names and private addresses, then brought to the whole registry by making
+    the records anew that hold one of them."""
+    raw = records.Sanitized.records(spread(V.raw_records(spark, sf_dir).select("event_id", "body")), "body")
+    grown = raw.grown(spark.createDataFrame([], registry.SCHEMA), V.SECRET)
+    some = grown.filter(~F.col("category").isin("username", "ipv4_priv"))
+    earlier = saved(raw.published(some), "published")
+    return raw.republished(earlier, some, grown).select("event_id", "body")
+
+
+@query("SELECT count_if(m = 0) AS incident, count_if(m = 1 OR m = 4) AS artifact, count_if(m = 2) AS other, count_if(m = 3 AND event_id % 2 = 0) AS quarantine, count(*) - count_if(m = 3) AS records FROM (SELECT event_id, event_id % 5 AS m FROM events)")
+def a15_run_statistics(spark, sf_dir):
+    """Raw lines of three kinds, some of them malformed or blank: statistics of the run that writes them."""
+    m = F.col("event_id") % 5
+    line = F.when(m == 0, '{"nodes":{},"edges":{},"messageType":"x"}').when(m == 1, F.concat(F.lit('{"messageType":"'), "event_type", F.lit('"}'))).when(m == 2, '{"nodes":{}}').when(m == 4, '{"messagetype":"y","n":1}').when(F.col("event_id") % 2 == 0, '{"a":').otherwise("  ")
+    parts = sinks.publish_records(table(spark, sf_dir, "events").select(line.alias("value")), scratch_path(spark, "published"))
+    found = {**parts["records"], "quarantine": parts["quarantine"]["rows"]}
+    return spark.createDataFrame([tuple(found[k] for k in ("incident", "artifact", "other", "quarantine", "rows"))], "incident long, artifact long, other long, quarantine long, records long")
+
+
 @query("SELECT event_id, path, value FROM v_logs CROSS JOIN LATERAL (VALUES ('$.clientIP', cip), ('$.userName', usr), ('$.organization', org), ('$.serverHostname', fqn), ('$.action', 'allow ' || usr), ('$.nested.peer_host', hst), ('$.nested.note', 'plain text'), ('$.nested.contact', mail)) x(path, value)", "v_logs")
 def p3_string_leaves(spark, sf_dir):
     rows = V.logs(spark, sf_dir).select("event_id", F.parse_json("record").alias("body"))
@@ -356,6 +425,14 @@ def l1_incident_labels(spark, sf_dir):
     return out.select("incident_id", join("set_roles"), join("attack_tactics"), join("attack_techniques"), "lifecycle_stage", "disposition_category", "is_false_positive")
 
 
+@query(ORACLES["l3_label_events"])
+def t1_label_stream(spark, sf_dir):
+    path = scratch_path(spark, "stream")
+    _drained(streaming.label_stream(V.artifacts(spark, sf_dir, streaming.read_stream(spark, sf_dir, "events.parquet")), *V.catalog(spark), f"{path}/out", f"{path}/checkpoint"))
+    out = spark.read.parquet(f"{path}/out")
+    return out.select("event_id", "label_binary", "label_confidence", F.array_join("set_roles", "|").alias("set_roles"), F.array_join("attack_tactics", "|").alias("attack_tactics"), "product_name", "lifecycle_stage")
+
+
 _FIRST = "(SELECT *, row_number() OVER (PARTITION BY lead_id ORDER BY incident_id, pos) AS rn FROM v_lead WHERE has_artifact)"
 
 
@@ -364,6 +441,14 @@ def w2_first_leads(spark, sf_dir):
     return labels.first_leads(V.leads(spark, sf_dir)).select("lead_id", "incident_id", "pos", "product_name")
 
 
+@query(f"SELECT lead_id, incident_id, pos, product_name FROM {_FIRST} WHERE rn = 1", "v_lead")
+def t2_first_leads_stream(spark, sf_dir):
+    path = scratch_path(spark, "stream")
+    leads = V.leads(spark, sf_dir, streaming.read_stream(spark, sf_dir, "lineitem.parquet")).select("lead_id", "incident_id", "pos", "product_name", "has_artifact")
+    _drained(streaming.first_leads_stream(leads, f"{path}/out", f"{path}/checkpoint"))
+    return streaming.first_leads_written(spark, f"{path}/out", "lead_id long, incident_id string, pos long, product_name string")
+
+
 @query(f"SELECT lead_id, l.incident_id, mo_name, CASE WHEN status_name = 'False Positive' THEN 0.3 ELSE least(0.95, greatest(0.6, suspicion)) END AS label_confidence, status_name AS disposition FROM {_FIRST} l JOIN v_incident i USING (incident_id) WHERE rn = 1", "v_lead", "v_incident")
 def l2_lead_events(spark, sf_dir):
     own = labels.incident_labels(V.incidents(spark, sf_dir), V.nodes(spark, sf_dir))

@@ -40,8 +40,11 @@ def _tables(spark: SparkSession, sf_dir: str, *names: str) -> None:
         spark.read.parquet(f"{sf_dir}/{n}.parquet").createOrReplaceTempView(n)
 
 
-def artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def artifacts(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
+    """The view over the given events (a stream, say), or over the table."""
     _tables(spark, sf_dir, "events")
+    if events is not None:
+        events.createOrReplaceTempView("events")
     df = spark.sql(_ARTIFACT.format(s="STRING", epoch="unix_micros(CAST(ts AS TIMESTAMP)) / 1000000", k="CAST(get_json_object(props, '$.k') AS INT)"))
     rules = F.when(F.col("k") % 5 == 0, F.array((F.col("k") % 20 + 1).cast("int"), (F.col("k") % 7 + 1).cast("int"))).otherwise(F.array().cast("array<int>"))
     return df.withColumn("rule_ids", rules)
@@ -52,8 +55,10 @@ def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(_INCIDENT.format(s="STRING"))
 
 
-def leads(spark: SparkSession, sf_dir: str) -> DataFrame:
+def leads(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None) -> DataFrame:
     _tables(spark, sf_dir, "lineitem")
+    if lineitem is not None:
+        lineitem.createOrReplaceTempView("lineitem")
     return spark.sql(_LEAD.format(s="STRING", i="BIGINT", observed="unix_micros(CAST(l_shipdate AS TIMESTAMP)) / 1000000"))
 
 

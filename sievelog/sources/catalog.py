@@ -32,6 +32,14 @@ def read_config(spark: SparkSession, path: str) -> DataFrame:
     return out.filter(~F.col("name").startswith("_"))
 
 
+def seeds(config: DataFrame) -> DataFrame:
+    """What a registry is grown from before any record is read: a configuration's organisations, display names and domains
+    (category, value, record_id, start, as ``grow_registry`` takes them)."""
+    kind = F.col("kind")
+    rows = config.filter(kind.isin("org", "display", "domain"))
+    return rows.select(F.when(kind == "domain", "domain").otherwise("org").alias("category"), F.col("name").alias("value"), kind.alias("record_id"), F.lit(0).alias("start"))
+
+
 def read_registry(spark: SparkSession, path: str, category: str | None = None) -> DataFrame:
     """Entries of a written registry, of one category if named; the filter reaches the files."""
     from ..operators.registry import SCHEMA

@@ -20,10 +20,15 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path under the shared folder."""
+    return f"{shared_dir(spark)}/sievelog/{name}-{uuid.uuid4().hex[:12]}"
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """``df`` written under the shared folder and read again."""
     spark: SparkSession = df.sparkSession
-    path = f"{shared_dir(spark)}/sievelog/{name}-{uuid.uuid4().hex[:12]}"
+    path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
