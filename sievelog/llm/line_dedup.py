@@ -43,45 +43,63 @@ def longest_increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
-def anchors(late: list[int], early: list[int]) -> set[tuple[int, int]]:
-    """Places (late, early) of the same line, or of the same two lines in a row: the n-th in one with the n-th in the
-    other; further ones of the later document with the last of the earlier."""
-    out = set()
-    for x, y in ((late, early), (list(zip(late, late[1:])), list(zip(early, early[1:])))):
-        there: dict = {}
-        for j, line in enumerate(y):
-            there.setdefault(line, []).append(j)
-        met: dict = {}
-        for i, line in enumerate(x):
-            if line in there:
-                n = met[line] = met.get(line, -1) + 1
-                out.add((i, there[line][min(n, len(there[line]) - 1)]))
-    return out
+def common_runs(late: list[int], early: list[int]) -> list[tuple[int, int, int]]:
+    """Runs of lines (first in late, first in early, end in late) that stand in both: for every line of ``late`` the longest
+    run that ends there, unless it goes on with the next line. Every run that both hold lies within one of them.
+
+    A suffix automaton of the earlier document is walked along the later one, so lines that repeat cost no more than others.
+    """
+    after: list[dict[int, int]] = [{}]
+    link, length, end = [-1], [0], [-1]
+    last = 0
+    for j, line in enumerate(early):
+        new, p = len(after), last
+        after.append({})
+        length.append(length[last] + 1)
+        end.append(j)
+        link.append(0)
+        while p >= 0 and line not in after[p]:
+            after[p][line] = new
+            p = link[p]
+        if p >= 0:
+            q = after[p][line]
+            if length[q] > length[p] + 1:
+                clone = len(after)
+                after.append(dict(after[q]))
+                length.append(length[p] + 1)
+                end.append(end[q])
+                link.append(link[q])
+                while p >= 0 and after[p].get(line) == q:
+                    after[p][line] = clone
+                    p = link[p]
+                link[q] = q = clone
+            link[new] = q
+        last = new
+    runs, state, n = [], 0, 0
+    for i, line in enumerate(late):
+        before, held = n, end[state]
+        while state and line not in after[state]:
+            state = link[state]
+            n = length[state]
+        if line in after[state]:
+            state, n = after[state][line], n + 1
+        if before and n != before + 1:
+            runs.append((i - before, held - before + 1, i))
+    if n:
+        runs.append((len(late) - n, end[state] - n + 1, len(late)))
+    return runs
 
 
 def aligned_blocks(late: list[int], early: list[int], words: list[int], min_words: int) -> list[tuple[int, int]]:
     """Blocks (first line, end) of the later document that the earlier one holds, by patience diff.
 
-    Anchors grow over equal neighbours to blocks; those of fewer than ``min_words`` words are noise. The most blocks that
-    stand in one order in both are aligned (patience sorting), then the most of those that are left over because they
-    stand elsewhere, until all are.
+    Common runs of fewer than ``min_words`` words are noise. The most runs that stand in one order in both are aligned
+    (patience sorting), then the most of those that are left over because they stand elsewhere, until all are.
     """
     known = set(early)
     if sum(w for line, w in zip(late, words, strict=True) if line in known) < min_words:
         return []
-    found, last = [], (None, 0)
-    for shift, i in sorted((i - j, i) for i, j in anchors(late, early)):
-        if last[0] == shift and i < last[1]:
-            continue
-        lo, hi = i, i + 1
-        while lo and lo - shift and late[lo - 1] == early[lo - shift - 1]:
-            lo -= 1
-        while hi < len(late) and hi - shift < len(early) and late[hi] == early[hi - shift]:
-            hi += 1
-        last = (shift, hi)
-        if sum(words[lo:hi]) >= min_words:
-            found.append((lo, lo - shift, hi))
-    out, left = [], sorted(found)
+    out, left = [], sorted((lo, at, hi) for lo, at, hi in common_runs(late, early) if sum(words[lo:hi]) >= min_words)
     while left:
         aligned = set(longest_increasing([(lo, at) for lo, at, _ in left]))
         out += [(lo, hi) for lo, at, hi in left if (lo, at) in aligned]

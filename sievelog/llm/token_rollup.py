@@ -2,7 +2,8 @@
 
 A batch of changes (inserts, revised counts, deletes of documents under a tokenizer version) becomes signed deltas: what
 the documents counted before goes out, what they count now comes in. Totals by source, language and version are sums of
-committed deltas, so a batch costs in proportion to its changes. A batch is written to a waiting folder and takes effect by
+committed deltas, so reading them costs nothing of the documents; what the documents of a batch counted before is read
+from the logs of all batches, which grow with the history. A batch is written to a waiting folder and takes effect by
 one rename to its own name; applying it again finds the name and changes nothing, and a job that dies before leaves
 nothing that counts. One writer applies batches at a time.
 """

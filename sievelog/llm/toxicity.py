@@ -192,7 +192,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: tuple[int, int]
     spot = F.pmod(F.xxhash64("k", F.lit(11)), F.lit(1 << 30)) / float(1 << 30)
     chosen = usable.filter(spot < F.when(F.col("toxic") == 1, share[1]).otherwise(share[0]))
     body = docs.select(F.col(key).alias("k"), F.col(text).alias("body")).filter(F.length("body") <= longest)
-    rows = sorted(body.join(F.broadcast(chosen), "k").collect(), key=lambda r: (r.k, r.body))
+    # A key that repeats counts once, with the first of its texts, so the keys bound the rows that come to the driver.
+    rows = sorted(body.join(F.broadcast(chosen), "k").groupBy("k", "toxic").agg(F.min("body").alias("body")).collect(), key=lambda r: (r.k, r.body))
     model = Model()
     if len({r.toxic for r in rows}) < 2:
         model.table[:], model.offset = 0, np.array([0.0, -50.0])
