@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import detectors as D
 from .contains import contains_join
+from .order import indexed
 
 
 def string_cells(df: DataFrame, key: str) -> DataFrame:
@@ -57,9 +58,13 @@ def no_malicious(distribution: DataFrame) -> DataFrame:
 
 
 def file_lines(spark, path: str) -> DataFrame:
-    """(file, row_key, name, value): the lines of written text files, for the same checks as cells; metadata files are left out."""
-    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("n"))
-    return lines.filter(~F.col("file").rlike("metadata[^/]*$")).select(F.concat_ws(":", "file", F.col("n").cast("string")).alias("row_key"), F.lit("line").alias("name"), "value")
+    """(row_key, name, value): the lines of written text files, for the same checks as cells; the key is the file and the
+    line's number in it, from 1. Metadata files are left out. Lines are numbered by ranges, so a large file is many tasks."""
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), "value")
+    placed = indexed(lines.filter(~F.col("file").rlike("metadata[^/]*$")), ["file", "block", "at"])
+    first = placed.groupBy("file").agg(F.min("__index").alias("first"))
+    numbered = placed.join(first, "file").withColumn("n", F.col("__index") - F.col("first") + 1)
+    return numbered.select(F.concat_ws(":", "file", F.col("n").cast("string")).alias("row_key"), F.lit("line").alias("name"), "value")
 
 
 def all_checks(cells: DataFrame, registry: DataFrame, patterns: list[str], allowed: DataFrame | None = None, leaks_too: bool = True) -> DataFrame:

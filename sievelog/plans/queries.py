@@ -637,19 +637,39 @@ _SHORT = lambda list_, most, more: f"array_to_string({list_}[:{most}], ', ') ||
 _ISO = lambda e: f"strftime(make_timestamp(CAST({e} * 1000000 AS BIGINT)), '%Y-%m-%dT%H:%M:%SZ')"
 
 
-@query(f"""SELECT id AS incident_id, 'Incident `' || id || '` (`' || c.case_name || '`) was classified by the correlation engine as **' || mo_name || '** with a suspicion score of ' || round(CAST(suspicion_score AS DECIMAL(18, 6)), 2) || ' and a final disposition of **' || status_name || '** (`disposition_category=' || disposition_category || '`). '
- || 'The attack chain began at `' || {_ISO('a')} || '` and was last observed at `' || {_ISO('b')} || '`' || CASE WHEN b - a > 0 THEN ' (duration: ' || CASE WHEN b - a < 60 THEN CAST(b - a AS BIGINT) || 's' WHEN b - a < 3600 THEN CAST(b - a AS BIGINT) // 60 || 'm' WHEN b - a < 86400 THEN CAST(b - a AS BIGINT) // 3600 || 'h' ELSE CAST(b - a AS BIGINT) // 86400 || 'd' END || ')' ELSE '' END || '. '
- || 'The incident graph contains ' || n_leads || ' triggering signal' || CASE n_leads WHEN 1 THEN '' ELSE 's' END || ', ' || n_nodes || ' node' || CASE n_nodes WHEN 1 THEN '' ELSE 's' END || ', ' || n_edges || ' edge' || CASE n_edges WHEN 1 THEN '' ELSE 's' END || '. '
- || 'Classification roles assigned: ' || {_SHORT('roles', 6, "' (and ' || # || ' more)'")} || '. Detection rules triggered: ' || {_SHORT('rules', 8, "', and ' || # || ' more'")} || '. Security products that observed activity: ' || {_SHORT('prods', 6, "' (and ' || # || ' more)'")} || '. '
- || CASE WHEN tac IS NULL THEN '' ELSE 'Mapped MITRE ATT&CK tactics: ' || tac || '. ' END || CASE WHEN len(tec) > 0 THEN 'Mapped MITRE ATT&CK techniques: ' || {_SHORT('tec', 10, "', and ' || # || ' more'")} || '. ' ELSE '' END
- || CASE WHEN lifecycle_stage <> 'unknown' THEN 'Inferred kill-chain stage: `' || lifecycle_stage || '`. ' ELSE '' END || 'Sample triggering signal: `part ' || first_part || '`. '
+_COUNTED = "array_to_string(list_filter([CASE WHEN n_leads > 0 THEN n_leads || ' triggering signal' || CASE n_leads WHEN 1 THEN '' ELSE 's' END END, CASE WHEN n_nodes > 0 THEN n_nodes || ' node' || CASE n_nodes WHEN 1 THEN '' ELSE 's' END END, CASE WHEN n_edges > 0 THEN n_edges || ' edge' || CASE n_edges WHEN 1 THEN '' ELSE 's' END END], lambda x: x IS NOT NULL), ', ')"
+_LASTED = "CASE WHEN b - a > 0 THEN ' (duration: ' || CASE WHEN b - a < 60 THEN CAST(b - a AS BIGINT) || 's' WHEN b - a < 3600 THEN CAST(b - a AS BIGINT) // 60 || 'm' WHEN b - a < 86400 THEN CAST(b - a AS BIGINT) // 3600 || 'h' ELSE CAST(b - a AS BIGINT) // 86400 || 'd' END || ')' ELSE '' END"
+_QUOTED = "list_transform(rules, lambda r: '\"' || r || '\"')"
+
+
+@query(f"""SELECT id AS incident_id, 'template' AS report_source, mo_name, CAST(suspicion_score AS DOUBLE) AS suspicion_score, status_name, status_name AS disposition, disposition_category, coalesce(array_to_string(tec, '|'), '') AS attack_techniques, coalesce(array_to_string(tac, '|'), '') AS attack_tactics,
+ coalesce(n_leads, 0) AS lead_count, coalesce(n_nodes, 0) AS node_count, coalesce(n_edges, 0) AS edge_count, a AS first_observed_at, b AS last_observed_at, array_to_string(roles, '|') AS set_role_names, coalesce(array_to_string(rules, '|'), '') AS matched_rules, coalesce(array_to_string(prods, '|'), '') AS products_observed, lifecycle_stage,
+ 'Incident `' || id || '` (`' || c.case_name || '`) was classified by the correlation engine as **' || mo_name || '** with a suspicion score of ' || round(CAST(suspicion_score AS DECIMAL(18, 6)), 2) || ' and a final disposition of **' || status_name || '** (`disposition_category=' || disposition_category || '`). '
+ || 'The attack chain began at `' || coalesce({_ISO('a')}, 'unknown time') || '` and was last observed at `' || coalesce({_ISO('b')}, 'unknown time') || '`' || {_LASTED} || '. '
+ || CASE WHEN n_edges > 0 THEN 'The incident graph contains ' || {_COUNTED} || '. ' ELSE '' END
+ || 'Classification roles assigned: ' || {_SHORT('roles', 6, "' (and ' || # || ' more)'")} || '. ' || CASE WHEN len(rules) > 0 THEN 'Detection rules triggered: ' || {_SHORT(_QUOTED, 8, "', and ' || # || ' more'")} || '. ' ELSE '' END || CASE WHEN len(prods) > 0 THEN 'Security products that observed activity: ' || {_SHORT('prods', 6, "' (and ' || # || ' more)'")} || '. ' ELSE '' END
+ || CASE WHEN len(tac) > 0 THEN 'Mapped MITRE ATT&CK tactics: ' || array_to_string(tac, ', ') || '. ' ELSE '' END || CASE WHEN len(tec) > 0 THEN 'Mapped MITRE ATT&CK techniques: ' || {_SHORT('tec', 10, "', and ' || # || ' more'")} || '. ' ELSE '' END
+ || CASE WHEN lifecycle_stage <> 'unknown' THEN 'Inferred kill-chain stage: `' || lifecycle_stage || '`. ' ELSE '' END || CASE WHEN first_part IS NULL THEN '' ELSE 'Sample triggering signal: `part ' || first_part || '`. ' END
  || 'This report was generated deterministically from structured incident metadata; it reflects the output of the correlation engine, not an independent threat-hunting investigation.' AS report_text
- FROM case_labels c {_ROLES_OF.replace('roles FROM', 'roles FROM')} JOIN (SELECT k, min(observed_at) AS a, max(observed_at) AS b, count(DISTINCT lead_id) AS n_leads, count(DISTINCT s) AS n_nodes, count(*) AS n_edges, arg_min(p, pos) AS first_part FROM v_part GROUP BY 1) USING (k)
- JOIN (SELECT k, list(DISTINCT '"rule ' || (p % 9) || '"' ORDER BY '"rule ' || (p % 9) || '"') AS rules, list(DISTINCT 'product ' || (s % 7) ORDER BY 'product ' || (s % 7)) AS prods FROM (SELECT k, lead_id, arg_min(p, pos) AS p, arg_min(s, pos) AS s FROM v_part GROUP BY 1, 2) GROUP BY 1) USING (k)
- LEFT JOIN (SELECT id, string_agg(val, ', ' ORDER BY ord) AS tac FROM (SELECT id, val, min(ord) AS ord FROM (SELECT id, val, ord * 100 + pos AS ord FROM case_roles JOIN role_tactics ON name = role UNION ALL SELECT id, val, 1000000 + pos FROM v_case JOIN mo_tactics ON name = mo_name) GROUP BY 1, 2) GROUP BY 1) ta USING (id)
+ FROM case_labels c {_ROLES_OF} LEFT JOIN (SELECT k, min(observed_at) AS a, max(observed_at) AS b, count(DISTINCT lead_id) AS n_leads, count(DISTINCT s) AS n_nodes, count(*) AS n_edges, arg_min(p, pos) AS first_part FROM v_part GROUP BY 1) USING (k)
+ LEFT JOIN (SELECT k, list(DISTINCT 'rule ' || (p % 9) ORDER BY 'rule ' || (p % 9)) AS rules, list(DISTINCT 'product ' || (s % 7) ORDER BY 'product ' || (s % 7)) AS prods FROM (SELECT k, lead_id, arg_min(p, pos) AS p, arg_min(s, pos) AS s FROM v_part GROUP BY 1, 2) GROUP BY 1) USING (k)
+ LEFT JOIN (SELECT id, list(val ORDER BY ord) AS tac FROM (SELECT id, val, min(ord) AS ord FROM (SELECT id, val, ord * 100 + pos AS ord FROM case_roles JOIN role_tactics ON name = role UNION ALL SELECT id, val, 1000000 + pos FROM v_case JOIN mo_tactics ON name = mo_name) GROUP BY 1, 2) GROUP BY 1) ta USING (id)
  LEFT JOIN (SELECT id, list(val ORDER BY ord, val) AS tec FROM (SELECT id, val, min(ord) AS ord FROM (SELECT id, val, -1 AS ord FROM case_techs UNION ALL SELECT id, val, ord * 100 + pos FROM case_roles JOIN role_techniques ON name = role UNION ALL SELECT id, val, 1000000 + pos FROM v_case JOIN mo_techniques ON name = mo_name) GROUP BY 1, 2) GROUP BY 1) te USING (id)""", *_NESTED, "case_labels")
 def q3_attack_reports(spark, sf_dir):
-    return reports.attack_reports(V.cases(spark, sf_dir), _sets(spark)).filter("edge_count > 0").select("incident_id", "report_text")
+    """All 19 fields of every incident; lists joined by bars."""
+    return reports.attack_reports(V.cases(spark, sf_dir), _sets(spark)).withColumns({c: F.array_join(c, "|") for c in ("attack_techniques", "attack_tactics", "set_role_names", "matched_rules", "products_observed")})
+
+
+_CATALOGUE = {1: {"attck": ["t1110"]}, 2: {"mitre": ["1003", "x"], "nist": ["AC-1"]}, 3: {"attack": ["T1021.002", "T1110"]}}
+_CATALOGUE_SQL = "CASE s % 5 WHEN 1 THEN ['T1110'] WHEN 2 THEN ['T1003'] WHEN 3 THEN ['T1021.002', 'T1110'] ELSE [] END"
+
+
+@query(f"""SELECT id, string_agg(DISTINCT val, '|' ORDER BY val) AS attack_techniques FROM (SELECT id, unnest(string_split(nullif(attack_techniques, ''), '|')) AS val FROM case_labels UNION ALL SELECT id, unnest({_CATALOGUE_SQL}) FROM v_case JOIN v_part USING (k)) GROUP BY 1 UNION ALL
+ SELECT id, '' FROM case_labels c WHERE attack_techniques = '' AND NOT EXISTS (SELECT 1 FROM v_part p WHERE p.k = c.k AND s % 5 IN (1, 2, 3))""", *_NESTED, "case_labels")
+def j8_catalogue_frameworks(spark, sf_dir):
+    """Techniques of incidents, those that the catalogue has for their nodes' product numbers among them."""
+    products = spark.createDataFrame([(k, v) for k, v in _CATALOGUE.items()], "product_id int, frameworks map<string,array<string>>")
+    return incidents.incident_labels(V.cases(spark, sf_dir), _sets(spark), products).select("id", _bar("attack_techniques"))
 
 
 # ---- published table, residual findings, review
@@ -659,12 +679,29 @@ def _signal(spark, sf_dir):
     return exports.to_signal(labels.label_events(V.artifacts(spark, sf_dir), *V.catalog(spark)))
 
 
-@query("""SELECT epoch AS timestamp, message_type, stream AS stream_name, '' AS pipeline, client_ip AS src_ip, server_ip AS dst_ip, '' AS src_port, '' AS dst_port, '' AS protocol, client_host AS src_host, '' AS dst_host, username, '' AS action, '' AS severity, '' AS vendor_code, '' AS message_sanitized,
- CASE WHEN k % 5 = 0 THEN 'suspicious' ELSE 'benign' END AS label_binary, '[]' AS defense_techniques, '' AS mo_name, CAST(0 AS DOUBLE) AS suspicion_score, 'Unprocessed' AS disposition, 'automated' AS disposition_category, false AS is_false_positive, '' AS status_name, '[]' AS incident_ids,
- CASE WHEN k % 5 <> 0 THEN '[]' WHEN k % 20 + 1 = k % 7 + 1 THEN '["rule ' || (k % 20 + 1) || '"]' ELSE '["rule ' || (k % 20 + 1) || '","rule ' || (k % 7 + 1) || '"]' END AS matched_rules FROM v_artifact""", "v_artifact")
+_json = lambda bars: f"""CASE WHEN coalesce({bars}, '') = '' THEN '[]' ELSE '["' || replace({bars}, '|', '","') || '"]' END"""
+
+
+@query(f"""SELECT epoch AS timestamp, message_type, a.stream AS stream_name, '' AS pipeline, client_ip AS src_ip, server_ip AS dst_ip, '' AS src_port, '' AS dst_port, '' AS protocol, client_host AS src_host, '' AS dst_host, username, '' AS action, '' AS severity, '' AS vendor_code, '' AS message_sanitized,
+ CASE WHEN k % 5 = 0 THEN 'suspicious' ELSE 'benign' END AS label_binary, CASE WHEN n_rules > 0 THEN least(0.85, greatest(0.5, (40 + 10 * n_rules + 5 * coalesce(n_roles, 0)) / 100.0)) ELSE 0.5 END AS label_confidence, {_json('tec')} AS attack_techniques, {_json('tac')} AS attack_tactics,
+ '[]' AS defense_techniques, '' AS mo_name, CAST(0 AS DOUBLE) AS suspicion_score, CASE WHEN n_rules > 0 THEN coalesce(stage, 'unknown') ELSE 'none' END AS lifecycle_stage, 'Unprocessed' AS disposition, 'automated' AS disposition_category, false AS is_false_positive, '' AS status_name, '[]' AS incident_ids,
+ CASE WHEN k % 5 <> 0 THEN '[]' WHEN k % 20 + 1 = k % 7 + 1 THEN '["rule ' || (k % 20 + 1) || '"]' ELSE '["rule ' || (k % 20 + 1) || '","rule ' || (k % 7 + 1) || '"]' END AS matched_rules, {_json("array_to_string(set_roles, '|')")} AS set_roles, coalesce(nullif(st.product_name, ''), rp, '') AS product_name, coalesce(nullif(st.vendor_name, ''), rv, '') AS vendor_name
+ FROM v_artifact a LEFT JOIN (SELECT event_id, count(*) AS n_rules, arg_min(p.product_name, pos) AS rp, arg_min(p.vendor_name, pos) AS rv FROM hits JOIN products p USING (product_id) GROUP BY 1) h USING (event_id)
+ LEFT JOIN {_ROLE_LIST('roles', 'event_id')} r USING (event_id) LEFT JOIN (SELECT event_id, string_agg(DISTINCT val, '|' ORDER BY val) AS tac FROM roles JOIN role_tactics ON name = role GROUP BY 1) t USING (event_id)
+ LEFT JOIN (SELECT event_id, string_agg(val, '|' ORDER BY seen) AS tec FROM (SELECT event_id, val, min(ord * 100 + pos) AS seen FROM roles JOIN role_techniques ON name = role GROUP BY 1, 2) GROUP BY 1) u USING (event_id)
+ LEFT JOIN (SELECT event_id, arg_min(val, ord) AS stage FROM roles JOIN role_stage ON name = role GROUP BY 1) g USING (event_id) LEFT JOIN streams st ON lower(st.stream) = lower(a.stream)""", "v_artifact", "rules", "sets", "products", "streams", "hits", "roles", "role_tactics", "role_techniques", "role_stage")
 def p2_signal(spark, sf_dir):
-    """The flat table but for columns whose values l3_label_events compares."""
-    return _signal(spark, sf_dir).drop("label_confidence", "attack_techniques", "attack_tactics", "lifecycle_stage", "set_roles", "product_name", "vendor_name")
+    return _signal(spark, sf_dir)
+
+
+@query(f"""SELECT CAST(observed_at AS DOUBLE) AS timestamp, 'flow' AS message_type, '' AS stream_name, '' AS pipeline, '10.9.' || (s % 250) || '.7' AS src_ip, '' AS dst_ip, '' AS src_port, '' AS dst_port, '' AS protocol, '' AS src_host, '' AS dst_host, '' AS username, '' AS action, '' AS severity, '' AS vendor_code, '' AS message_sanitized,
+ 'malicious' AS label_binary, CASE WHEN status_name = 'False Positive' THEN 0.3 ELSE least(0.95, greatest(0.6, suspicion_score)) END AS label_confidence, {_json('attack_techniques')} AS attack_techniques, {_json('attack_tactics')} AS attack_tactics, {_json('defense_techniques')} AS defense_techniques,
+ mo_name, CAST(suspicion_score AS DOUBLE) AS suspicion_score, lifecycle_stage, status_name AS disposition, disposition_category, status_name = 'False Positive' AS is_false_positive, status_name, '["' || id || '"]' AS incident_ids, '[]' AS matched_rules, {_json('set_roles')} AS set_roles, '' AS product_name, '' AS vendor_name
+ FROM (SELECT *, row_number() OVER (PARTITION BY lead_id ORDER BY id, nth) AS rn FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY pos) AS nth FROM (SELECT *, row_number() OVER (PARTITION BY id, lead_id ORDER BY pos) AS copy FROM case_labels JOIN v_part USING (k)) WHERE copy = 1) WHERE pos % 7 <> 3) WHERE rn = 1""", *_NESTED, "case_labels")
+def p2_lead_signal(spark, sf_dir):
+    """The flat table of malicious events, with the labels of their incidents."""
+    leads = incidents.incident_leads(_labelled_cases(spark, sf_dir))
+    return exports.to_signal(leads.select("*", "artifact.*"))
 
 
 @query("""SELECT 'total_records' AS name, '' AS value, count(*) AS n FROM events UNION ALL SELECT 'message_type_distribution', message_type, count(*) FROM v_artifact GROUP BY 2 UNION ALL SELECT 'stream_distribution', stream, count(*) FROM v_artifact GROUP BY 2
