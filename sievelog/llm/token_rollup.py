@@ -2,16 +2,20 @@
 
 A batch of changes (inserts, revised counts, deletes of documents under a tokenizer version) becomes signed deltas: what
 the documents counted before goes out, what they count now comes in. Totals by source, language and version are sums of
-committed deltas, so reading them costs nothing of the documents; what the documents of a batch counted before is read
-from the logs of all batches, which grow with the history. A batch is written to a waiting folder and takes effect by
-one rename to its own name; applying it again finds the name and changes nothing, and a job that dies before leaves
-nothing that counts. One writer applies batches at a time.
+committed deltas. A batch is written to a waiting folder and takes effect by one rename to its own name; applying it again
+finds the name and changes nothing, and a job that dies before leaves nothing that counts. One writer applies batches at a
+time.
+
+The log of counts is laid out in buckets of documents. What a batch's documents counted before is read from their buckets
+alone, so a small batch reads a small part of the log, and ``compact`` makes one base of all batches so far, so the log is
+no longer than the documents that hold and the batches since.
 """
 
 from __future__ import annotations
 
 import base64
 import uuid
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -20,13 +24,13 @@ from pyspark.sql import functions as F
 from .bpe import read_vocabulary
 
 CHANGE = "op string, doc_id long, version string, source string, lang string, n_tokens long"
-LOG = "doc_id long, version string, source string, lang string, n_tokens long, gone boolean, seq long"
+LOG = "doc_id long, version string, source string, lang string, n_tokens long, gone boolean, seq long, bucket int"
 DELTA = "source string, lang string, version string, n_docs long, n_tokens long"
 
 
 class TokenRollup:
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder.rstrip("/")
+    def __init__(self, spark: SparkSession, folder: str, buckets: int = 64):
+        self.spark, self.folder, self.buckets = spark, folder.rstrip("/"), buckets
         self._jvm = spark._jvm
         self._conf = spark._jsparkSession.sessionState().newHadoopConf()
         self._fs = self._path("").getFileSystem(self._conf)
@@ -39,14 +43,54 @@ class TokenRollup:
         top = self._path("batches")
         return sorted(s.getPath().getName() for s in self._fs.listStatus(top)) if self._fs.exists(top) else []
 
+    def _base(self) -> tuple[str | None, frozenset[str]]:
+        """The last base and the names of the batches in it."""
+        top = self._path("bases")
+        names = sorted(s.getPath().getName() for s in self._fs.listStatus(top)) if self._fs.exists(top) else []
+        if not names:
+            return None, frozenset()
+        held = self.spark.read.schema("name string").json(f"{self.folder}/bases/{names[-1]}/batches").collect()
+        return f"{self.folder}/bases/{names[-1]}", frozenset(r.name for r in held)
+
     def _read(self, what: str, schema: str) -> DataFrame:
-        paths = [f"{self.folder}/batches/{b}/{what}" for b in self.batches()]
-        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+        base, held = self._base()
+        paths = ([f"{base}/{what}"] if base else []) + [f"{self.folder}/batches/{b}/{what}" for b in self.batches() if b not in held]
+        # Each folder is laid out in buckets of its own, so they are read one by one; compaction keeps them few.
+        tables = [self.spark.read.schema(schema).parquet(p) for p in paths] or [self.spark.createDataFrame([], schema)]
+        return reduce(DataFrame.unionByName, tables)
+
+    def _bucket(self):
+        return F.pmod(F.xxhash64("doc_id", "version"), F.lit(self.buckets)).cast("int")
+
+    def _state(self, buckets: list[int] | None = None) -> DataFrame:
+        rows = self._read("log", LOG)
+        if buckets is not None:
+            rows = rows.filter(F.col("bucket").isin(buckets))
+        last = rows.groupBy("doc_id", "version").agg(F.max_by(F.struct("source", "lang", "n_tokens", "gone", "seq"), "seq").alias("x"))
+        return last.select("doc_id", "version", "x.*").filter("NOT gone")
 
     def state(self) -> DataFrame:
         """The count that holds for each document and version: that of the last batch that has it."""
-        last = self._read("log", LOG).groupBy("doc_id", "version").agg(F.max_by(F.struct("source", "lang", "n_tokens", "gone"), "seq").alias("x"))
-        return last.select("doc_id", "version", "x.*").filter("NOT gone").drop("gone")
+        return self._state().drop("gone", "seq")
+
+    def _write_log(self, log: DataFrame, path: str) -> None:
+        log.withColumn("bucket", self._bucket()).repartition("bucket").write.partitionBy("bucket").parquet(path)
+
+    def _rename(self, waiting: str, name: str) -> None:
+        target = self._path(name)
+        self._fs.mkdirs(target.getParent())
+        if not self._fs.rename(self._path(waiting), target):
+            raise RuntimeError(f"{name} couldn't be committed")
+
+    def compact(self) -> None:
+        """Make one base of all batches so far; it takes effect by one rename, and readers need the logs before it no more."""
+        names, waiting = self.batches(), f"_waiting/{uuid.uuid4().hex}"
+        if not set(names) - self._base()[1]:
+            return
+        self._write_log(self._state(), f"{self.folder}/{waiting}/log")
+        self.totals().coalesce(1).write.parquet(f"{self.folder}/{waiting}/delta")
+        self.spark.createDataFrame([(n,) for n in names], "name string").coalesce(1).write.json(f"{self.folder}/{waiting}/batches")
+        self._rename(waiting, f"bases/{len(names):012d}")
 
     def totals(self) -> DataFrame:
         """source, lang, version, n_docs, n_tokens; groups that are back at nothing are left out."""
@@ -72,18 +116,17 @@ class TokenRollup:
             raise ValueError("op is 'upsert' or 'delete'")
         value = F.struct((F.col("op") == "upsert").alias("stays"), F.coalesce("n_tokens", F.lit(0)).cast("long").alias("n_tokens"), F.col("source"), F.col("lang"))
         new = changes.groupBy("doc_id", "version").agg(F.max(value).alias("new"))
-        old = self.state().select(F.col("doc_id").alias("old_id"), F.col("version").alias("old_version"), F.struct("source", "lang", "n_tokens").alias("old"))
+        touched = [r.bucket for r in new.select(self._bucket().alias("bucket")).distinct().collect()]  # at most ``buckets``
+        old = self._state(touched).select(F.col("doc_id").alias("old_id"), F.col("version").alias("old_version"), F.struct("source", "lang", "n_tokens").alias("old"))
         both = new.join(old, new["doc_id"].eqNullSafe(old["old_id"]) & new["version"].eqNullSafe(old["old_version"]), "left")
         log = both.filter("new.stays OR old IS NOT NULL").select("doc_id", "version", "new.source", "new.lang", "new.n_tokens", (~F.col("new.stays")).alias("gone"), F.lit(len(self.batches())).cast("long").alias("seq"), "old")
-        log.write.parquet(f"{self.folder}/{waiting}/log")
+        self._write_log(log, f"{self.folder}/{waiting}/log")
         held = self.spark.read.schema(log.schema).parquet(f"{self.folder}/{waiting}/log")
         came = held.filter("NOT gone").select("source", "lang", "version", F.lit(1).alias("sign"), "n_tokens")
         went = held.filter("old IS NOT NULL").select("old.source", "old.lang", "version", F.lit(-1).alias("sign"), "old.n_tokens")
         delta = came.union(went).groupBy("source", "lang", "version").agg(F.sum("sign").cast("long").alias("n_docs"), F.sum(F.col("sign") * F.col("n_tokens")).alias("n_tokens"))
         delta.coalesce(1).write.parquet(f"{self.folder}/{waiting}/delta")
-        self._fs.mkdirs(self._path("batches"))
-        if not self._fs.rename(self._path(waiting), self._path(f"batches/{batch}")):
-            raise RuntimeError(f"batch {batch} couldn't be committed")
+        self._rename(waiting, f"batches/{batch}")
         return True
 
 

@@ -18,9 +18,9 @@ from pyspark.sql import functions as F
 
 from .common import fresh
 
-#: Words of a window; sharpness of the soft maximum; gain between a window's mean and the layer (a mean of 12 words moves
-#: little with any one of them); start of Adagrad's sums.
-WINDOW, SHARP, GAIN, EPS = 12, 2.0, 12.0, 1e-6
+#: Words of a window; sharpness of the soft maximum; gain between a window's mean and the layer; start of Adagrad's sums.
+#: Windows are narrow, so that one insult isn't averaged away by the words beside it.
+WINDOW, SHARP, GAIN, EPS = 2, 1.0, 6.0, 1e-6
 MARKS = ".,;:!?\"'()[]{}<>«»¿¡…*-_"
 
 
