@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Container
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import mappings as M
-from .incidents import incident_edges, incident_nodes
+from .incidents import edge_labels, incident_edges, incident_nodes, node_values
 from .labels import mapped_one
 from .order import indexed
 
@@ -90,25 +92,40 @@ EDGE_ATTRIBUTES = {
 RENAMED = {"type": ("node_type", "edge_type"), "hostname": ("hostname", "host"), "suspicion_score": ("suspicion_score", "suspicion")}
 
 
-def _data(df: DataFrame, attributes: dict[str, str], prefix: str) -> list[Column]:
-    """Lines of the attributes that the table has, where a value is neither null nor empty; arrays as JSON."""
+def _data(values: dict[str, Column], attributes: dict[str, str], prefix: str, lists: Container[str]) -> list[Column]:
+    """Lines of the attributes that have a value, where that is neither null nor empty; those of ``lists`` as JSON."""
     out = []
     for name in attributes:
-        column = next((c for c in (*RENAMED.get(name, ()), name) if c in df.columns), None)
-        if column is None:
+        held = next((c for c in (*RENAMED.get(name, ()), name) if c in values), None)
+        if held is None:
             continue
-        text = F.to_json(column) if df.schema[column].dataType.typeName() == "array" else F.col(column).cast("string")
+        text = F.to_json(values[held]) if held in lists else values[held].cast("string")
         out.append(F.when(text != "", F.concat(F.lit(f'\n      <data key="{prefix}_{name}">'), xml_text(text), F.lit("</data>"))))
     return out
 
 
+def _columns(df: DataFrame) -> tuple[dict[str, Column], list[str]]:
+    """A table's columns by name, and the names of those that are lists."""
+    return {c: F.col(c) for c in df.columns}, [f.name for f in df.schema if f.dataType.typeName() == "array"]
+
+
+def _node_text(node_id: Column, data: list[Column]) -> Column:
+    return F.concat(F.lit('    <node id="'), xml_text(node_id), F.lit('">'), F.concat_ws("", *data), F.lit("\n    </node>"))
+
+
+def _edge_text(number: Column, src: Column, dst: Column, data: list[Column]) -> Column:
+    ends = F.concat(F.lit('" source="'), xml_text(src), F.lit('" target="'), xml_text(dst), F.lit('">'))
+    return F.concat(F.lit('    <edge id="e'), number.cast("string"), ends, F.concat_ws("", *data), F.lit("\n    </edge>"))
+
+
 def node_xml(nodes: DataFrame, attributes: dict[str, str] = NODE_ATTRIBUTES) -> Column:
-    return F.concat(F.lit('    <node id="'), xml_text(F.col("node_id")), F.lit('">'), F.concat_ws("", *_data(nodes, attributes, "n")), F.lit("\n    </node>"))
+    values, lists = _columns(nodes)
+    return _node_text(F.col("node_id"), _data(values, attributes, "n", lists))
 
 
 def edge_xml(edges: DataFrame, number: Column, attributes: dict[str, str] = EDGE_ATTRIBUTES) -> Column:
-    ends = F.concat(F.lit('" source="'), xml_text(F.col("src")), F.lit('" target="'), xml_text(F.col("dst")), F.lit('">'))
-    return F.concat(F.lit('    <edge id="e'), number.cast("string"), ends, F.concat_ws("", *_data(edges, attributes, "e")), F.lit("\n    </edge>"))
+    values, lists = _columns(edges)
+    return _edge_text(number, F.col("src"), F.col("dst"), _data(values, attributes, "e", lists))
 
 
 def graphml_head(nodes: dict[str, str] = NODE_ATTRIBUTES, edges: dict[str, str] = EDGE_ATTRIBUTES) -> str:
@@ -134,13 +151,20 @@ def graphml(nodes: DataFrame, edges: DataFrame, order: list[str]) -> DataFrame:
 
 
 def incident_graphml(labelled: DataFrame) -> DataFrame:
-    """(incident_id, graphml): a document of each incident that has an id."""
-    nodes, edges = incident_nodes(labelled), incident_edges(labelled)
-    edges = edges.withColumn("edge_type", F.lit("INCIDENT_LINK"))
-    lines = nodes.select("incident_id", F.lit(1).alias("section"), "pos", node_xml(nodes).alias("line")).unionByName(edges.select("incident_id", F.lit(2).alias("section"), "pos", edge_xml(edges, F.col("pos") + 1).alias("line")))
-    body = lines.groupBy("incident_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("section", "pos", "line"))), lambda x: x["line"]), "\n").alias("body"))
-    ids = labelled.filter("id <> ''").select(F.col("id").alias("incident_id")).join(body, "incident_id", "left")
-    return ids.select("incident_id", F.concat_ws("\n", F.lit(graphml_head()), "body", F.lit(GRAPHML_FOOT)).alias("graphml"))
+    """(incident_id, graphml): a document of each incident that has an id, written within its row. What an incident says of
+    all its edges is written once and repeated with each."""
+    said = labelled.filter("id <> ''").select(*[v.alias(c) for c, v in edge_labels().items()], "nodes", "edges")
+    values, lists = _columns(said)
+    said = said.select("incident_id", "nodes", "edges", F.concat_ws("", *_data(values, EDGE_ATTRIBUTES, "e", lists)).alias("said"))
+
+    def node(x: Column) -> Column:
+        values = node_values(x["key"], x["value"])
+        return _node_text(x["key"], _data(values, NODE_ATTRIBUTES, "n", ("set_roles", "products")))
+
+    def edge(x: Column, i: Column) -> Column:
+        return _edge_text(i + 1, F.coalesce(x["source"], F.lit("")), F.coalesce(x["target"], F.lit("")), [F.col("said")])
+
+    return said.select("incident_id", F.concat_ws("\n", F.lit(graphml_head()), F.transform(F.map_entries("nodes"), node), F.transform(F.map_values("edges"), edge), F.lit(GRAPHML_FOOT)).alias("graphml"))
 
 
 def node_link(nodes: DataFrame, edges: DataFrame, order: str, attributes: list[str]) -> DataFrame:

@@ -97,25 +97,36 @@ def incident_leads(labelled: DataFrame, order: tuple[str, ...] = ("incident_id",
     return out.withColumn("label_confidence", confidence(label, F.col("suspicion"), F.lit(0), F.lit(0), F.col("is_false_positive")))
 
 
+def node_values(node_id: Column, n: Column) -> dict[str, Column]:
+    """A node's attributes by name."""
+    blank = lambda c: F.coalesce(c, F.lit(""))
+    return {
+        "node_id": node_id, "node_type": F.upper(F.coalesce(F.nullif(n["type"], F.lit("")), F.lit("HOST"))), "ip": F.coalesce(n["ip_address"], n["ip"], F.lit("")), "host": blank(n["hostname"]), "credential": blank(n["credential"]),
+        "set_roles": node_names(n, "sets"), "products": node_names(n, "products"), "suspicion_score": F.coalesce(n["suspicion_score"].cast("double"), F.lit(0.0)),
+        "internal": F.coalesce(n["internal"], F.lit(False)), "managed": F.coalesce(n["managed"], F.lit(False)),
+    }
+
+
 def incident_nodes(incidents: DataFrame) -> DataFrame:
     """(node_id, node_type, ip, host, credential, set_roles, products, suspicion_score, internal, managed, incident_id, pos)
     of every incident's nodes."""
     each = incidents.select(F.col("id").alias("incident_id"), F.posexplode("nodes").alias("pos", "node_id", "n"))
-    blank = lambda c: F.coalesce(F.col(c), F.lit(""))
-    return each.select(
-        "node_id", F.upper(F.coalesce(F.nullif("n.type", F.lit("")), F.lit("HOST"))).alias("node_type"), F.coalesce("n.ip_address", "n.ip", F.lit("")).alias("ip"), blank("n.hostname").alias("host"), blank("n.credential").alias("credential"),
-        node_names(F.col("n"), "sets").alias("set_roles"), node_names(F.col("n"), "products").alias("products"), F.coalesce(F.col("n.suspicion_score").cast("double"), F.lit(0.0)).alias("suspicion_score"),
-        F.coalesce("n.internal", F.lit(False)).alias("internal"), F.coalesce("n.managed", F.lit(False)).alias("managed"), "incident_id", "pos",
-    )
+    return each.select(*[v.alias(c) for c, v in node_values(F.col("node_id"), F.col("n")).items()], "incident_id", "pos")
+
+
+def edge_labels() -> dict[str, Column]:
+    """What an incident's row says of all its edges, by name."""
+    return {"edge_type": F.lit("INCIDENT_LINK"), "timestamp": F.coalesce(F.col("created_at").cast("double"), F.lit(0.0)), "label_binary": F.lit("malicious"), "label_confidence": edge_confidence(F.col("suspicion")), **{c: F.col(c) for c in LABELS}, "incident_id": F.col("id")}
 
 
 def incident_edges(labelled: DataFrame) -> DataFrame:
     """INCIDENT_LINK edges with their attributes and the labels of their incident, which stand in the same row."""
-    each = labelled.select(F.col("id").alias("incident_id"), F.coalesce(F.col("created_at").cast("double"), F.lit(0.0)).alias("timestamp"), *LABELS, F.posexplode("edges").alias("pos", "edge_key", "e"))
+    said = edge_labels()
+    each = labelled.select(*[v.alias(c) for c, v in said.items()], F.posexplode("edges").alias("pos", "edge_key", "e"))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).alias(c.split(".")[1])
     return each.select(
-        F.coalesce("e.source", F.lit("")).alias("src"), F.coalesce("e.target", F.lit("")).alias("dst"), F.lit("INCIDENT_LINK").alias("edge_type"), "timestamp", F.coalesce("e.subtype", F.lit("")).alias("edge_subtype"),
-        zero("e.started"), zero("e.ended"), zero("e.count"), zero("e.bytes"), F.lit("malicious").alias("label_binary"), edge_confidence(F.col("suspicion")).alias("label_confidence"), *LABELS, "incident_id", "pos", "edge_key",
+        F.coalesce("e.source", F.lit("")).alias("src"), F.coalesce("e.target", F.lit("")).alias("dst"), "edge_type", "timestamp", F.coalesce("e.subtype", F.lit("")).alias("edge_subtype"),
+        zero("e.started"), zero("e.ended"), zero("e.count"), zero("e.bytes"), "label_binary", "label_confidence", *LABELS, "incident_id", "pos", "edge_key",
     )
 
 
