@@ -16,7 +16,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StringType, StructType
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructType
 
 from ..sources.scratch import saved
 
@@ -282,3 +282,34 @@ def joined(df: DataFrame, text: str, key: str, near: Entries, others: DataFrame)
 def far_places(df: DataFrame, text: str, key: str, others: DataFrame) -> DataFrame | None:
     """(record_id, start, word) of the entries that tasks don't hold, or None if there are none."""
     return _far(_source(df, text, key), others)
+
+
+def entry_counts(df: DataFrame, text: str, words: DataFrame, word: str, key: str = "record_id") -> DataFrame:
+    """(record_id, n_words): how many different entries the texts of a key hold, for keys whose texts hold any.
+
+    What one text holds is counted within the text; only keys that stand in several rows are gathered entry by entry.
+    """
+    near, others = parted(dictionary(df, text, words, word))
+    source = _source(df, text, key)
+    sent = source.sparkSession.sparkContext.broadcast(near)
+    schema = StructType().add("record_id", source.schema["record_id"].dataType).add("entries", ArrayType(IntegerType()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            total = max(1, len(sent.value.words))
+            held_by = [np.unique(number * total + entry) for number, _, entry in sent.value.places(_lowered(batch.column(1)))]
+            pairs = np.unique(np.concatenate([np.empty(0, np.int64), *held_by]))
+            number, ends = np.unique(pairs // total, return_index=True)
+            lists = pa.ListArray.from_arrays(pa.array(np.append(ends, len(pairs)).astype(np.int32)), pa.array((pairs % total).astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(number)), lists], ["record_id", "entries"])
+
+    held = saved(source.mapInArrow(run, schema), "entries")
+    rows = held.groupBy("record_id").agg(F.count("*").alias("rows"), F.max(F.size("entries")).cast("long").alias("n_words"))
+    again = rows.filter("rows > 1").select(F.col("record_id").alias("again"))
+    mixed = held.join(again, F.col("record_id").eqNullSafe(F.col("again")), "left_semi").select("record_id", F.explode("entries").alias("entry"))
+    counts = rows.filter("rows = 1").select("record_id", "n_words").union(mixed.distinct().groupBy("record_id").agg(F.count("*").alias("n_words")))
+    far = _far(source, others)
+    if far is None:
+        return counts
+    more = far.select("record_id", "word").distinct().groupBy("record_id").agg(F.count("*").alias("n_words"))
+    return counts.union(more).groupBy("record_id").agg(F.sum("n_words").alias("n_words"))

@@ -281,8 +281,7 @@ CTES["words"] = "words AS (SELECT DISTINCT w FROM (SELECT unnest(regexp_split_to
 @query("""SELECT d.doc_id, count(*) AS n_words FROM (SELECT doc_id, lower(text) AS low FROM documents) d JOIN words ON contains(low, w) GROUP BY 1""", "words")
 def j12_contains_join(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("record_id"), "text")
-    hits = contains.contains_join(docs, "text", _words(spark, sf_dir), "word")
-    return hits.groupBy(F.col("record_id").alias("doc_id")).agg(F.count_distinct("word").alias("n_words"))
+    return contains.entry_counts(docs, "text", _words(spark, sf_dir), "word").withColumnRenamed("record_id", "doc_id")
 
 
 @query("""SELECT doc_id, n_replaced, sha256(out) AS text_sha256 FROM (SELECT doc_id, len(found) AS n_replaced, array_to_string(list_transform(list_zip(parts, found), lambda p: concat(p[1], CASE WHEN p[2] IS NOT NULL THEN printf('HOST-%04d', list_position(names, lower(p[2]))) END)), '') AS out
