@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import detectors as D
+from ..sources.scratch import saved
 from .contains import contains_join
 from .order import indexed
 
@@ -20,14 +21,17 @@ def string_cells(df: DataFrame, key: str) -> DataFrame:
 def leaks(cells: DataFrame, registry: DataFrame, allowed: DataFrame, least: int = 5) -> DataFrame:
     """(row_key, name, word): original values (no own tokens, no allowed terms, at least ``least`` characters) that cells
     still hold. An address counts only as a whole: 10.1.1.1 is no leak in 10.1.1.12; so addresses are taken out of the cells
-    and met by equality, and only other values are looked for within the text."""
+    and met by equality, and only other values are looked for within the text. Cells are read more than once: cells that are
+    dear to make should be written before."""
     originals = registry.filter(~D.is_own_token(F.col("original")) & (F.length("norm") >= least)).select("norm").distinct()
-    originals = originals.join(allowed.select(F.lower("term").alias("norm")), "norm", "left_anti")
+    originals = saved(originals.join(allowed.select(F.lower("term").alias("norm")), "norm", "left_anti"), "originals")
     is_address = F.col("norm").rlike(f"^(?:{D.IPV4})$")
-    whole = cells.select("row_key", "name", F.explode(F.array_distinct(F.regexp_extract_all("value", F.lit(D.IPV4), F.lit(0)))).alias("norm"))
-    addresses = whole.join(originals.filter(is_address), "norm").select("row_key", "name", F.col("norm").alias("word"))
     keyed = cells.select(F.struct("row_key", "name").alias("record_id"), "value")
     plain = contains_join(keyed, "value", originals.filter(~is_address), "norm").select("record_id.*", "word")
+    if originals.filter(is_address).isEmpty():
+        return plain.distinct()
+    whole = cells.select("row_key", "name", F.explode(F.array_distinct(F.regexp_extract_all("value", F.lit(D.IPV4), F.lit(0)))).alias("norm"))
+    addresses = whole.join(originals.filter(is_address), "norm").select("row_key", "name", F.col("norm").alias("word"))
     return plain.union(addresses).distinct()
 
 

@@ -258,15 +258,16 @@ def f4_public_address(spark, sf_dir):
 
 
 def _sanitized(spark, sf_dir):
+    """The documents with tokens in place of their values, and the registry; places and registry are written once."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = _candidates(spark, sf_dir)
-    reg = registry.grow_registry(spark.createDataFrame([], registry.SCHEMA), found, V.SECRET)
-    return sweep.spliced(docs, registry.resolve(found, reg), "text", "doc_id")
+    found = saved(_candidates(spark, sf_dir), "found")
+    reg = saved(registry.grow_registry(spark.createDataFrame([], registry.SCHEMA), found, V.SECRET), "registry")
+    return sweep.spliced(docs, registry.resolve(found, reg), "text", "doc_id"), reg
 
 
 @query(f"SELECT doc_id, len(regexp_extract_all(text, '{D.EMAIL}')) AS n_email, doc_id NOT IN (SELECT doc_id FROM candidates) AS same FROM documents", "candidates")
 def z13_sanitize_documents(spark, sf_dir):
-    out = _sanitized(spark, sf_dir).join(table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("raw")), "doc_id")
+    out = _sanitized(spark, sf_dir)[0].join(table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("raw")), "doc_id")
     return out.select("doc_id", F.size(F.regexp_extract_all("text", F.lit(r"user-\d{4,}@example\.net"), F.lit(0))).cast("long").alias("n_email"), (F.col("n_replaced") == 0).alias("same"))
 
 
@@ -530,11 +531,13 @@ def v3_public_addresses(spark, sf_dir):
 def v1_registry_leaks(spark, sf_dir):
     """Values of the registry that a table still holds of which every tenth document was left as it was: e-mail addresses
     there (addresses of the network are judged in v1_address_leaks)."""
-    raw = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("raw"))
-    mixed = _sanitized(spark, sf_dir).join(raw, "doc_id").select("doc_id", F.when(F.col("doc_id") % 10 == 0, F.col("raw")).otherwise(F.col("text")).alias("text"))
-    cells = verify.string_cells(mixed, "doc_id")
+    left = F.col("doc_id") % 10 == 0
+    raw = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("raw")).filter(left)
+    clean, reg = _sanitized(spark, sf_dir)
+    mixed = clean.join(raw, "doc_id", "left").select("doc_id", F.when(left, F.col("raw")).otherwise(F.col("text")).alias("text"))
+    cells = saved(verify.string_cells(mixed, "doc_id"), "cells")
     allowed = spark.createDataFrame([("localhost",)], "term string")
-    found = verify.leaks(cells, _registry(spark, sf_dir), allowed)
+    found = verify.leaks(cells, reg.filter(F.col("norm").contains("@")), allowed)
     return found.filter(F.col("word").contains("@")).select("row_key", "word").distinct()
 
 
