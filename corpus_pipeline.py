@@ -24,8 +24,9 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays (five-word shingles, similarity 0.8 or more)."""
-    return drop_near_copies(docs, threshold=0.8, ngram=5)
+    """One document of each group of near copies stays: SimHash fingerprints of at most 2 differing bits link texts, as in
+    operator 4, and so does a similarity of 0.8 or more of their five-word shingles, which fingerprints don't reach."""
+    return drop_near_copies(docs, threshold=0.8, ngram=5, radius=2)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

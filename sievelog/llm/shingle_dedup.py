@@ -1,4 +1,7 @@
-"""Near copies by the Jaccard similarity of their word shingles.
+"""Near copies by SimHash fingerprints and by the Jaccard similarity of word shingles.
+
+Fingerprints within ``radius`` bits link their texts, as in operator 4 (its fingerprints, its covering masks). That reaches
+the closest copies only, so texts of similar shingle sets are linked too, and both kinds of links make one set of components.
 
 A similarity of 0.8 leaves some 10 of a SimHash's 64 bits different (up to 20 in unlucky pairs), where a covering has a
 million masks and unrelated fingerprints meet too. Candidates therefore come from MinHash: ``bands`` keys of ``rows``
@@ -22,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, connected
-from .simhash import keep_first
+from .simhash import fingerprint, keep_first, near_links
 
 
 def shingle_set(text: str | None, ngram: int = 5, seed: int = 42) -> np.ndarray:
@@ -88,9 +91,21 @@ def prefixes(sets: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
     return short.select("node", "size", "lone", F.posexplode(F.slice("common", 1, F.col("take")))).select("node", "size", F.col("col.h").alias("h"), F.col("pos").alias("before"), (F.col("size") - F.col("lone") - F.col("pos")).alias("onward"))
 
 
-def shingle_components(docs: DataFrame, threshold: float = 0.8, ngram: int = 5, bands: int = 40, rows: int = 4, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per input row: key, component_id (smallest key reachable over links of at least ``threshold``), kept
-    (whether the row is its component's first).
+def fingerprint_links(signed: DataFrame, radius: int) -> DataFrame:
+    """(a, b): nodes whose texts' fingerprints (node, fp) differ in at most ``radius`` bits, each fingerprint by one of its
+    nodes, with which its other nodes are linked."""
+    scratch = Scratch(signed.sparkSession, "shingle-prints")
+    prints = scratch.save(signed.select("fp", "node").distinct(), "prints")
+    first = scratch.save(prints.groupBy("fp").agg(F.min("node").alias("first")), "first")
+    alike = prints.join(first, "fp").select(F.col("node").alias("a"), F.col("first").alias("b"))
+    left, right = (first.select(F.col("fp").alias(c), F.col("first").alias(f"{c}_node")) for c in "ab")
+    near = near_links(first.select("fp"), scratch, radius).join(left, "a").join(right, "b").select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
+    return scratch.save(alike.union(near).filter("a <> b"), "links")
+
+
+def shingle_components(docs: DataFrame, threshold: float = 0.8, ngram: int = 5, bands: int = 40, rows: int = 4, key: str = "doc_id", text: str = "text", radius: int | None = None) -> DataFrame:
+    """One row per input row: key, component_id (smallest key reachable over links of at least ``threshold`` and, with a
+    ``radius``, over fingerprints within it), kept (whether the row is its component's first).
 
     Null, empty and blank texts are equal. Rows that repeat a key share no result unless their texts do; a null key is
     never a component's id unless the component has no other, and then component_id is null and such rows are kept. An
@@ -103,9 +118,10 @@ def shingle_components(docs: DataFrame, threshold: float = 0.8, ngram: int = 5,
         minima = Minima(bands, rows)
         for batch in batches:
             sets = [shingle_set(t, ngram) for t in batch["body"]]
-            yield pd.DataFrame({"k": batch["k"].astype("Int64"), "node": [node_of(s) for s in sets], "bands": [minima.keys(s) for s in sets]})
+            prints = [0 if radius is None else fingerprint(t) for t in batch["body"]]
+            yield pd.DataFrame({"k": batch["k"].astype("Int64"), "node": [node_of(s) for s in sets], "bands": [minima.keys(s) for s in sets], "fp": np.array(prints, np.int64)})
 
-    signed = scratch.save(source.mapInPandas(sign, "k long, node long, bands array<long>"), "signed")
+    signed = scratch.save(source.mapInPandas(sign, "k long, node long, bands array<long>, fp long"), "signed")
     nodes = scratch.save(signed.groupBy("node").agg(F.min("k").alias("first"), F.first("bands").alias("bands")), "nodes")
     keyed = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
     shared = keyed.groupBy("band", "bucket").agg(F.count("*").alias("n")).filter("n > 1")
@@ -139,6 +155,8 @@ def shingle_components(docs: DataFrame, threshold: float = 0.8, ngram: int = 5,
     ends = members.join(weights, "node").groupBy("band", "bucket").agg(F.min("node").alias("low"), F.max(F.struct("weight", "node"))["node"].alias("central"))
     ends = members.join(ends, ["band", "bucket"]).select("node", F.explode(F.array("low", "central")).alias("end")).filter("node <> end")
     links = linked(ends.select(F.least("node", "end").alias("a"), F.greatest("node", "end").alias("b")), "links-ends")
+    if radius is not None:
+        links = links.union(fingerprint_links(signed, radius))
     # What lies in different components still, though in one bucket, is joined by the shingles of its prefix.
     named = members.join(connected(links, scratch, "cc-ends"), "node", "left").select("band", "bucket", "node", F.coalesce("root", "node").alias("root"))
     mixed = named.groupBy("band", "bucket").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least <> most")
@@ -161,6 +179,6 @@ def shingle_components(docs: DataFrame, threshold: float = 0.8, ngram: int = 5,
     return signed.select("k", "node").join(scratch.save(named, "components"), "node").select(F.col("k").alias(key), "component_id", kept.alias("kept"))
 
 
-def drop_near_copies(docs: DataFrame, threshold: float = 0.8, ngram: int = 5) -> DataFrame:
+def drop_near_copies(docs: DataFrame, threshold: float = 0.8, ngram: int = 5, radius: int | None = None) -> DataFrame:
     """``documents`` with one document of each component: that with the smallest doc_id (see ``keep_first``)."""
-    return keep_first(docs, shingle_components(docs, threshold, ngram))
+    return keep_first(docs, shingle_components(docs, threshold, ngram, radius=radius))
