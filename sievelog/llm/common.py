@@ -65,9 +65,13 @@ def connected(edges: DataFrame, scratch: Scratch, tag: str = "cc") -> DataFrame:
 
     Minimum labels travel along edges and are then short-cut through the label's own label, so chains shrink
     geometrically. Each round is written to the shared folder. A hub's edges meet its label in a plain join whose
-    sides AQE can split, and minima are combined before the shuffle.
+    sides AQE can split, and minima are combined before the shuffle. Without edges there are no rounds: each job takes
+    some MB of the driver's memory, however few its rows.
     """
-    both = scratch.save(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b").distinct(), f"{tag}-edges")
+    ways = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = scratch.save(edges.filter("a <> b").select(F.explode(ways).alias("way")).select("way.a", "way.b").distinct(), f"{tag}-edges")
+    if both.isEmpty():
+        return both.select(F.col("a").alias("node"), F.col("b").alias("root"))
     labels = scratch.save(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("root")), f"{tag}-0")
     step = 0
     while True:

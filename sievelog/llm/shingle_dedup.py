@@ -93,14 +93,15 @@ def prefixes(sets: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
 
 def fingerprint_links(signed: DataFrame, radius: int) -> DataFrame:
     """(a, b): nodes whose texts' fingerprints (node, fp) differ in at most ``radius`` bits, each fingerprint by one of its
-    nodes, with which its other nodes are linked."""
+    nodes, with which its other nodes are linked. They aren't saved: read them once."""
     scratch = Scratch(signed.sparkSession, "shingle-prints")
-    prints = scratch.save(signed.select("fp", "node").distinct(), "prints")
-    first = scratch.save(prints.groupBy("fp").agg(F.min("node").alias("first")), "first")
-    alike = prints.join(first, "fp").select(F.col("node").alias("a"), F.col("first").alias("b"))
+    first = scratch.save(signed.groupBy("fp").agg(F.min("node").alias("first")), "first")
+    alike = signed.select("fp", "node").distinct().join(first, "fp").filter("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b"))
+    near = scratch.save(near_links(first.select("fp"), scratch, radius), "near")
+    if near.isEmpty():
+        return alike
     left, right = (first.select(F.col("fp").alias(c), F.col("first").alias(f"{c}_node")) for c in "ab")
-    near = near_links(first.select("fp"), scratch, radius).join(left, "a").join(right, "b").select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
-    return scratch.save(alike.union(near).filter("a <> b"), "links")
+    return alike.union(near.join(left, "a").join(right, "b").select(F.col("a_node").alias("a"), F.col("b_node").alias("b")))
 
 
 def shingle_components(docs: DataFrame, threshold: float = 0.8, ngram: int = 5, bands: int = 40, rows: int = 4, key: str = "doc_id", text: str = "text", radius: int | None = None) -> DataFrame:
@@ -128,7 +129,7 @@ def shingle_components(docs: DataFrame, threshold: float = 0.8, ngram: int = 5,
     members = scratch.save(keyed.join(shared, ["band", "bucket"]), "members")
 
     # Shingles of the nodes that share a bucket, from the texts: one text of each.
-    asked = scratch.save(members.select("node").distinct().join(nodes.select("node", "first"), "node"), "asked")
+    asked = scratch.save(members.groupBy("node").agg(F.sum("n").alias("weight")).join(nodes.select("node", "first"), "node"), "asked")
 
     def collect(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -147,18 +148,20 @@ def shingle_components(docs: DataFrame, threshold: float = 0.8, ngram: int = 5,
         """Of pairs (a, b), those that are alike."""
         left, right = (sets.select(F.col("node").alias(c), F.col("shingles").alias(f"{c}_set")) for c in "ab")
         pairs = scratch.save(pairs.distinct(), name + "-p")
+        if pairs.isEmpty():
+            return pairs
         held = pairs.distinct().join(left, "a").join(right, "b")
         return scratch.save(held.filter(alike("a_set", "b_set")).select("a", "b"), name)
 
     # The text that meets most others is nearest to the middle of its group.
-    weights = members.groupBy("node").agg(F.sum("n").alias("weight"))
-    ends = members.join(weights, "node").groupBy("band", "bucket").agg(F.min("node").alias("low"), F.max(F.struct("weight", "node"))["node"].alias("central"))
+    ends = members.join(asked.select("node", "weight"), "node").groupBy("band", "bucket").agg(F.min("node").alias("low"), F.max(F.struct("weight", "node"))["node"].alias("central"))
     ends = members.join(ends, ["band", "bucket"]).select("node", F.explode(F.array("low", "central")).alias("end")).filter("node <> end")
     links = linked(ends.select(F.least("node", "end").alias("a"), F.greatest("node", "end").alias("b")), "links-ends")
     if radius is not None:
         links = links.union(fingerprint_links(signed, radius))
     # What lies in different components still, though in one bucket, is joined by the shingles of its prefix.
-    named = members.join(connected(links, scratch, "cc-ends"), "node", "left").select("band", "bucket", "node", F.coalesce("root", "node").alias("root"))
+    roots = connected(links, scratch, "cc-ends")
+    named = members.join(roots, "node", "left").select("band", "bucket", "node", F.coalesce("root", "node").alias("root"))
     mixed = named.groupBy("band", "bucket").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least <> most")
     open_ = scratch.save(named.join(mixed, ["band", "bucket"]).select("node", "root").distinct(), "open")
     first = scratch.save(prefixes(sets.join(open_, "node", "left_semi"), threshold, scratch).join(open_, "node"), "prefixes")
@@ -171,12 +174,14 @@ def shingle_components(docs: DataFrame, threshold: float = 0.8, ngram: int = 5,
     most = F.least("x.before", "y.before") + F.least("x.onward", "y.onward")
     enough = most >= threshold / (1 + threshold) * (F.col("x.size") + F.col("y.size")) - SLACK
     rest = x.join(y, apart & enough).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
-    links = links.union(linked(rest, "links-rest"))
-    roots = connected(links, scratch, "cc")
-    tops = scratch.save(roots.join(nodes.select("node", "first"), "node").groupBy("root").agg(F.min("first").alias("top")), "tops")
+    rest = linked(rest, "links-rest")
+    if not rest.isEmpty():
+        # A node and its root are linked already, so these stand for all links before.
+        roots = connected(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(rest), scratch, "cc")
+    tops = roots.join(nodes.select("node", "first"), "node").groupBy("root").agg(F.min("first").alias("top"))
     named = nodes.select("node", "first").join(roots.join(tops, "root").select("node", "top"), "node", "left").select("node", F.coalesce("top", "first").alias("component_id"))
     kept = F.coalesce(F.col("k") == F.col("component_id"), F.col("component_id").isNull())
-    return signed.select("k", "node").join(scratch.save(named, "components"), "node").select(F.col("k").alias(key), "component_id", kept.alias("kept"))
+    return signed.select("k", "node").join(named, "node").select(F.col("k").alias(key), "component_id", kept.alias("kept"))
 
 
 def drop_near_copies(docs: DataFrame, threshold: float = 0.8, ngram: int = 5, radius: int | None = None) -> DataFrame:

@@ -55,17 +55,22 @@ def near_links(prints: DataFrame, scratch: Scratch, radius: int = 2, bucket: int
     table = F.explode(F.array(*[F.struct(F.lit(i).alias("t"), F.col("fp").bitwiseAND(F.lit(m)).alias("key"), F.lit(m).alias("mask")) for i, m in enumerate(masks)]))
     keyed = prints.select("fp", table.alias("x")).select("fp", "x.t", "x.key", "x.mask")
     sizes = scratch.save(keyed.groupBy("t", "key").count().filter("count > 1"), "buckets")
+    largest = sizes.agg(F.max("count")).first()[0]
+    if largest is None:
+        return sizes.select(F.col("key").alias("a"), F.col("key").alias("b"))
     members = scratch.save(keyed.join(sizes, ["t", "key"]), "members")
     near = lambda x, y: (F.col(f"{x}.fp") < F.col(f"{y}.fp")) & (F.bit_count(F.col(f"{x}.fp").bitwiseXOR(F.col(f"{y}.fp"))) <= radius)
     small = members.filter(F.col("count") <= bucket).select("t", "key", "fp")
-    pairs = small.alias("x").join(small.alias("y"), (F.col("x.t") == F.col("y.t")) & (F.col("x.key") == F.col("y.key")) & near("x", "y"))
+    pairs = small.alias("x").join(small.alias("y"), (F.col("x.t") == F.col("y.t")) & (F.col("x.key") == F.col("y.key")) & near("x", "y")).select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b"))
+    if largest <= bucket:
+        return pairs.distinct()
     bits = F.array(F.lit(0).cast("long"), *[F.lit((1 << i) - ((1 << BITS) if i == BITS - 1 else 0)).cast("long") for i in range(BITS)])
     free = F.filter(bits, lambda b: b.bitwiseAND(F.col("mask")) == 0)
     changed = members.filter(F.col("count") > bucket).select("t", "key", "fp", "mask", F.col("fp").alias("turned"))
     for _ in range((radius + 1) // 2):
         changed = changed.select("t", "key", "fp", "mask", F.explode(F.transform(free, lambda b: F.col("turned").bitwiseXOR(b))).alias("turned")).distinct()
     large = changed.alias("x").join(changed.alias("y"), (F.col("x.t") == F.col("y.t")) & (F.col("x.key") == F.col("y.key")) & (F.col("x.turned") == F.col("y.turned")) & near("x", "y"))
-    return pairs.select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b")).union(large.select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b"))).distinct()
+    return pairs.union(large.select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b"))).distinct()
 
 
 def simhash_components(docs: DataFrame, radius: int = 2, ngram: int = 3, bucket: int = 64, key: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:
