@@ -170,8 +170,9 @@ def shingle_components(docs: DataFrame, threshold: float = 0.8, ngram: int = 5,
     met = scratch.save(first.join(main, "h"), "met")
     x, y = met.filter("root <> main").alias("x"), met.alias("y")
     apart = (F.col("x.h") == F.col("y.h")) & (F.col("x.root") != F.col("y.root")) & ((F.col("y.root") == F.col("y.main")) | (F.col("x.node") < F.col("y.node")))
-    # All sets are in one order, so two sets share at most what others hold before h and what stands from h onward.
-    most = F.least("x.before", "y.before") + F.least("x.onward", "y.onward")
+    # All sets are in one order, so from the first shingle that two sets share, they share at most what stands onward. That
+    # one is in both prefixes; a later one would bring the same pair again.
+    most = F.least("x.onward", "y.onward")
     enough = most >= threshold / (1 + threshold) * (F.col("x.size") + F.col("y.size")) - SLACK
     rest = x.join(y, apart & enough).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
     rest = linked(rest, "links-rest")
