@@ -7,6 +7,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from sievelog.operators import contains, formats, held, records, registry
+from sievelog.plans import queries
 
 BODIES = [
     '{"userName":"Marvin.K","orgId":7,"peers":["10.2.2.2","db01.corp.lan"],"note":"marvin.k, MARVIN.K and 10.2.2.2 on db01.corp.lan"}',
@@ -79,3 +80,24 @@ def test_first_spelling_in_order_of_record():
     names = ["category", "value", "record_id", "at", "start"]
     got = records.firsts(pa.Table.from_pylist([dict(zip(names, r, strict=True)) for r in rows])).to_pylist()
     assert sorted(tuple(r.values()) for r in got) == [("org", "Bob", "r9", 1, 1), ("username", "Bob", "r1", 3, 1), ("username", "bob", "r1", 0, 1)]
+
+
+def test_events_are_dealt_out_before_their_records_are_made(spark):
+    """In more parts than cores; before, whole records were dealt out, one part a core."""
+    df = queries._raw_records(spark, "/root/testdata/sf0.001")
+    assert df.rdd.getNumPartitions() == 4 * spark.sparkContext.defaultParallelism
+    dealt = df._jdf.queryExecution().optimizedPlan().toString().partition("Repartition")[2]
+    assert dealt and "clientIP" not in dealt
+
+
+def test_anchors_are_the_first_rarest_grams(spark):
+    rng = random.Random(4)
+    counts = contains.np.array(rng.choices(range(5), k=1 << contains.COUNT_BITS))
+    words = {"".join(rng.choices("abcdé", k=rng.randint(2, 30))) for _ in range(500)} | {"x" * 100, ""}
+    want = set()
+    for w in words:
+        hashes = contains.gram_hashes(w)
+        held_by = counts[contains._top(hashes, contains.COUNT_BITS)].tolist()
+        want |= {(w, int(hashes[at].astype("int64")), at, len(w) - at, min(held_by)) for at in [held_by.index(min(held_by))]} if held_by else set()
+    got = contains.anchored(spark.createDataFrame([(w,) for w in [*words, None]], "w string"), "w", counts).collect()
+    assert len(got) == len(want) and {tuple(r) for r in got} == want
